@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronogrid.operators import ordered
+
 
 def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     """The same rows, failing at run time when a key occurs twice.
@@ -68,6 +70,27 @@ def union_with_priority(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return keep_first(stacked, keys, [F.col("_rank")]).drop("_rank")
 
 
+def carry_daily(
+    df: DataFrame, daily: DataFrame, values: list[str], ts: str = "ts"
+) -> DataFrame:
+    """Each row with the values of its day, or of the latest earlier day that has them.
+
+    The as-of look-up runs over the distinct days, of which there are few; the rows
+    themselves only join by equality on the day.
+    """
+    day = F.date_trunc("day", F.col(ts)).alias("_day")
+    asked = df.select(day).distinct().select("_day", *[F.lit(None).cast("double").alias(v) for v in values])
+    known = daily.select(day, *[F.col(v).cast("double").alias(v) for v in values])
+    days = (
+        asked.unionByName(known)
+        .groupBy("_day")
+        .agg(*[F.max(v).alias(v) for v in values])
+        .withColumn("_series", F.lit(0))
+    )
+    carried = ordered.forward_fill(days, values, item="_series", ts="_day").drop("_series")
+    return df.withColumn("_day", day).join(carried, "_day", "left").drop("_day")
+
+
 def labelled_metrics(df: DataFrame, dimensions: list[str], value: str) -> DataFrame:
     """Mean and root mean square by several dimensions in one pass.
 
