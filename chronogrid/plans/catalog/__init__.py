@@ -1,6 +1,6 @@
 """All registered queries and their checking SQL."""
 
-from chronogrid.plans.catalog import alignment, ordered  # noqa: F401
+from chronogrid.plans.catalog import aggregates, alignment, calendars, ordered, scalars  # noqa: F401
 from chronogrid.plans.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
