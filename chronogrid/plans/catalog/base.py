@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from chronogrid.functions.numbers import exact_mean
 from chronogrid.functions.timeparts import as_utc
-from chronogrid.operators import grid, model
-from chronogrid.session import configure
+from chronogrid.operators import evaluate, grid, model
+from chronogrid.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -159,10 +159,12 @@ class Tables:
             .select(F.lit("0").alias("item_id"), "ts", "gas_price")
         )
 
+    def scratch(self, label: str) -> str:
+        """A fresh folder in the shared scratch space."""
+        return scratch_path(self.spark, label)
+
     def errors(self, covariates: bool = True) -> DataFrame:
         """Error table of the value one week earlier as forecast."""
-        from chronogrid.operators import evaluate
-
         series = self.grid()
         forecast = model.shifted_forecast(series, "y", 168).select("item_id", "ts", "predicted")
         table = evaluate.error_table(series, forecast, "y")

@@ -48,13 +48,16 @@ def payload_rows(payloads: DataFrame) -> DataFrame:
     """One row per time step: item_id, ts (UTC) and the renamed variables.
 
     The time axis runs from time_start up to, not including, time_end. A variable
-    with too few values is NULL in the remaining steps.
+    that is absent, or has too few values, is NULL in the remaining steps.
     """
     axis = F.sequence(
         F.col("time_start"), F.col("time_end") - F.col("interval"), F.col("interval").cast("bigint")
     )
     present = [name for name in VARIABLES if name in payloads.columns]
-    zipped = F.arrays_zip(axis.alias("t"), *[F.col(name) for name in present])
+    none = F.array().cast("array<float>")
+    zipped = F.arrays_zip(
+        axis.alias("t"), *[F.coalesce(F.col(name), none).alias(name) for name in present]
+    )
     rows = payloads.filter(F.col("time_end") > F.col("time_start")).select(
         "item_id", F.explode(zipped).alias("z")
     )
