@@ -50,6 +50,74 @@ def chunk_window(item: str = "item_id", ts: str = "ts") -> WindowSpec:
     return Window.partitionBy(item, CHUNK).orderBy(ts)
 
 
+def running_sum(column: str) -> str:
+    """Name of the running sum `windowed` keeps for a column."""
+    return f"{column}__rs"
+
+
+def running_count(column: str) -> str:
+    """Name of the running count of known values `windowed` keeps for a column."""
+    return f"{column}__rn"
+
+
+def rolling_spread(column: str, rows: int) -> str:
+    """Name of the rolling sample deviation `windowed` keeps for a column."""
+    return f"{column}__sd{rows}"
+
+
+def rolling_known(column: str, rows: int) -> str:
+    """Name of the number of known values behind a rolling deviation."""
+    return f"{column}__sn{rows}"
+
+
+def _finite(column: str) -> Column:
+    x = F.col(column).cast("double")
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
+
+
+def _with_spread(df: DataFrame, column: str, rows: int, item: str, ts: str) -> DataFrame:
+    """Add the sample deviation and count over the last `rows` rows of a chunk.
+
+    The rows of a chunk are cut into blocks of `rows`. Every frame then is the tail
+    of one block and the head of the next, each of which has running moments, and
+    the two are merged. This costs the same per row whatever the frame length, and
+    unlike a difference of running squares it loses no digits.
+    """
+    w = chunk_window(item, ts)
+    names = ["n", "m", "q"]
+
+    def moments(order: Column, prefix: str) -> dict[str, Column]:
+        frame = (
+            Window.partitionBy(item, CHUNK, "_block")
+            .orderBy(order)
+            .rowsBetween(Window.unboundedPreceding, 0)
+        )
+        x = _finite(column)
+        n = F.count(x).over(frame)
+        made = [n, F.coalesce(F.avg(x).over(frame), F.lit(0.0)), F.coalesce(F.var_pop(x).over(frame) * n, F.lit(0.0))]
+        return {f"_{prefix}{name}": value for name, value in zip(names, made)}
+
+    blocks = df.withColumn("_pos", F.row_number().over(w) - 1).withColumn(
+        "_block", F.floor(F.col("_pos") / F.lit(rows))
+    )
+    both = blocks.withColumns(moments(F.col(ts).asc(), "h")).withColumns(moments(F.col(ts).desc(), "t"))
+    split = F.col("_pos") % rows < rows - 1
+    tail = {
+        f"_t{name}": F.when(split, F.coalesce(F.lag(f"_t{name}", rows - 1).over(w), F.lit(0.0))).otherwise(F.lit(0.0))
+        for name in names
+    }
+    merged = both.withColumns(tail)
+    n = F.col("_hn") + F.col("_tn")
+    gap = F.col("_tm") - F.col("_hm")
+    square = F.col("_hq") + F.col("_tq") + F.coalesce(F.try_divide(gap * gap * F.col("_hn") * F.col("_tn"), n), F.lit(0.0))
+    out = {
+        rolling_spread(column, rows): F.when(n > 1, F.sqrt(square / (n - 1))),
+        rolling_known(column, rows): n.cast("bigint"),
+    }
+    helpers = [f"_{side}{name}" for side in "ht" for name in names]
+    return merged.withColumns(out).drop("_pos", "_block", *helpers)
+
+
 def windowed(
     df: DataFrame,
     halo: int,
@@ -57,15 +125,31 @@ def windowed(
     item: str = "item_id",
     ts: str = "ts",
     chunk_hours: int = CHUNK_HOURS,
+    running: list[str] = (),
+    spread: dict[str, list[int]] | None = None,
 ) -> DataFrame:
     """Add the columns `build` makes from the chunk window.
 
     Frames that already carry a halo (see `hourly_grid`) are used as they are, so
-    gap filling and windows share one shuffle.
+    gap filling and windows share one shuffle. For the columns named in `running`
+    a running sum and count within the chunk are at hand for `build`; with them a
+    rolling mean costs the same per row whatever its length. `spread` names the
+    columns and frame lengths for which rolling deviations are at hand.
     """
-    source = df if CHUNK in df.columns else with_halo(df, halo, ts, chunk_hours)
-    out = source.withColumns(build(chunk_window(item, ts)))
-    return out.filter(~F.col(GHOST)).drop(CHUNK, GHOST)
+    source = df if GHOST in df.columns else with_halo(df.drop(CHUNK), halo, ts, chunk_hours)
+    made = []
+    for column, lengths in (spread or {}).items():
+        for rows in lengths:
+            source = _with_spread(source, column, rows, item, ts)
+            made += [rolling_spread(column, rows), rolling_known(column, rows)]
+    w = chunk_window(item, ts)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    sums = {}
+    for c in running:
+        sums[running_sum(c)] = F.sum(_finite(c)).over(upto)
+        sums[running_count(c)] = F.count(_finite(c)).over(upto)
+    out = source.withColumns(sums).withColumns(build(w))
+    return out.filter(~F.col(GHOST)).drop(CHUNK, GHOST, *sums, *made)
 
 
 def neighbours(
@@ -77,25 +161,39 @@ def neighbours(
 ) -> DataFrame:
     """Nearest known value at or before, and after, each row, however far away.
 
-    Adds `{c}__prev` and `{c}__next`, each a struct (ts, v) or NULL.
+    Adds `{c}__prev` and `{c}__next`, each a struct (ts, v) or NULL. What lies
+    beyond a chunk reaches it as one extra row, sorted before the chunk's own rows.
+    The rows are shuffled once, by (item, chunk): the summary reuses that exchange
+    where `columns` covers the frame, and the union keeps the layout, which a join
+    with its NULL filters on one side would not. A frame that still carries its
+    chunk (see `hourly_grid`) is not shuffled again.
     """
-    point = {
-        f"{c}__pt": F.when(F.col(c).isNotNull(), F.struct(F.col(ts).alias("ts"), F.col(c).alias("v")))
-        for c in columns
-    }
-    chunked = (
-        df.withColumn(CHUNK, chunk_of(F.col(ts), chunk_hours))
-        .repartition(item, CHUNK)
-        .withColumns(point)
-    )
+    kept = [c for c in df.columns if c != CHUNK]
+    chunked = df
+    if CHUNK not in df.columns:
+        chunked = df.withColumn(CHUNK, chunk_of(F.col(ts), chunk_hours)).repartition(item, CHUNK)
+    known_ts = {c: F.when(F.col(c).isNotNull(), F.col(ts)) for c in columns}
     summary = chunked.groupBy(item, CHUNK).agg(
-        *[F.min(f"{c}__pt").alias(f"{c}__first") for c in columns],
-        *[F.max(f"{c}__pt").alias(f"{c}__last") for c in columns],
+        *[F.min(known_ts[c]).alias(f"{c}__first_ts") for c in columns],
+        *[F.min_by(c, known_ts[c]).alias(f"{c}__first_v") for c in columns],
+        *[F.max(known_ts[c]).alias(f"{c}__last_ts") for c in columns],
+        *[F.max_by(c, known_ts[c]).alias(f"{c}__last_v") for c in columns],
+    )
+
+    def point(c: str, side: str) -> Column:
+        at = F.col(f"{c}__{side}_ts")
+        return F.when(at.isNotNull(), F.struct(at.alias("ts"), F.col(f"{c}__{side}_v").alias("v")))
+
+    ends = summary.select(
+        item,
+        CHUNK,
+        *[point(c, side).alias(f"{c}__{side}") for c in columns for side in ("first", "last")],
     )
     before = Window.partitionBy(item).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
+    carry = ends.select(
         item,
         CHUNK,
+        F.lit(0).alias("_own"),
         *[F.last(f"{c}__last", ignorenulls=True).over(before).alias(f"{c}__in_prev") for c in columns],
         *[
             F.expr(
@@ -104,23 +202,33 @@ def neighbours(
             for c in columns
         ],
     )
-    upto = chunk_window(item, ts).rowsBetween(Window.unboundedPreceding, 0)
-    inside = chunked.select(
-        *df.columns,
+    own = chunked.select(
+        *kept,
         CHUNK,
-        *[F.last(f"{c}__pt", ignorenulls=True).over(upto).alias(f"{c}__in") for c in columns],
+        F.lit(1).alias("_own"),
         *[
-            F.expr(
-                f"lead(`{c}__pt`) IGNORE NULLS OVER (PARTITION BY `{item}`, {CHUNK} ORDER BY `{ts}`)"
-            ).alias(f"{c}__out")
+            F.when(F.col(c).isNotNull(), F.struct(F.col(ts).alias("ts"), F.col(c).alias("v"))).alias(f"{c}__pt")
             for c in columns
         ],
     )
-    return inside.join(carry, [item, CHUNK], "left").select(
-        *df.columns,
-        *[F.coalesce(F.col(f"{c}__in"), F.col(f"{c}__in_prev")).alias(f"{c}__prev") for c in columns],
-        *[F.coalesce(F.col(f"{c}__out"), F.col(f"{c}__in_next")).alias(f"{c}__next") for c in columns],
+    rows = own.unionByName(carry.repartition(item, CHUNK), allowMissingColumns=True)
+    upto = (
+        Window.partitionBy(item, CHUNK)
+        .orderBy("_own", ts)
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
+    found = {}
+    for c in columns:
+        found[f"{c}__prev"] = F.coalesce(
+            F.last(f"{c}__pt", ignorenulls=True).over(upto), F.first(f"{c}__in_prev").over(upto)
+        )
+        found[f"{c}__next"] = F.coalesce(
+            F.expr(
+                f"lead(`{c}__pt`) IGNORE NULLS OVER (PARTITION BY `{item}`, {CHUNK} ORDER BY _own, `{ts}`)"
+            ),
+            F.first(f"{c}__in_next").over(upto),
+        )
+    return rows.withColumns(found).filter("_own = 1").select(*kept, *found)
 
 
 def drop_neighbours(df: DataFrame, columns: list[str]) -> DataFrame:

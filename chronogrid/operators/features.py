@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from chronogrid import session
 from chronogrid.functions import numbers, timeparts
 from chronogrid.functions.schema import require_columns
 from chronogrid.operators import align, calendar, chunks, grid, ordered
@@ -87,7 +88,7 @@ def target_columns(target: str, w: WindowSpec) -> dict[str, Column]:
     y = F.col(target)
     columns = {f"{target}_diff": ordered.difference(y, 1, w)}
     columns |= {f"{target}_lag_{k}h": ordered.lag(y, k, w) for k in TARGET_LAGS}
-    columns |= {f"{target}_rolling_mean_{n}h": ordered.rolling_mean(y, n, w) for n in TARGET_WINDOWS}
+    columns |= {f"{target}_rolling_mean_{n}h": ordered.rolling_mean(target, n, w) for n in TARGET_WINDOWS}
     return columns
 
 
@@ -103,7 +104,7 @@ def weather_columns(present: Iterable[str], w: WindowSpec) -> dict[str, Column]:
         columns[f"{name}_change_24h"] = ordered.difference(x, 24, w)
         if name == "temperature":
             columns |= {f"{name}_lag_{k}h": ordered.lag(x, k, w) for k in TEMPERATURE_LAGS}
-        columns |= {f"{name}_rolling_mean_{n}h": ordered.rolling_mean(x, n, w) for n in WEATHER_WINDOWS}
+        columns |= {f"{name}_rolling_mean_{n}h": ordered.rolling_mean(name, n, w) for n in WEATHER_WINDOWS}
     return columns
 
 
@@ -122,10 +123,10 @@ def price_columns(w: WindowSpec) -> dict[str, Column]:
     e, g = F.col("elec_price"), F.col("gas_price")
     columns = {f"elec_price_lag_{k}h": ordered.lag(e, k, w) for k in ELECTRICITY_LAGS}
     for n in ELECTRICITY_WINDOWS:
-        columns[f"elec_price_roll_mean_{n}h"] = ordered.rolling_mean(e, n, w)
-        columns[f"elec_price_roll_std_{n}h"] = ordered.rolling_std(e, n, w)
+        columns[f"elec_price_roll_mean_{n}h"] = ordered.rolling_mean("elec_price", n, w)
+        columns[f"elec_price_roll_std_{n}h"] = ordered.rolling_std("elec_price", n)
     columns |= {f"gas_price_lag_{k}h": ordered.lag(g, k, w) for k in GAS_LAGS}
-    columns |= {f"gas_price_roll_mean_{n}h": ordered.rolling_mean(g, n, w) for n in GAS_WINDOWS}
+    columns |= {f"gas_price_roll_mean_{n}h": ordered.rolling_mean("gas_price", n, w) for n in GAS_WINDOWS}
     columns["gas_to_elec_ratio"] = numbers.ratio(g, e)
     columns["elec_price_diff_1d"] = ordered.difference(e, 24, w)
     columns["elec_price_diff_1w"] = ordered.difference(e, 168, w)
@@ -155,17 +156,25 @@ def prepare_prices(
     """The price feature table.
 
     With `leak_safe`, the first rows of a lag stay NULL. Without it they are filled
-    forward and then backward, which copies later prices to earlier hours.
+    forward and then backward, which copies later prices to earlier hours; the fill
+    reads its input twice, so that is written once.
     """
     regime = regime or Regime()
     merged = merge_prices(electricity, gas_daily, item, ts)
-    wide = chunks.windowed(merged, max(ELECTRICITY_WINDOWS), price_columns, item, ts)
-    wide = wide.withColumns(regime_columns(F.col(ts), regime))
-    if leak_safe:
-        return wide
-    known = {item, ts, "elec_price", "gas_price", "energy_crisis", "crisis_phase"}
-    derived = [c for c in wide.columns if c not in known and not c.startswith("phase_")]
-    return ordered.fill_both_ways(wide, derived, item=item, ts=ts)
+    prices = ["elec_price", "gas_price"]
+    wide = chunks.windowed(
+        merged,
+        max(ELECTRICITY_WINDOWS),
+        price_columns,
+        item,
+        ts,
+        running=prices,
+        spread={"elec_price": ELECTRICITY_WINDOWS},
+    )
+    if not leak_safe:
+        wide = session.materialise(wide, "price-features")
+        wide = ordered.fill_both_ways(wide, [c for c in wide.columns if c not in (item, ts)], item=item, ts=ts)
+    return wide.withColumns(regime_columns(F.col(ts), regime))
 
 
 def rolling_price_analysis(df: DataFrame, item: str = "item_id", ts: str = "ts") -> DataFrame:
@@ -174,15 +183,16 @@ def rolling_price_analysis(df: DataFrame, item: str = "item_id", ts: str = "ts")
 
     def build(w: WindowSpec) -> dict[str, Column]:
         return {
-            "elec_price_7d_mean": ordered.rolling_mean(e, 168, w, full=True),
-            "elec_price_7d_std": ordered.rolling_std(e, 168, w, full=True),
-            "elec_price_30d_mean": ordered.rolling_mean(e, 720, w, full=True),
-            "gas_price_7d_mean": ordered.rolling_mean(g, 168, w, full=True),
-            "gas_price_30d_mean": ordered.rolling_mean(g, 720, w, full=True),
+            "elec_price_7d_mean": ordered.rolling_mean("elec_price", 168, w, full=True),
+            "elec_price_7d_std": ordered.rolling_std("elec_price", 168, full=True),
+            "elec_price_30d_mean": ordered.rolling_mean("elec_price", 720, w, full=True),
+            "gas_price_7d_mean": ordered.rolling_mean("gas_price", 168, w, full=True),
+            "gas_price_30d_mean": ordered.rolling_mean("gas_price", 720, w, full=True),
             "gas_to_elec_ratio": numbers.ratio(g, e),
         }
 
-    return chunks.windowed(df, 720, build, item, ts)
+    prices = ["elec_price", "gas_price"]
+    return chunks.windowed(df, 720, build, item, ts, running=prices, spread={"elec_price": [168]})
 
 
 def stationary(
@@ -225,7 +235,12 @@ def _emission(df: DataFrame, use: FeatureInputs) -> DataFrame:
     if use.target not in df.columns:
         return df
     return chunks.windowed(
-        df, max(TARGET_LAGS), lambda w: target_columns(use.target, w), use.item, use.ts
+        df,
+        max(TARGET_LAGS),
+        lambda w: target_columns(use.target, w),
+        use.item,
+        use.ts,
+        running=[use.target],
     )
 
 
@@ -245,7 +260,12 @@ def _weather(df: DataFrame, use: FeatureInputs) -> DataFrame:
     names = [c for c in ["temperature", *WEATHER_VARIABLES] if c in use.weather.columns]
     joined = df.join(align.assert_unique(use.weather.select(*keys, *names), keys), keys, "left")
     return chunks.windowed(
-        joined, max(WEATHER_WINDOWS), lambda w: weather_columns(names, w), use.item, use.ts
+        joined,
+        max(WEATHER_WINDOWS),
+        lambda w: weather_columns(names, w),
+        use.item,
+        use.ts,
+        running=[n for n in names if n != "is_day"],
     )
 
 

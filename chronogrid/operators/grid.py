@@ -64,13 +64,15 @@ def hourly_grid(
     halo: int = 0,
     chunk_hours: int = CHUNK_HOURS,
     ranges: DataFrame | None = None,
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """One row per series and hour; hours without data carry NULL values.
 
     `df` is unique by (item, ts). Spine and data are merged by a grouping that
     clusters on (item, chunk), which is the layout the chunk windows need, so the
     windows that follow add no shuffle. With a halo the chunk columns are kept for
-    `chunks.windowed`; without one they are dropped.
+    `chunks.windowed`; without one `keep_chunk` keeps the chunk for
+    `chunks.neighbours`.
     """
     ranges = bounds(df, item, ts) if ranges is None else ranges
     empty = [F.lit(None).cast(df.schema[v].dataType).alias(v) for v in values]
@@ -82,7 +84,9 @@ def hourly_grid(
         .groupBy(item, CHUNK, ts)
         .agg(F.max(GHOST).alias(GHOST), *[F.max(v).alias(v) for v in values])
     )
-    return merged if halo else merged.drop(CHUNK, GHOST)
+    if halo:
+        return merged
+    return merged.drop(GHOST) if keep_chunk else merged.drop(CHUNK, GHOST)
 
 
 def missing_hours(df: DataFrame, item: str = "item_id", ts: str = "ts") -> DataFrame:

@@ -30,48 +30,35 @@ def _line(
     return (F.pmod(value, F.lit(360.0)) if circular else value), into
 
 
-def impute_linear(
-    df: DataFrame, columns: list[str], item: str = "item_id", ts: str = "ts"
-) -> DataFrame:
-    """Straight line up to two steps into a gap, then the mean of the neighbours.
-
-    The neighbours of the remaining hole are the last point of the line and the next
-    known value. Leading NULLs stay, a trailing gap gets two repeats only.
-    """
-    near = chunks.neighbours(df, columns, item, ts)
-    filled = {}
-    for c in columns:
-        line, into = _line(c, ts)
-        edge, _ = _line(c, ts, F.lit(float(LINEAR_REACH)))
-        filled[c] = F.coalesce(
-            F.col(c),
-            F.when(into <= LINEAR_REACH, line).otherwise((edge + F.col(f"{c}__next.v")) / 2),
-        )
-    return chunks.drop_neighbours(near.withColumns(filled), columns)
-
-
-def impute_direction(
+def impute(
     df: DataFrame,
     columns: list[str],
+    directions: list[str] = (),
+    circular: bool = False,
     item: str = "item_id",
     ts: str = "ts",
-    circular: bool = False,
 ) -> DataFrame:
-    """Straight line up to two steps into a gap, then its last point, then the next value.
+    """Fill the gaps of all columns in one pass.
+
+    A plain column follows a straight line up to two steps into a gap; the rest of
+    the hole gets the mean of the last point of the line and the next known value.
+    Leading NULLs stay, a trailing gap gets two repeats only.
 
-    With `circular`, degrees take the shorter way around.
+    A direction follows the line as far, then keeps its last point, and leading
+    NULLs take the first known value. With `circular`, degrees take the shorter way
+    around.
     """
-    near = chunks.neighbours(df, columns, item, ts)
+    every = [*columns, *directions]
+    near = chunks.neighbours(df, every, item, ts)
     filled = {}
-    for c in columns:
-        line, into = _line(c, ts, circular=circular)
-        edge, _ = _line(c, ts, F.lit(float(LINEAR_REACH)), circular=circular)
-        filled[c] = F.coalesce(
-            F.col(c),
-            F.when(into <= LINEAR_REACH, line).otherwise(edge),
-            F.col(f"{c}__next.v"),
-        )
-    return chunks.drop_neighbours(near.withColumns(filled), columns)
+    for c in every:
+        turn = circular and c in directions
+        line, into = _line(c, ts, circular=turn)
+        edge, _ = _line(c, ts, F.lit(float(LINEAR_REACH)), circular=turn)
+        later = F.col(f"{c}__next.v")
+        rest = F.coalesce(edge, later) if c in directions else (edge + later) / 2
+        filled[c] = F.coalesce(F.col(c), F.when(into <= LINEAR_REACH, line).otherwise(rest))
+    return chunks.drop_neighbours(near.withColumns(filled), every)
 
 
 def impute_mean(df: DataFrame, column: str) -> DataFrame:

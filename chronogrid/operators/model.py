@@ -9,7 +9,7 @@ from itertools import product
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,15 +185,19 @@ def direct_features(
 ) -> DataFrame:
     """Target history that is still known `horizon` hours ahead."""
     y = F.col(target)
+    total, known = F.col(chunks.running_sum(target)), F.col(chunks.running_count(target))
 
-    def build(w):
+    def build(w: WindowSpec) -> dict[str, Column]:
         return {
             f"{target}_lag_{horizon}h": F.lag(y, horizon).over(w),
             f"{target}_lag_{2 * horizon}h": F.lag(y, 2 * horizon).over(w),
-            f"{target}_mean_before_{horizon}h": F.avg(y).over(w.rowsBetween(-2 * horizon + 1, -horizon)),
+            f"{target}_mean_before_{horizon}h": F.try_divide(
+                F.lag(total, horizon).over(w) - F.coalesce(F.lag(total, 2 * horizon).over(w), F.lit(0.0)),
+                F.lag(known, horizon).over(w) - F.coalesce(F.lag(known, 2 * horizon).over(w), F.lit(0)),
+            ),
         }
 
-    return chunks.windowed(df, 2 * horizon, build, item, ts, chunk_hours)
+    return chunks.windowed(df, 2 * horizon, build, item, ts, chunk_hours, running=[target])
 
 
 def _stages(df: DataFrame, features: list[str]) -> tuple[list, str]:
@@ -219,13 +223,17 @@ def regressors(seed: int = 42) -> dict:
 
 
 def fit(df: DataFrame, target: str, features: list[str], name: str, seed: int = 42) -> PipelineModel:
-    """Fit one candidate on the rows with a known target."""
-    stages, vector = _stages(df, features)
-    regressor = regressors(seed)[name].setFeaturesCol(vector).setLabelCol(target).setPredictionCol("predicted")
+    """Fit one candidate on the rows with a known target.
+
+    Features without any known value in these rows are left out of the fit.
+    """
     numeric = [c for c in features if not isinstance(df.schema[c].dataType, T.StringType)]
     rows = df.filter(F.col(target).isNotNull()).withColumns(
         {c: F.col(c).cast("double") for c in [*numeric, target]}
     )
+    known = rows.agg(*[F.count(c).alias(c) for c in features]).first()
+    stages, vector = _stages(df, [c for c in features if known[c]])
+    regressor = regressors(seed)[name].setFeaturesCol(vector).setLabelCol(target).setPredictionCol("predicted")
     return Pipeline(stages=[*stages, regressor]).fit(rows)
 
 

@@ -18,23 +18,26 @@ def difference(value: Column, k: int, w: WindowSpec) -> Column:
     return value - F.lag(value, k).over(w)
 
 
-def frame_of(w: WindowSpec, rows: int) -> WindowSpec:
-    """The current row and the rows - 1 before it."""
-    return w.rowsBetween(-(rows - 1), 0)
+def rolling_mean(column: str, rows: int, w: WindowSpec, full: bool = False) -> Column:
+    """Mean of the last rows; with `full`, NULL until every row in the frame is known.
 
+    Needs `column` among the running columns of `chunks.windowed`: the frame's sum is
+    the running sum here less the one `rows` rows earlier.
+    """
+    total, known = F.col(chunks.running_sum(column)), F.col(chunks.running_count(column))
+    n = known - F.coalesce(F.lag(known, rows).over(w), F.lit(0))
+    mean = F.try_divide(total - F.coalesce(F.lag(total, rows).over(w), F.lit(0.0)), n)
+    return F.when(n == rows, mean) if full else mean
 
-def rolling_mean(value: Column, rows: int, w: WindowSpec, full: bool = False) -> Column:
-    """Mean of the last rows; with `full`, NULL until every row in the frame is known."""
-    frame = frame_of(w, rows)
-    mean = F.avg(value).over(frame)
-    return F.when(F.count(value).over(frame) == rows, mean) if full else mean
 
+def rolling_std(column: str, rows: int, full: bool = False) -> Column:
+    """Sample standard deviation of the last rows; a single value gives NULL.
 
-def rolling_std(value: Column, rows: int, w: WindowSpec, full: bool = False) -> Column:
-    """Sample standard deviation of the last rows; a single value gives NULL."""
-    frame = frame_of(w, rows)
-    spread = F.stddev_samp(value).over(frame)
-    return F.when(F.count(value).over(frame) == rows, spread) if full else spread
+    Needs the column and length in `spread` of `chunks.windowed`. With `full`, NULL
+    until every row in the frame is known.
+    """
+    value = F.col(chunks.rolling_spread(column, rows))
+    return F.when(F.col(chunks.rolling_known(column, rows)) == rows, value) if full else value
 
 
 def forward_fill(df: DataFrame, columns: list[str], **keys: str) -> DataFrame:

@@ -222,7 +222,7 @@ FILL_TAIL = f"last_value(lin IGNORE NULLS) {FORTH}, first_value(lin IGNORE NULLS
     with_views("grid", more=impute_sql("grid", "y", MEAN_TAIL)) + "SELECT item_id, ts, tidy(y) AS y FROM f_y",
 )
 def impute_linear(t: Tables):
-    return impute.impute_linear(t.grid(), ["y"]).select("item_id", "ts", tidy(F.col("y")).alias("y"))
+    return impute.impute(t.grid(keep_chunk=True), ["y"]).select("item_id", "ts", tidy(F.col("y")).alias("y"))
 
 
 @query(
@@ -237,8 +237,8 @@ def impute_linear(t: Tables):
 )
 def impute_long_gaps(t: Tables):
     ranges = grid.bounds(t.events.withColumnRenamed("event_type", "item_id"))
-    sparse = grid.hourly_grid(t.series.filter("n >= 5"), ["y"], ranges=ranges)
-    return impute.impute_linear(sparse, ["y"]).select("item_id", "ts", tidy(F.col("y")).alias("y"))
+    sparse = grid.hourly_grid(t.series.filter("n >= 5"), ["y"], ranges=ranges, keep_chunk=True)
+    return impute.impute(sparse, ["y"]).select("item_id", "ts", tidy(F.col("y")).alias("y"))
 
 
 @query(
@@ -257,7 +257,7 @@ SPARSE = """sparse AS (SELECT item_id, ts, CASE WHEN n >= 4 THEN y * 3.6 END AS
 def _sparse_direction(t: Tables):
     ranges = grid.bounds(t.events.withColumnRenamed("event_type", "item_id"))
     rows = t.series.filter("n >= 4").withColumn("y", F.col("y") * 3.6)
-    return grid.hourly_grid(rows, ["y"], ranges=ranges)
+    return grid.hourly_grid(rows, ["y"], ranges=ranges, keep_chunk=True)
 
 
 @query(
@@ -266,7 +266,7 @@ def _sparse_direction(t: Tables):
     + "SELECT item_id, ts, tidy(y) AS y FROM f_y",
 )
 def impute_direction(t: Tables):
-    out = impute.impute_direction(_sparse_direction(t), ["y"])
+    out = impute.impute(_sparse_direction(t), [], ["y"])
     return out.select("item_id", "ts", tidy(F.col("y")).alias("y"))
 
 

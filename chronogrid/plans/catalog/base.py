@@ -110,10 +110,10 @@ class Tables:
             F.col("event_type").alias("item_id"), F.date_trunc("hour", "ts").alias("ts")
         ).agg(exact_mean(F.col("value")).alias("y"), F.count("*").alias("n"))
 
-    def grid(self, halo: int = 0) -> DataFrame:
+    def grid(self, halo: int = 0, keep_chunk: bool = False) -> DataFrame:
         """`series` with every hour present."""
         ranges = grid.bounds(self.events.withColumnRenamed("event_type", "item_id"))
-        return grid.hourly_grid(self.series, ["y"], halo=halo, ranges=ranges)
+        return grid.hourly_grid(self.series, ["y"], halo=halo, ranges=ranges, keep_chunk=keep_chunk)
 
     @cached_property
     def wide(self) -> DataFrame:

@@ -190,10 +190,10 @@ def saved_model(t: Tables):
 
 
 def _config() -> forecasting.ForecastConfig:
-    roles = model.Roles(target="y", known=list(features.TEMPORAL))
+    roles = model.Roles(target="target_value", known=list(features.TEMPORAL))
     return forecasting.ForecastConfig(
         roles=roles,
-        inputs=features.FeatureInputs(target="y"),
+        inputs=features.FeatureInputs(target="target_value"),
         sets=frozenset({"temporal"}),
         training_days=None,
         candidates=("linear",),
@@ -204,9 +204,9 @@ def _config() -> forecasting.ForecastConfig:
 @query("m12_operational_prediction")
 def operational_prediction(t: Tables):
     cfg = _config()
-    split = model.holdout(t.grid())
-    past = split.filter("NOT is_test").select("item_id", "ts", "y")
-    future = split.filter("is_test").select("item_id", "ts", "y")
+    split = model.holdout(t.grid().withColumnRenamed("y", "target_value"))
+    past = split.filter("NOT is_test").select("item_id", "ts", "target_value")
+    future = split.filter("is_test").select("item_id", "ts", "target_value")
     trained = forecasting.train(past, cfg)
     return tidied(forecasting.predict(trained, past, future, cfg))
 
@@ -232,7 +232,7 @@ def context_modes(t: Tables):
 
 @query("g2_train_leaderboard")
 def train_leaderboard(t: Tables):
-    return tidied(forecasting.train(t.grid(), _config()).leaderboard)
+    return tidied(forecasting.train(t.grid().withColumnRenamed("y", "target_value"), _config()).leaderboard)
 
 
 @query(

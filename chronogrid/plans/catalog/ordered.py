@@ -67,7 +67,8 @@ def rolling_mean(t: Tables):
     out = chunks.windowed(
         t.grid(336),
         336,
-        lambda w: {f"mean_{n}h": tidy(ordered.rolling_mean(F.col("y"), n, w)) for n in (24, 48, 168, 336)},
+        lambda w: {f"mean_{n}h": tidy(ordered.rolling_mean("y", n, w)) for n in (24, 48, 168, 336)},
+        running=["y"],
     )
     return out.drop("y")
 
@@ -84,11 +85,12 @@ FILLED = """filled AS (SELECT item_id, ts, last_value(y IGNORE NULLS) OVER (PART
     + " FROM filled",
 )
 def rolling_mean_full(t: Tables):
-    filled = ordered.forward_fill(t.grid(), ["y"])
+    filled = ordered.forward_fill(t.grid(keep_chunk=True), ["y"])
     out = chunks.windowed(
         filled,
         720,
-        lambda w: {f"full_{n}h": tidy(ordered.rolling_mean(F.col("y"), n, w, full=True)) for n in (168, 720)},
+        lambda w: {f"full_{n}h": tidy(ordered.rolling_mean("y", n, w, full=True)) for n in (168, 720)},
+        running=["y"],
     )
     return out.drop("y")
 
@@ -102,23 +104,23 @@ def rolling_mean_full(t: Tables):
     FROM filled""",
 )
 def rolling_std(t: Tables):
-    filled = ordered.forward_fill(t.grid(), ["y"])
-    y = F.col("y")
+    filled = ordered.forward_fill(t.grid(keep_chunk=True), ["y"])
     out = chunks.windowed(
         filled,
         168,
         lambda w: {
-            "std_24h": tidy(ordered.rolling_std(y, 24, w)),
-            "std_168h": tidy(ordered.rolling_std(y, 168, w)),
-            "full_std_168h": tidy(ordered.rolling_std(y, 168, w, full=True)),
+            "std_24h": tidy(ordered.rolling_std("y", 24)),
+            "std_168h": tidy(ordered.rolling_std("y", 168)),
+            "full_std_168h": tidy(ordered.rolling_std("y", 168, full=True)),
         },
+        spread={"y": [24, 168]},
     )
     return out.drop("y")
 
 
 @query("w7_forward_fill", with_views("grid", more=FILLED) + "SELECT item_id, ts, tidy(y) AS y FROM filled")
 def forward_fill(t: Tables):
-    out = ordered.forward_fill(t.grid(), ["y"])
+    out = ordered.forward_fill(t.grid(keep_chunk=True), ["y"])
     return out.select("item_id", "ts", tidy(F.col("y")).alias("y"))
 
 
@@ -131,7 +133,7 @@ FORTH = """OVER (PARTITION BY item_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDI
     with_views("grid") + f"SELECT item_id, ts, tidy(first_value(y IGNORE NULLS) {BACK}) AS y FROM grid",
 )
 def backward_fill(t: Tables):
-    out = ordered.backward_fill(t.grid(), ["y"])
+    out = ordered.backward_fill(t.grid(keep_chunk=True), ["y"])
     return out.select("item_id", "ts", tidy(F.col("y")).alias("y"))
 
 

@@ -86,12 +86,9 @@ def combine(
     """
     merged = align.union_with_priority([history, forecast], ["item_id", "ts"])
     values = [c for c in merged.columns if c not in ("item_id", "ts")]
-    full = grid.hourly_grid(merged, values)
-    plain = [c for c in values if c != "wind_direction"]
-    filled = impute.impute_linear(full, plain)
-    if "wind_direction" in values:
-        filled = impute.impute_direction(filled, ["wind_direction"], circular=circular_direction)
-    filled = filled.select("item_id", "ts", *values)
+    full = grid.hourly_grid(merged, values, keep_chunk=True)
+    directions = [c for c in values if c == "wind_direction"]
+    filled = impute.impute(full, [c for c in values if c not in directions], directions, circular_direction)
     if not only_if_gaps:
         return filled
     span = F.unix_seconds(F.max("ts")) - F.unix_seconds(F.min("ts"))
