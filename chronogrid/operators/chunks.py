@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 CHUNK_HOURS = 8192
+# Deviations below this share of the mean are rounding noise of equal values.
+ROUNDING = 4 * 2.220446049250313e-16
 CHUNK = "_chunk"
 GHOST = "_ghost"
 
@@ -110,8 +112,10 @@ def _with_spread(df: DataFrame, column: str, rows: int, item: str, ts: str) -> D
     n = F.col("_hn") + F.col("_tn")
     gap = F.col("_tm") - F.col("_hm")
     square = F.col("_hq") + F.col("_tq") + F.coalesce(F.try_divide(gap * gap * F.col("_hn") * F.col("_tn"), n), F.lit(0.0))
+    noise = F.greatest(F.abs("_hm"), F.abs("_tm")) * F.lit(ROUNDING)
+    spread = F.when(square > n * noise * noise, F.sqrt(square / (n - 1))).otherwise(F.lit(0.0))
     out = {
-        rolling_spread(column, rows): F.when(n > 1, F.sqrt(square / (n - 1))),
+        rolling_spread(column, rows): F.when(n > 1, spread),
         rolling_known(column, rows): n.cast("bigint"),
     }
     helpers = [f"_{side}{name}" for side in "ht" for name in names]

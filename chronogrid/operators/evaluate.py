@@ -22,6 +22,14 @@ PRICE_LABELS = ["Very Low", "Low", "High", "Very High"]
 PRICE_QUARTILES = ["Q1 (Low)", "Q2", "Q3", "Q4 (High)"]
 
 
+def with_errors(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """Error and calendar columns on the rows where `actual` and `predicted` are known."""
+    both = df.filter(F.col("actual").isNotNull() & F.col("predicted").isNotNull())
+    return features.temporal(
+        both.withColumns(numbers.error_columns(F.col("actual"), F.col("predicted"))), ts
+    )
+
+
 def error_table(
     actual: DataFrame,
     forecast: DataFrame,
@@ -41,11 +49,26 @@ def error_table(
         item,
         ts,
     )
-    joined = with_step.join(forecast.select(item, ts, "predicted"), [item, ts])
-    both = joined.filter(F.col("actual").isNotNull() & F.col("predicted").isNotNull())
-    return features.temporal(
-        both.withColumns(numbers.error_columns(F.col("actual"), F.col("predicted"))), ts
+    return with_errors(with_step.join(forecast.select(item, ts, "predicted"), [item, ts]), ts)
+
+
+def naive_error_table(
+    series: DataFrame, target: str, shift: int, item: str = "item_id", ts: str = "ts"
+) -> DataFrame:
+    """Errors of the value `shift` hours earlier as forecast.
+
+    On a gap-free series that value is a lag, so forecast and target step come from
+    one window and need no join.
+    """
+    y = F.col(target)
+    both = chunks.windowed(
+        series,
+        shift,
+        lambda w: {"predicted": F.lag(y, shift).over(w), "actual_diff": y - F.lag(y).over(w)},
+        item,
+        ts,
     )
+    return with_errors(both.withColumnRenamed(target, "actual"), ts)
 
 
 def metric_columns(actual: Column, predicted: Column) -> dict[str, Column]:

@@ -74,7 +74,8 @@ def lagged_correlation(
 def strongest(df: DataFrame, key: str, keys: list[str] = ()) -> DataFrame:
     """The key with the largest absolute correlation; the smaller key wins a tie."""
     best = F.max_by(F.struct(key, "corr"), F.struct(F.abs("corr"), -F.col(key)))
-    return df.filter(F.col("corr").isNotNull()).groupBy(*keys).agg(best.alias("r")).select(*keys, "r.*")
+    known = df.filter(F.col("corr").isNotNull())
+    return known.groupBy(*keys).agg(best.alias("r")).filter("r IS NOT NULL").select(*keys, "r.*")
 
 
 def autocorrelation(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronogrid.functions.numbers import tidy
-from chronogrid.operators import align, features, grid, impute, ordered
+from chronogrid.operators import align, evaluate, features, grid, impute, model, ordered
 from chronogrid.plans.catalog.base import Tables, query, with_views
 from chronogrid.plans.catalog.ordered import BACK, FORTH
 from chronogrid.sources import weather
@@ -107,7 +107,10 @@ ERROR_COLUMNS = ["actual", "predicted", "error", "abs_error", "pct_error", "actu
     + " FROM err",
 )
 def error_table(t: Tables):
-    return t.errors().select(
+    series = t.grid()
+    forecast = model.shifted_forecast(series, "y", 168)
+    errors = evaluate.error_table(series, forecast, "y")
+    return errors.join(t.wide.select("ts", "temperature", "humidity"), "ts", "left").select(
         "item_id", "ts", "hour", "dayofweek", "is_weekend",
         *[tidy(F.col(c)).alias(c) for c in [*ERROR_COLUMNS, "temperature", "humidity"]],
     )

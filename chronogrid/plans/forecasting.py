@@ -179,7 +179,11 @@ def evaluate(
     price: str | None = None,
     crisis: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All error reports over one error table; a report whose column is absent is left out."""
+    """All error reports over one error table; a report whose column is absent is left out.
+
+    The table is written once, since every report reads it again.
+    """
+    errors = session.materialise(errors, "errors")
     reports = {
         "metrics": ev.metrics(errors),
         "patterns": ev.pattern_table(errors),

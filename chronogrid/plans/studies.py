@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronogrid import session
 from chronogrid.functions import numbers, timeparts
 from chronogrid.operators import bins, charts, evaluate, features, stats
 from chronogrid.sources import prices, sinks, utilisation, weather
@@ -58,8 +59,13 @@ def table_summary(tables: dict[str, DataFrame], ts: str = "ts") -> DataFrame:
 
 
 def price_analysis(merged: DataFrame, cfg: StudyConfig) -> dict[str, DataFrame]:
-    """Price reports over hourly prices; gas reports only where gas is present."""
-    hourly = merged.withColumns(features.regime_columns(F.col("ts"), cfg.regime))
+    """Price reports over hourly prices; gas reports only where gas is present.
+
+    The hourly table is written once, since every report reads it again.
+    """
+    hourly = session.materialise(
+        merged.withColumns(features.regime_columns(F.col("ts"), cfg.regime)), "prices"
+    )
     have = [c for c in ("elec_price", "gas_price") if c in merged.columns]
     reports = {
         "describe": stats.describe(hourly, have),
@@ -107,8 +113,13 @@ def quartile_report(df: DataFrame, by: str = "elec_price", value: str = "emissio
 
 
 def price_emission(joined: DataFrame, price: str = "elec_price", value: str = "emission_factor") -> dict[str, DataFrame]:
-    """The price-emission report: overall, by quartile, hour and regime."""
-    hourly = joined.withColumn("hour", timeparts.calendar_parts(F.col("ts"))["hour"])
+    """The price-emission report: overall, by quartile, hour and regime.
+
+    The joined table is written once, since every report reads it again.
+    """
+    hourly = session.materialise(
+        joined.withColumn("hour", timeparts.calendar_parts(F.col("ts"))["hour"]), "price-emission"
+    )
     by_hour = stats.pearson_test(hourly, price, value, ["hour"], MIN_PAIRS)
     reports = {
         "overall": stats.pearson_test(hourly, price, value),
@@ -186,7 +197,7 @@ def correlation_study(
     recent = joined.filter(F.col("ts") >= F.lit(start).cast("timestamp"))
     if "volume_total_wind" in variables and "volume_total_wind" not in joined.columns:
         recent = recent.withColumn("volume_total_wind", F.col("volume_land_wind") + F.col("volume_sea_wind"))
-    changes = features.stationary(recent, variables, item)
+    changes = session.materialise(features.stationary(recent, variables, item), "changes")
     hourly = changes.withColumn("hour", timeparts.calendar_parts(F.col("ts"))["hour"])
     by_hour = stats.pearson(hourly, lead, follow, ["hour"])
     by_lag = stats.lagged_correlation(changes, lead, follow, max_lag, item)
