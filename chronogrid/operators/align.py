@@ -75,8 +75,8 @@ def carry_daily(
 ) -> DataFrame:
     """Each row with the values of its day, or of the latest earlier day that has them.
 
-    The as-of look-up runs over the distinct days, of which there are few; the rows
-    themselves only join by equality on the day.
+    The as-of look-up runs over the distinct days; the rows themselves only join by
+    equality on the day. The broadcast holds at most one row per calendar day.
     """
     day = F.date_trunc("day", F.col(ts)).alias("_day")
     asked = df.select(day).distinct().select("_day", *[F.lit(None).cast("double").alias(v) for v in values])
@@ -88,7 +88,7 @@ def carry_daily(
         .withColumn("_series", F.lit(0))
     )
     carried = ordered.forward_fill(days, values, item="_series", ts="_day").drop("_series")
-    return df.withColumn("_day", day).join(carried, "_day", "left").drop("_day")
+    return df.withColumn("_day", day).join(F.broadcast(carried), "_day", "left").drop("_day")
 
 
 def labelled_metrics(df: DataFrame, dimensions: list[str], value: str) -> DataFrame:

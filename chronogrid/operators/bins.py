@@ -48,9 +48,21 @@ def _brackets(long: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
     return sketch.select(*by, "n", F.explode(F.array(*rows)).alias("t")).select(*by, "n", "t.*")
 
 
-def _sized(small: DataFrame, keys: list[str], few_groups: bool) -> DataFrame:
-    """Broadcast per-group rows only where the number of groups is bounded."""
-    return F.broadcast(small) if few_groups or not keys else small
+def _meet(long: DataFrame, targets: DataFrame, by: list[str], keyed: bool, few_groups: bool) -> DataFrame:
+    """Each row with every target of its group.
+
+    Without keys the targets are as many as columns times probabilities, so they
+    travel as one array value and no join takes place. With keys they are joined,
+    broadcast only where the caller knows that the groups are few.
+    """
+    if keyed:
+        return long.join(F.broadcast(targets) if few_groups else targets, by)
+    fields = ["n", "i", "pos", "lo", "hi"]
+    own = targets.groupBy("feature").agg(F.collect_list(F.struct(*fields)).alias("t"))
+    asked = own.agg(F.map_from_entries(F.collect_list(F.struct("feature", "t")))).scalar()
+    return long.withColumn("_t", F.explode(F.try_element_at(asked, F.col("feature")))).select(
+        "feature", "v", *[F.col(f"_t.{f}").alias(f) for f in fields]
+    )
 
 
 def exact_quantiles(
@@ -66,15 +78,14 @@ def exact_quantiles(
     quantile; a second pass counts the rows below the bracket and, map-side, the
     copies of each value inside it; only those few values are then ranked.
 
-    Without keys there is one bracket per column and probability, which is sent to
-    every task. With keys the optimizer chooses the join by size, unless the caller
-    states with `few_groups` that the keys are few by construction (flags, hours).
+    The frame is read twice; write it first where it is expensive to compute.
+    `few_groups` states that the keys are few by construction (flags, hours).
     """
     by = [*keys, "feature"]
     long = to_long(df, keys, values)
     targets = _brackets(long, by, probs)
     inside = (
-        long.join(_sized(targets, keys, few_groups), by)
+        _meet(long, targets, by, bool(keys), few_groups)
         .filter(F.col("v") <= F.col("hi"))
         .withColumn("v", F.when(F.col("v") >= F.col("lo"), F.col("v")))
         .groupBy(*by, "n", "i", "pos", "v")
@@ -138,18 +149,14 @@ def quantile_bins(
     keys = list(keys)
     probs = [i / q for i in range(q + 1)]
     edges = exact_quantiles(df, keys, [value], probs, few_groups).withColumnRenamed("edges", "_edges")
-    tagged = df.filter(F.col(value).isNotNull()).withColumn("feature", F.lit(value))
-    return (
-        tagged.join(_sized(edges.drop("n"), keys, few_groups), [*keys, "feature"])
-        .withColumn(
-            name,
-            F.when(
-                ~has_tied_edges(F.col("_edges")),
-                right_closed(F.col(value), F.col("_edges"), q),
-            ),
-        )
-        .drop("feature", "_edges")
-    )
+    known = df.filter(F.col(value).isNotNull())
+    if keys:
+        small = edges.select(*keys, "_edges")
+        tagged = known.join(F.broadcast(small) if few_groups else small, keys)
+    else:
+        tagged = known.withColumn("_edges", edges.select("_edges").scalar())
+    number = right_closed(F.col(value), F.col("_edges"), q)
+    return tagged.withColumn(name, F.when(~has_tied_edges(F.col("_edges")), number)).drop("_edges")
 
 
 def equal_width_bin(value: Column, low: Column, high: Column, n: int) -> Column:

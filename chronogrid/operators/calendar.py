@@ -42,8 +42,8 @@ def easter(year: Column) -> Column:
         (century % 4) * 2 + div(in_century, 4) * 2 + 32 - full_moon - in_century % 4
     ) % 7
     late = div(golden + full_moon * 11 + to_sunday * 22, 451)
-    day_count = full_moon + to_sunday - late * 7 + 114
-    return F.make_date(year.cast("int"), div(day_count, 31).cast("int"), (day_count % 31 + 1).cast("int"))
+    after = (full_moon + to_sunday - late * 7).cast("int")
+    return F.date_add(F.make_date(year.cast("int"), F.lit(3), F.lit(22)), after)
 
 
 def holidays(years: DataFrame) -> DataFrame:
@@ -77,29 +77,52 @@ def years_of(df: DataFrame, ts: str = "ts") -> DataFrame:
     return ends.filter("lo IS NOT NULL").select(F.explode(F.sequence("lo", "hi")).alias("year"))
 
 
-def add_holidays(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Columns is_holiday, holiday_name and is_working_day.
+def holiday_name(ts: Column) -> Column:
+    """Name of the holiday a timestamp falls on, else NULL, worked out row by row.
 
-    The dimension has eleven rows per year spanned, which bounds the broadcast.
+    A holiday tied to Easter names a date it shares with a fixed one, as in
+    `holidays`.
     """
-    dimension = holidays(years_of(df, ts)).select(
-        F.col("date").alias("_day"), F.col("name").alias("_name")
+    day = F.to_date(ts)
+
+    def lookup(entries: list[tuple[int, str]]) -> Column:
+        return F.create_map(*[F.lit(x) for entry in entries for x in entry])
+
+    moving = lookup([(shift, name) for shift, name in EASTER_HOLIDAYS])
+    fixed = lookup([(month * 100 + dom, name) for month, dom, name in FIXED_HOLIDAYS])
+    from_easter = F.datediff(day, easter(F.year(day).cast("bigint")))
+    return F.coalesce(
+        F.try_element_at(moving, from_easter),
+        F.try_element_at(fixed, F.month(day) * 100 + F.dayofmonth(day)),
     )
-    joined = df.withColumn("_day", F.to_date(ts)).join(F.broadcast(dimension), "_day", "left")
+
+
+def add_holidays(df: DataFrame, ts: str = "ts", table: DataFrame | None = None) -> DataFrame:
+    """Columns is_holiday, holiday_name and is_working_day.
+
+    The national calendar needs no join and no pass over the data to find its years.
+    A user's own `table` of (date, name) is reduced to one name per calendar day,
+    which bounds the broadcast.
+    """
+    if table is None:
+        named = df.withColumn("_name", holiday_name(F.col(ts)))
+    else:
+        own = table.groupBy(F.col("date").alias("_day")).agg(F.max("name").alias("_name"))
+        named = df.withColumn("_day", F.to_date(ts)).join(F.broadcast(own), "_day", "left").drop("_day")
     known = F.col("_name").isNotNull()
-    return joined.withColumns(
+    return named.withColumns(
         {
             "is_holiday": known.cast("bigint"),
             "holiday_name": F.coalesce(F.col("_name"), F.lit("")),
             "is_working_day": (~known & (F.weekday(ts) < 5)).cast("bigint"),
         }
-    ).drop("_day", "_name")
+    ).drop("_name")
 
 
-def on_holidays(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Only the rows that fall on a holiday."""
-    dimension = holidays(years_of(df, ts)).select(F.col("date").alias("_day"))
-    return df.withColumn("_day", F.to_date(ts)).join(F.broadcast(dimension), "_day", "left_semi").drop("_day")
+def on_holidays(df: DataFrame, dates: DataFrame, ts: str = "ts") -> DataFrame:
+    """Only the rows whose day is among the `date` values of a holiday table."""
+    wanted = dates.select(F.col("date").alias("_day")).distinct()
+    return df.withColumn("_day", F.to_date(ts)).join(F.broadcast(wanted), "_day", "left_semi").drop("_day")
 
 
 def vacation_envelope(days: DataFrame) -> DataFrame:
@@ -130,12 +153,14 @@ def add_vacations(df: DataFrame, periods: DataFrame, ts: str = "ts") -> DataFram
     """Columns is_school_vacation, is_summer_vacation and vacation_type.
 
     `periods` has (type, region, year, start_date, end_date); a day is a vacation
-    day when it is one in any region. The join is left to the size check of the
-    optimizer, since the period table is the user's.
+    day when it is one in any region. The broadcast holds at most one row per
+    calendar day.
     """
     by_day = vacation_days(periods).withColumnRenamed("date", "_day")
     joined = df.withColumn("_day", F.to_date(ts)).join(
-        by_day.withColumnsRenamed({"vacation_type": "_type", "is_summer_vacation": "_summer"}),
+        F.broadcast(
+            by_day.withColumnsRenamed({"vacation_type": "_type", "is_summer_vacation": "_summer"})
+        ),
         "_day",
         "left",
     )

@@ -5,6 +5,9 @@ into chunks of `chunk_hours`; rows near the end of a chunk are repeated in the
 next one as its halo, so a bounded look-back sees exactly the rows it would see
 in the uncut series. Unbounded look-ups (nearest known value) stay inside the
 chunk and take what lies beyond from a one-row-per-chunk summary.
+
+All functions expect at most one row per series and hour (`to_panel`, a grouping by
+hour, or `keep_first` see to that), which bounds a chunk whatever the series.
 """
 
 from __future__ import annotations
@@ -162,6 +165,7 @@ def neighbours(
     item: str = "item_id",
     ts: str = "ts",
     chunk_hours: int = CHUNK_HOURS,
+    anywhere: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Nearest known value at or before, and after, each row, however far away.
 
@@ -171,7 +175,11 @@ def neighbours(
     where `columns` covers the frame, and the union keeps the layout, which a join
     with its NULL filters on one side would not. A frame that still carries its
     chunk (see `hourly_grid`) is not shuffled again.
+
+    `anywhere` adds named flags that tell whether a condition holds in any row of
+    the series.
     """
+    anywhere = anywhere or {}
     kept = [c for c in df.columns if c != CHUNK]
     chunked = df
     if CHUNK not in df.columns:
@@ -182,6 +190,7 @@ def neighbours(
         *[F.min_by(c, known_ts[c]).alias(f"{c}__first_v") for c in columns],
         *[F.max(known_ts[c]).alias(f"{c}__last_ts") for c in columns],
         *[F.max_by(c, known_ts[c]).alias(f"{c}__last_v") for c in columns],
+        *[F.max(condition).alias(name) for name, condition in anywhere.items()],
     )
 
     def point(c: str, side: str) -> Column:
@@ -192,6 +201,7 @@ def neighbours(
         item,
         CHUNK,
         *[point(c, side).alias(f"{c}__{side}") for c in columns for side in ("first", "last")],
+        *anywhere,
     )
     before = Window.partitionBy(item).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select(
@@ -205,6 +215,7 @@ def neighbours(
             ).alias(f"{c}__in_next")
             for c in columns
         ],
+        *[F.max(name).over(Window.partitionBy(item)).alias(name) for name in anywhere],
     )
     own = chunked.select(
         *kept,
@@ -232,6 +243,8 @@ def neighbours(
             ),
             F.first(f"{c}__in_next").over(upto),
         )
+    for name in anywhere:
+        found[name] = F.first(name).over(upto)
     return rows.withColumns(found).filter("_own = 1").select(*kept, *found)
 
 

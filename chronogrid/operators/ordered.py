@@ -70,8 +70,9 @@ def fill_when_probe_missing(
 
     Other series are returned untouched, also where a non-probe column has NULLs.
     """
-    touched = df.groupBy(item).agg(F.max(F.col(probe).isNull()).alias("_fill"))
-    near = chunks.neighbours(df, columns, item=item, ts=ts).join(touched, item, "left")
+    near = chunks.neighbours(
+        df, columns, item, ts, anywhere={"_fill": F.col(probe).isNull()}
+    )
     filled = {
         c: F.when(
             F.col("_fill"),

@@ -101,7 +101,7 @@ def bin_sql(column: str) -> str:
     tidy(stddev_samp(error)) AS std_error, count(error) AS n FROM err, edges WHERE temperature IS NOT NULL GROUP BY 1""",
 )
 def stats_by_bin(t: Tables):
-    out = evaluate.by_quartile(t.errors(), "temperature", evaluate.TEMPERATURE_LABELS)
+    out = evaluate.by_quartile(t.stored_errors(), "temperature", evaluate.TEMPERATURE_LABELS)
     return tidied(out.select("bin", "mean_error", "std_error", "n"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from chronogrid.functions.numbers import exact_mean
 from chronogrid.functions.timeparts import as_utc
 from chronogrid.operators import evaluate, grid
-from chronogrid.session import configure, scratch_path
+from chronogrid.session import configure, materialise, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -171,6 +171,10 @@ class Tables:
         weather = self.wide.select("ts", "temperature", "humidity", "elec_price", "gas_price")
         return table.join(weather, "ts", "left")
 
+    def stored_errors(self) -> DataFrame:
+        """The error table, written once for reports that read it several times."""
+        return materialise(self.errors(), "errors")
+
 
 def query(name: str, sql: str | None = None):
     """Register a query `fn(tables)` under a name, with the SQL that checks it."""

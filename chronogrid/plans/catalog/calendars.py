@@ -13,6 +13,7 @@ from chronogrid.plans.catalog.alignment import UPSAMPLED
 from chronogrid.plans.catalog.base import Tables, query, with_views
 from chronogrid.plans.catalog.ordered import BACK, BY_TIME, FORTH, _frame
 from chronogrid.plans.catalog.scalars import CYCLE_SQL
+from chronogrid.session import materialise
 
 # Easter Sundays of the years in the tables, as an independent list.
 EASTER_SQL = """easter AS (SELECT CAST(d AS DATE) AS d, year(CAST(d AS DATE)) AS year FROM (VALUES ('1995-04-16'), ('1996-04-07'),
@@ -48,6 +49,17 @@ def holiday_features(t: Tables):
     return calendar.add_holidays(t.daily).select("ts", "is_holiday", "holiday_name")
 
 
+@query(
+    "t9_holiday_table_join",
+    with_views("ship", more=HOLIDAY_SQL)
+    + """SELECT h.name AS holiday_name, count(*) AS n FROM ship JOIN all_holidays h ON CAST(ts AS DATE) = h.date GROUP BY 1""",
+)
+def holiday_table_join(t: Tables):
+    table = calendar.holidays(calendar.years_of(t.ship)).select("date", "name")
+    flagged = calendar.add_holidays(t.ship, table=table).filter("is_holiday = 1")
+    return flagged.groupBy("holiday_name").agg(F.count("*").alias("n"))
+
+
 @query(
     "t10_working_days",
     with_views("ship", more=HOLIDAY_SQL)
@@ -68,7 +80,7 @@ def working_days(t: Tables):
     + "SELECT l_orderkey, l_linenumber, ts FROM ship WHERE CAST(ts AS DATE) IN (SELECT date FROM all_holidays)",
 )
 def rows_on_holidays(t: Tables):
-    return calendar.on_holidays(t.ship).select("l_orderkey", "l_linenumber", "ts")
+    return calendar.on_holidays(t.ship, calendar.holidays(calendar.years_of(t.ship))).select("l_orderkey", "l_linenumber", "ts")
 
 
 # Vacation periods by type and region as (month, day) bounds, applied to every year.
@@ -376,7 +388,8 @@ def weather_features(t: Tables):
     + " FROM joined",
 )
 def price_join(t: Tables):
-    prepared = features.prepare_prices(t.wide, t.gas_daily, JANUARY).drop("item_id").filter(F.hour("ts") != 5)
+    stored = materialise(features.prepare_prices(t.wide, t.gas_daily, JANUARY), "price-table")
+    prepared = stored.drop("item_id").filter(F.hour("ts") != 5)
     use = features.FeatureInputs(target="y", prices=prepared)
     out = features.add_features(t.grid().select("item_id", "ts"), use, {"price"})
     doubles = [c for c, kind in out.dtypes if kind == "double"]

@@ -218,9 +218,9 @@ def quantile_edges(t: Tables):
 def tied_edges(t: Tables):
     rows = t.read("lineitem").select(F.floor(F.round(F.col("l_discount") * 100) / 3).cast("double").alias("v"))
     edges = bins.exact_quantiles(rows, [], ["v"], [0, 0.25, 0.5, 0.75, 1.0])
-    tied = edges.filter(bins.has_tied_edges(F.col("edges"))).select("feature")
-    counts = stats.value_counts(rows, "v", 5).withColumn("feature", F.lit("v"))
-    return counts.join(F.broadcast(tied), "feature", "left_semi").select("feature", "value", "n")
+    tied = edges.select(bins.has_tied_edges(F.col("edges"))).scalar()
+    counts = stats.value_counts(rows, "v", 5)
+    return counts.filter(tied).select(F.lit("v").alias("feature"), "value", "n")
 
 
 @query(
@@ -231,10 +231,9 @@ def tied_edges(t: Tables):
 )
 def equal_width(t: Tables):
     rows = t.read("lineitem")
-    low, high = rows.agg(F.min("l_quantity")).scalar(), rows.agg(F.max("l_quantity")).scalar()
-    return rows.select(
-        "l_orderkey", "l_linenumber", bins.equal_width_bin(F.col("l_quantity"), low, high, 3).alias("bin")
-    )
+    ends = rows.agg(F.struct(F.min("l_quantity").alias("low"), F.max("l_quantity").alias("high"))).scalar()
+    number = bins.equal_width_bin(F.col("l_quantity"), F.col("ends.low"), F.col("ends.high"), 3)
+    return rows.withColumn("ends", ends).select("l_orderkey", "l_linenumber", number.alias("bin"))
 
 
 METRIC_SQL = """tidy(sqrt(avg(error * error))) AS rmse, tidy(avg(abs_error)) AS mae,
@@ -336,12 +335,12 @@ def quartile_sql(column: str, labels: list[str]) -> str:
 
 @query("e9_error_by_temperature", quartile_sql("temperature", evaluate.TEMPERATURE_LABELS))
 def error_by_temperature(t: Tables):
-    return tidied(evaluate.by_quartile(t.errors(), "temperature", evaluate.TEMPERATURE_LABELS))
+    return tidied(evaluate.by_quartile(t.stored_errors(), "temperature", evaluate.TEMPERATURE_LABELS))
 
 
 @query("e10_error_by_price", quartile_sql("elec_price", evaluate.PRICE_LABELS))
 def error_by_price(t: Tables):
-    return tidied(evaluate.by_quartile(t.errors(), "elec_price", evaluate.PRICE_LABELS))
+    return tidied(evaluate.by_quartile(t.stored_errors(), "elec_price", evaluate.PRICE_LABELS))
 
 
 @query(
@@ -378,7 +377,7 @@ PROFILE_SQL = (
 @query("e12_feature_profile", PROFILE_SQL)
 def feature_profile(t: Tables):
     x = F.col("temperature")
-    errors = t.errors().withColumns(
+    errors = t.stored_errors().withColumns(
         {
             "third": F.col("hour") % 3,
             "constant": F.lit(7),
@@ -419,7 +418,7 @@ BAND_SQL = (
     tidy(avg(greatest((actual - q90) * 0.9, (actual - q90) * (0.9 - 1)))) AS pinball_high, count(*) AS n FROM b""",
 )
 def band_check(t: Tables):
-    e = t.errors(False)
+    e = t.stored_errors()
     bands = model.residual_bands(e, ["hour"], [0.1, 0.9], few_groups=True)
     forecast = model.quantile_forecast(e.select("item_id", "ts", "hour", "actual", "predicted"), bands, ["hour"], [0.1, 0.9])
     return tidied(evaluate.band_check(forecast))
@@ -430,7 +429,7 @@ def band_check(t: Tables):
     BAND_SQL + "SELECT item_id, ts, tidy(predicted) AS mean, tidy(q10) AS q10, tidy(q90) AS q90 FROM b",
 )
 def quantile_forecast(t: Tables):
-    e = t.errors(False)
+    e = t.stored_errors()
     bands = model.residual_bands(e, ["hour"], [0.1, 0.9], few_groups=True)
     out = model.quantile_forecast(e.select("item_id", "ts", "hour", "predicted"), bands, ["hour"], [0.1, 0.9])
     return tidied(out.drop("hour"))

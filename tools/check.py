@@ -9,7 +9,6 @@ import argparse
 import math
 import sys
 import time
-import traceback
 from decimal import Decimal
 from pathlib import Path
 
@@ -93,8 +92,6 @@ def main() -> int:
             bad += 1
             text = str(error).split("JVM stacktrace")[0][:1500]
             print(f"ERROR {name}: {type(error).__name__} {text}", flush=True)
-            if args.names:
-                traceback.print_exc(limit=6)
     print(f"{bad} not ok")
     return bad
 
