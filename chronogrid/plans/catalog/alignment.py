@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chronogrid.functions import schema
 from chronogrid.functions.numbers import tidy
 from chronogrid.operators import align, evaluate, features, grid, impute, model, ordered
 from chronogrid.plans.catalog.base import Tables, query, with_views
@@ -369,3 +370,74 @@ def forward_fill_daily(t: Tables):
     sparse = t.daily.withColumn("price", F.when(F.col("n") >= 4, F.col("price")))
     out = ordered.forward_fill(sparse.select("item_id", "ts", "price"), ["price"])
     return out.select("ts", tidy(F.col("price"), 3).alias("price"))
+
+
+@query(
+    "u2_union_with_priority",
+    """WITH e AS (SELECT event_id, value, 0 AS prio FROM events WHERE event_type IN ('click', 'view')
+      UNION ALL SELECT event_id, -value, 1 FROM events WHERE event_type IN ('view', 'error'))
+    SELECT event_id, value FROM e QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY prio) = 1""",
+)
+def union_with_priority(t: Tables):
+    rows = t.events.select("event_id", "event_type", "value")
+    first = rows.filter(F.col("event_type").isin("click", "view")).drop("event_type")
+    second = rows.filter(F.col("event_type").isin("view", "error")).drop("event_type")
+    return align.union_with_priority([first, second.withColumn("value", -F.col("value"))], ["event_id"])
+
+
+@query(
+    "u4_column_difference",
+    with_views("daily") + "SELECT ts, tidy3(price) AS price, n FROM daily",
+)
+def column_difference(t: Tables):
+    extra = schema.column_difference(t.daily, t.gas_daily)
+    return t.daily.select("ts", *extra).withColumn("price", tidy(F.col("price"), 3))
+
+
+@query("p1_column_subset", "SELECT l_orderkey, l_shipdate AS ts, l_quantity FROM lineitem")
+def column_subset(t: Tables):
+    return t.read("lineitem").select("l_orderkey", F.col("l_shipdate").cast("timestamp").alias("ts"), "l_quantity")
+
+
+@query(
+    "p2_rename_map",
+    "SELECT o_orderkey AS order_id, o_totalprice AS elec_price, o_orderdate AS ts FROM orders",
+)
+def rename_map(t: Tables):
+    names = {"o_orderkey": "order_id", "o_totalprice": "elec_price", "o_orderdate": "ts"}
+    renamed = t.read("orders").select(*names).withColumnsRenamed(names)
+    return renamed.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query(
+    "p6_leakage_guard",
+    with_views("wide") + "SELECT ts, tidy(temperature) AS temperature, tidy(humidity) AS humidity FROM wide",
+)
+def leakage_guard(t: Tables):
+    covariates = schema.forbid_derived(t.wide.select("ts", "temperature", "humidity"), "emissionfactor")
+    return covariates.withColumns({c: tidy(F.col(c)) for c in ("temperature", "humidity")})
+
+
+@query(
+    "p7_missing_feature_guard",
+    with_views("wide") + "SELECT ts, tidy(elec_price) AS elec_price, tidy(gas_price) AS gas_price FROM wide",
+)
+def missing_feature_guard(t: Tables):
+    wanted = ["elec_price", "gas_price"]
+    return schema.require_columns(t.wide, wanted).select("ts", *[tidy(F.col(c)).alias(c) for c in wanted])
+
+
+@query(
+    "p12_time_column_normaliser",
+    "SELECT event_id, ts, value FROM events",
+)
+def time_column_normaliser(t: Tables):
+    raw = t.events.select("event_id", F.col("ts").alias("validfrom (UTC)"), "value")
+    return schema.normalise_time(raw)
+
+
+@query("x21_column_by_substring", "SELECT o_orderkey, o_orderdate AS ts FROM orders")
+def column_by_substring(t: Tables):
+    orders = t.read("orders")
+    found = schema.find_column(orders.columns, *schema.TIME_WORDS)
+    return orders.select("o_orderkey", F.col(found).cast("timestamp").alias("ts"))

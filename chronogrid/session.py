@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import chronogrid
+
 # Runtime SQL settings. The time zone is pinned because every `ts` is UTC; the
 # co-partition setting lets a join on (item_id, chunk, ts) reuse a layout by
 # (item_id, chunk) instead of shuffling again.
@@ -20,7 +23,12 @@ SQL_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the SQL settings to a session someone else created."""
+    """Apply the SQL settings to a session someone else created.
+
+    The few Python functions of the package travel to the executors by value, so the
+    package need not be installed there.
+    """
+    cloudpickle.register_pickle_by_value(chronogrid)
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
