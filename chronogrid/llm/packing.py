@@ -142,7 +142,7 @@ def pack(
     groups = max(1, -(-docs.count() // group_documents))
     pieces = tokenised_pieces(docs, path, length, end_id, with_ids, id_col, text_col)
     dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(F.lit("pack"), "uid"), F.lit(groups)))
-    schema = StructType(pieces.schema.fields).add("sequence_id", "long").add("offset", "long")
+    schema = StructType(list(pieces.schema.fields)).add("sequence_id", "long").add("offset", "long")
     packed = dealt.groupBy("_group").applyInPandas(_packer(length), schema)
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     return packed.select(*names, *(["ids"] if with_ids else []))

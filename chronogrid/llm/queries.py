@@ -1,13 +1,27 @@
 """The registered queries of this folder, and their SQL where it can express them."""
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chronogrid.llm import codec, packing, token_counts
+from chronogrid.llm import codec, language, packing, pii, quality, simhash, token_counts, toxicity, url_filter, vector_dedup
 from chronogrid.llm.kernels import prepare
 
-QUERIES = {}
-ORACLES = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+TOXIC_FROM = 0.3
+# A demonstration key; a real run takes its own from where it keeps secrets.
+PII_KEY = b"documents-demonstration-key"
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
 
 
 def query(function):
@@ -20,12 +34,94 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fold(folds: int, column: str = "doc_id"):
+    return F.crc32(F.col(column).cast("string")) % folds
+
+
+def learnable(docs: DataFrame, folds: int, held: int) -> DataFrame:
+    """The rows that may be learned from: those outside the held-out fold."""
+    return docs.where(fold(folds) != held)
+
+
+def with_fold(results: DataFrame, folds: int, held: int) -> DataFrame:
+    """Mark the held-out rows; a NULL id is in no fold."""
+    return results.withColumn("held_out", F.coalesce(fold(folds) == held, F.lit(False)))
+
+
+@query
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"), distance=3, shingle=3)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op2_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, folder, "embeddings"), threshold=0.93)
+
+
 @query
 def op3_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return codec.round_trip(table(spark, folder, "documents"), path)
 
 
+@query
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    made = pii.pseudonymise(table(spark, folder, "documents"), PII_KEY, spans_col="spans")
+    return made.select("doc_id", "text", F.size("spans").cast("long").alias("n_spans"), "spans")
+
+
+@query
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = url_filter.rule_table(spark, URL_RULES)
+    return url_filter.judge(table(spark, folder, "pages"), rules)
+
+
+ORACLES["op5_url_filter"] = """
+WITH rests AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+hosts AS (
+    SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM rests),
+parts AS (
+    SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+    FROM hosts),
+rules(rule_host, rule_path, verdict) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+        ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+urls AS (SELECT DISTINCT host, path FROM parts),
+best AS (
+    SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+        arg_max(verdict, length(rule_host || rule_path)) AS verdict
+    FROM urls JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY host, path)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN best USING (host, path)"""
+
+
+@query
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    machines = language.train(learnable(docs, 3, 1))
+    return with_fold(language.predict(docs, machines), 3, 1).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    machine = toxicity.train(docs, learnable(table(spark, folder, "labels"), 4, 2))
+    scored = with_fold(toxicity.score(docs, machine), 4, 2)
+    predicted = (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted")
+    return scored.select("doc_id", "held_out", "score", predicted)
+
+
+@query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.judge(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
