@@ -94,7 +94,7 @@ class Vocabulary:
 
     def __init__(self, first: np.ndarray, last: np.ndarray, table: PairTable, tokens: list[bytes], whole: dict[bytes, int]):
         self.first, self.last, self.table, self.tokens, self.whole = first, last, table, tokens, whole
-        self.cache: dict[str, object] = {}
+        self.memory = Memory()
         self.pairs: dict[int, int] | None = None
         self.layered = True
 
@@ -373,20 +373,32 @@ def cut_ids(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def remembered(
-    cache: dict, lists: list[list[str]], encode: Callable[[list[str]], Iterable], limit: int = 300_000
-) -> dict:
-    """`cache` with a value for every word of `lists`; it then drops what this call did
-    not use if it holds over `limit` words, so its size is bounded."""
-    wanted = set().union(*lists)
-    new = list(wanted.difference(cache))
-    if new:
-        cache.update(zip(new, encode(new), strict=True))
-    if len(cache) > limit:
-        kept = {w: cache[w] for w in wanted}
-        cache.clear()
-        cache.update(kept)
-    return cache
+class Memory(dict):
+    """Numbers words in the order of their first sight, and keeps a value for each."""
+
+    LIMIT = 700_000  # words; more than that, and all are forgotten after the call
+
+    def __init__(self) -> None:
+        self.new: list = []
+        self.values_of: list = []
+
+    def __missing__(self, word) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+    def recall(self, lists: Iterable[Iterable], encode: Callable[[list], Iterable]) -> list[Iterable]:
+        """The values of the words of each list; words not seen before are encoded together."""
+        numbers = [list(map(self.__getitem__, words)) for words in lists]
+        if self.new:
+            self.values_of.extend(encode(self.new))
+            self.new = []
+        values = self.values_of
+        out = [map(values.__getitem__, row) for row in numbers]
+        if len(self) > self.LIMIT:
+            self.clear()
+            self.values_of = []
+        return out
 
 
 def encoded_bytes(words: list[str]) -> list[bytes]:

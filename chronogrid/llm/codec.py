@@ -15,10 +15,8 @@ from chronogrid.llm.kernels import prepare, text_rows
 def encode_texts(vocabulary: bpe.Vocabulary, texts: list[str]) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit integers."""
     lists = [bpe.byte_words(text) for text in texts]
-    known = bpe.remembered(
-        vocabulary.cache, lists, lambda words: bpe.merge_by_tree(vocabulary, bpe.encoded_bytes(words))
-    )
-    return [b"".join(map(known.__getitem__, words)) for words in lists]
+    found = vocabulary.memory.recall(lists, lambda words: bpe.merge_by_tree(vocabulary, bpe.encoded_bytes(words)))
+    return [b"".join(ids) for ids in found]
 
 
 def decode_ids(vocabulary: bpe.Vocabulary, ids: bytes) -> bytes:

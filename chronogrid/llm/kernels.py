@@ -1,5 +1,6 @@
 """Running text kernels inside Spark tasks, and the hot-bucket split of pair searches."""
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,7 +49,13 @@ def text_udf(kernel: Callable[[list[str]], dict], schema: str) -> Callable[[Colu
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = [kernel(texts) for texts in slices(batch)]
+            # Kernels make many small objects and no cycles, so a collector would only look
+            # through the same words again and again.
+            gc.disable()
+            try:
+                parts = [kernel(texts) for texts in slices(batch)]
+            finally:
+                gc.enable()
             columns = [pa.chunked_array([pa.array(p[n], t) for p in parts], t).combine_chunks() for n, t in types]
             yield pa.StructArray.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.concat_arrays(c.chunks) for c in columns],
@@ -58,6 +65,14 @@ def text_udf(kernel: Callable[[list[str]], dict], schema: str) -> Callable[[Colu
     return F.arrow_udf(run, fields)
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that `df` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while stem in taken:
+        stem += "_"
+    return stem
+
+
 def text_rows(docs: DataFrame, kernel: Callable[[list[str]], dict], schema: str, id_col: str, text_col: str) -> DataFrame:
     """(id_col, the columns of `schema`) for every row of `docs`."""
     made = docs.select(F.col(id_col).alias("_id"), text_udf(kernel, schema)(F.col(text_col)).alias("_made"))

@@ -16,6 +16,7 @@ from chronogrid.llm.kernels import prepare, text_udf
 
 # Texts of these characters are lower-cased and cut as below; the tokenizer's own
 # normaliser then does nothing else to them but join white space.
+_PLAIN = re.compile("[\\x1c-\\x1f]|<\\|")
 _RARE = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u0130\\u0250-\\u200f\\u2028-\\u202f\\u205f-\\u209f\\u20c0-\\U0010ffff]|<\\|")
 _WORD = re.compile(
     f"'(?:s|t|re|ve|m|ll|d)|[{bpe.LETTER}]+|[{bpe.NUMBER}]|[^{bpe.SPACE}{bpe.LETTER}{bpe.NUMBER}]+"
@@ -24,10 +25,11 @@ _WORD = re.compile(
 
 def encode_chunks(vocabulary: bpe.Vocabulary, chunks: list[str]) -> list[bytes]:
     """The ids of chunks without white space, as little-endian unsigned 32-bit integers."""
-    lists = [_WORD.findall(chunk) for chunk in chunks]
-    words = list(set().union(*lists))
-    ids = dict(zip(words, bpe.cut_ids(*bpe.merge_by_rank(vocabulary, bpe.encoded_bytes(words))), strict=True))
-    return [b"".join(map(ids.__getitem__, words)) for words in lists]
+    lists = [[chunk] if chunk.isalpha() else _WORD.findall(chunk) for chunk in chunks]
+    ids, counts = bpe.merge_by_rank(vocabulary, bpe.encoded_bytes([word for words in lists for word in words]))
+    ends = np.cumsum([len(words) for words in lists])
+    total = np.concatenate([[0], np.cumsum(counts)])[ends]
+    return bpe.cut_ids(ids, np.diff(total, prepend=0))
 
 
 def encode_texts(parts: dict, texts: list[str]) -> list[bytes]:
@@ -37,10 +39,9 @@ def encode_texts(parts: dict, texts: list[str]) -> list[bytes]:
     normaliser goes through the tokenizer itself.
     """
     vocabulary = bpe.on_worker(parts)
-    rare = [_RARE.search(text) is not None for text in texts]
+    rare = [(_PLAIN if text.isascii() else _RARE).search(text) is not None for text in texts]
     lists = [[] if odd else text.lower().split() for text, odd in zip(texts, rare, strict=True)]
-    known = bpe.remembered(vocabulary.cache, lists, lambda chunks: encode_chunks(vocabulary, chunks))
-    out = [b"".join(map(known.__getitem__, chunks)) for chunks in lists]
+    out = [b"".join(ids) for ids in vocabulary.memory.recall(lists, lambda chunks: encode_chunks(vocabulary, chunks))]
     if any(rare):
         tokenizer = parts.setdefault("tokenizer", None) or Tokenizer.from_str(parts["json"])
         parts["tokenizer"] = tokenizer

@@ -34,8 +34,8 @@ def count_tokens(
                 sections = [s for section in sections for s in section.split(special)]
             lists.append([word for section in sections for word in bpe.byte_words(section)])
             extra.append(len(sections) - 1)
-        known = bpe.remembered(bpe.on_worker(parts.value).cache, lists, count)
-        totals = [sum(map(known.__getitem__, words)) + n for words, n in zip(lists, extra, strict=True)]
+        found = bpe.on_worker(parts.value).memory.recall(lists, count)
+        totals = [sum(counts) + n for counts, n in zip(found, extra, strict=True)]
         return {
             "n_bytes": [len(text.encode()) for text in texts],
             "n_tokens": totals,
