@@ -11,7 +11,7 @@ from math import isqrt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronogrid.llm.kernels import prepare, text_udf
+from chronogrid.llm.kernels import free_name, prepare, text_udf
 
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
@@ -296,8 +296,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", spans_col:
     every document, and different ones different. What is not valid stays. With
     `spans_col`, that column lists kind, start and end of each replacement in the old
     text. A NULL text stays NULL with no spans, an empty one empty; repeated rows stay;
-    an empty table gives an empty result. Only `text_col` is touched, so other columns
-    may have any names but `spans_col`.
+    an empty table gives an empty result. Only `text_col` is touched; other columns may
+    have any names but `spans_col`.
     """
     prepare(docs.sparkSession)
 
@@ -307,7 +307,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", spans_col:
         return {"text": [m[0] for m in made], "spans": [m[1] for m in made]}
 
     schema = "text string, spans array<struct<kind:string,start:int,end:int>>"
-    held = docs.withColumn("__pii", text_udf(kernel, schema)(F.col(text_col)))
-    text = F.when(F.col(text_col).isNotNull(), F.col("__pii.text")).alias(text_col)
+    made = free_name(docs, "made")
+    held = docs.withColumn(made, text_udf(kernel, schema)(F.col(text_col)))
+    text = F.when(F.col(text_col).isNotNull(), F.col(f"{made}.text")).alias(text_col)
     columns = [text if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return held.select(*columns, *([F.col("__pii.spans").alias(spans_col)] if spans_col else []))
+    return held.select(*columns, *([F.col(f"{made}.spans").alias(spans_col)] if spans_col else []))

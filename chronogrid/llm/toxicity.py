@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronogrid.llm.bpe import remembered
+from chronogrid.llm.bpe import Memory
 from chronogrid.llm.grams import balanced_sample, letters_only
 from chronogrid.llm.kernels import prepare, text_rows, text_udf
 
@@ -151,15 +151,15 @@ SCHEMA = "score double"
 
 
 def _kernel(spark, machine: Machine):
-    parts = spark.sparkContext.broadcast(vars(machine) | {"cache": {}})
+    parts = spark.sparkContext.broadcast(vars(machine))
 
     def kernel(texts: list[str]) -> dict:
-        value = dict(parts.value)
-        cache = value.pop("cache")
-        model = Machine(**value)
-        lists = [list(set(letters_only(text).split())) for text in texts]
-        known = remembered(cache, lists, model.slots_of)
-        return {"score": [model.score(set(chain.from_iterable(map(known.__getitem__, words)))) for words in lists]}
+        value = parts.value  # kept by the worker process, and the memory with it
+        memory = value.setdefault("memory", None) or Memory()
+        value["memory"] = memory
+        model = Machine(*(value[name] for name in ("slots", "w", "v", "bias")))
+        lists = [set(letters_only(text).split()) for text in texts]
+        return {"score": [model.score(set(chain.from_iterable(s))) for s in memory.recall(lists, model.slots_of)]}
 
     return kernel
 
