@@ -73,8 +73,7 @@ def chunk_speedup(spark: SparkSession, folder: str) -> dict[str, float]:
     cut = chunks.windowed(
         series,
         168,
-        lambda w: {"m": ordered.rolling_mean("y", 168, w), "s": ordered.rolling_std("y", 168)},
-        running=["y"],
+        lambda w: {"m": ordered.rolling_mean("y", 168), "s": ordered.rolling_std("y", 168)},
         spread={"y": [168]},
     )
     cut_time = min(seconds(cut) for _ in range(2))

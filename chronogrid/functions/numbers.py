@@ -33,14 +33,21 @@ def null_if_nan(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def exact_mean(value: Column, scale: int = 2) -> Column:
-    """Mean of fixed-point measurements through an exact decimal sum.
+def exact_sum(value: Column, scale: int = 10) -> Column:
+    """Sum of measurements with `scale` digits after the point, added as decimals.
 
-    The result does not depend on the order in which partial sums are merged, so
-    a recomputed task gives the same bits as the lost one.
+    It does not depend on the order in which partial sums are merged, so a recomputed
+    task gives the same bits as the lost one. NULL if a value has over 28 - scale digits
+    before the point or is not finite.
     """
-    total = F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
-    return total / F.count(value)
+    fixed = value.try_cast(f"decimal(28,{scale})")
+    whole = F.count(value) == F.count(fixed)
+    return F.when(whole, F.sum(fixed).cast("double"))
+
+
+def exact_mean(value: Column, scale: int = 10) -> Column:
+    """Mean through `exact_sum`; values that it cannot hold give the plain mean."""
+    return F.coalesce(F.try_divide(exact_sum(value, scale), F.count(value)), F.avg(value))
 
 
 def tidy(value: Column, digits: int = 6) -> Column:

@@ -54,9 +54,11 @@ def price_trend(df: DataFrame, item: str = "item_id") -> DataFrame:
     )
 
 
-def year_month_matrix(df: DataFrame, value: str, years: list[int], ts: str = "ts") -> DataFrame:
-    """Mean by month with one column per year."""
+def year_month_matrix(df: DataFrame, value: str, ts: str = "ts") -> DataFrame:
+    """Mean by month with one column for every year in the data."""
     parts = timeparts.calendar_parts(F.col(ts))
+    found = df.select(parts["year"].alias("year")).where("year IS NOT NULL").distinct().orderBy("year")
+    years = [row["year"] for row in found.collect()]
     return (
         df.select(parts["month"].alias("month"), parts["year"].alias("year"), value)
         .groupBy("month")

@@ -55,14 +55,9 @@ def chunk_window(item: str = "item_id", ts: str = "ts") -> WindowSpec:
     return Window.partitionBy(item, CHUNK).orderBy(ts)
 
 
-def running_sum(column: str) -> str:
-    """Name of the running sum `windowed` keeps for a column."""
-    return f"{column}__rs"
-
-
-def running_count(column: str) -> str:
-    """Name of the running count of known values `windowed` keeps for a column."""
-    return f"{column}__rn"
+def rolling_average(column: str, rows: int) -> str:
+    """Name of the rolling mean `windowed` keeps for a column."""
+    return f"{column}__mn{rows}"
 
 
 def rolling_spread(column: str, rows: int) -> str:
@@ -71,58 +66,106 @@ def rolling_spread(column: str, rows: int) -> str:
 
 
 def rolling_known(column: str, rows: int) -> str:
-    """Name of the number of known values behind a rolling deviation."""
+    """Name of the number of known values behind a rolling mean or deviation."""
     return f"{column}__sn{rows}"
 
 
-def _finite(column: str) -> Column:
-    x = F.col(column).cast("double")
-    return F.when(F.abs(x) < F.lit(float("inf")), x)
+def _field(column: str, rows: int, name: str) -> str:
+    return f"_{column}_{rows}_{name}"
 
 
-def _with_spread(df: DataFrame, column: str, rows: int, item: str, ts: str) -> DataFrame:
-    """Add the sample deviation and count over the last `rows` rows of a chunk.
+def _merged(near: dict[str, Column], far: dict[str, Column]) -> dict[str, Column]:
+    """Moments of two neighbouring frames together: counts, sums or means, squares."""
+    n = near["n"] + far["n"]
+    if "s" in near:
+        return {"n": n, "s": near["s"] + far["s"]}
+    gap = far["m"] - near["m"]
+    share = F.coalesce(F.try_divide(far["n"], n), F.lit(0.0))
+    return {
+        "n": n,
+        "m": F.when(near["n"] > 0, near["m"] + gap * share).otherwise(far["m"]),
+        "q": near["q"] + far["q"] + gap * gap * near["n"] * share,
+    }
 
-    The rows of a chunk are cut into blocks of `rows`. Every frame then is the tail
-    of one block and the head of the next, each of which has running moments, and
-    the two are merged. This costs the same per row whatever the frame length, and
-    unlike a difference of running squares it loses no digits.
+
+def _with_rolling(
+    df: DataFrame, means: dict[str, list[int]], spread: dict[str, list[int]], item: str, ts: str
+) -> DataFrame:
+    """Add mean, count and (for `spread`) sample deviation over the last rows of a chunk.
+
+    Moments over a short frame come from the rows; those over twice the rows merge a
+    frame with the one before it, and any length is a sum of such frames. So the cost
+    per row grows with the logarithm of the length, all steps share one sort, and no
+    large value leaves a trace outside the frames that hold it, as it would in a
+    difference of running sums. NaN counts as missing; an infinite value makes the
+    results of its own frames infinite or NaN.
     """
     w = chunk_window(item, ts)
-    names = ["n", "m", "q"]
-
-    def moments(order: Column, prefix: str) -> dict[str, Column]:
-        frame = (
-            Window.partitionBy(item, CHUNK, "_block")
-            .orderBy(order)
-            .rowsBetween(Window.unboundedPreceding, 0)
-        )
-        x = _finite(column)
-        n = F.count(x).over(frame)
-        made = [n, F.coalesce(F.avg(x).over(frame), F.lit(0.0)), F.coalesce(F.var_pop(x).over(frame) * n, F.lit(0.0))]
-        return {f"_{prefix}{name}": value for name, value in zip(names, made)}
-
-    blocks = df.withColumn("_pos", F.row_number().over(w) - 1).withColumn(
-        "_block", F.floor(F.col("_pos") / F.lit(rows))
-    )
-    both = blocks.withColumns(moments(F.col(ts).asc(), "h")).withColumns(moments(F.col(ts).desc(), "t"))
-    split = F.col("_pos") % rows < rows - 1
-    tail = {
-        f"_t{name}": F.when(split, F.coalesce(F.lag(f"_t{name}", rows - 1).over(w), F.lit(0.0))).otherwise(F.lit(0.0))
-        for name in names
-    }
-    merged = both.withColumns(tail)
-    n = F.col("_hn") + F.col("_tn")
-    gap = F.col("_tm") - F.col("_hm")
-    square = F.col("_hq") + F.col("_tq") + F.coalesce(F.try_divide(gap * gap * F.col("_hn") * F.col("_tn"), n), F.lit(0.0))
-    noise = F.greatest(F.abs("_hm"), F.abs("_tm")) * F.lit(ROUNDING)
-    spread = F.when(square > n * noise * noise, F.sqrt(square / (n - 1))).otherwise(F.lit(0.0))
-    out = {
-        rolling_spread(column, rows): F.when(n > 1, spread),
-        rolling_known(column, rows): n.cast("bigint"),
-    }
-    helpers = [f"_{side}{name}" for side in "ht" for name in names]
-    return merged.withColumns(out).drop("_pos", "_block", *helpers)
+    lengths = {c: sorted({*means.get(c, []), *spread.get(c, [])}) for c in [*means, *spread]}
+    base = {c: 24 if all(n % 24 == 0 for n in rows) else 1 for c, rows in lengths.items()}
+    fields = {c: ["n", "m", "q"] if c in spread else ["n", "s"] for c in lengths}
+    kept = df.columns
+
+    def state(c: str, rows: int) -> dict[str, Column]:
+        return {f: F.col(_field(c, rows, f)) for f in fields[c]}
+
+    def step(out: DataFrame, wanted: list[tuple[str, int, int, int]]) -> DataFrame:
+        """Merge, for each (column, rows, part, name), the frame of `rows` rows with the
+        frame of `part` rows before it."""
+        lagged = {
+            f"_lag{i}_{f}": F.coalesce(F.lag(value, rows).over(w), F.lit(0).cast("double"))
+            for i, (c, rows, part, _) in enumerate(wanted)
+            for f, value in state(c, part).items()
+        }
+        made = {}
+        for i, (c, rows, _, name) in enumerate(wanted):
+            far = {f: F.col(f"_lag{i}_{f}") for f in fields[c]}
+            made |= {_field(c, name, f): v for f, v in _merged(state(c, rows), far).items()}
+        return out.withColumns(lagged).withColumns(made).drop(*lagged)
+
+    first = {}
+    for c in lengths:
+        x = F.col(c).cast("double")
+        x = F.when(~F.isnan(x), x)
+        if base[c] == 1:
+            made = {"n": x.isNotNull().cast("double"), "s": F.coalesce(x, F.lit(0.0)), "m": F.coalesce(x, F.lit(0.0)), "q": F.lit(0.0)}
+        else:
+            frame = w.rowsBetween(1 - base[c], 0)
+            n = F.count(x).over(frame).cast("double")
+            made = {"n": n, "s": F.coalesce(F.sum(x).over(frame), F.lit(0.0))}
+            if c in spread:
+                made |= {"m": F.coalesce(F.avg(x).over(frame), F.lit(0.0)), "q": F.coalesce(F.var_pop(x).over(frame) * n, F.lit(0.0))}
+        first |= {_field(c, base[c], f): made[f] for f in fields[c]}
+    out = df.withColumns(first)
+    power = 1
+    while wide := [(c, power * base[c], power * base[c], 2 * power * base[c]) for c in lengths if 2 * power * base[c] <= lengths[c][-1]]:
+        out = step(out, wide)
+        power *= 2
+    # Each length as frames of falling powers of two, one behind the other.
+    todo = []
+    for c, all_rows in lengths.items():
+        for rows in all_rows:
+            units = rows // base[c]
+            parts = [base[c] << k for k in reversed(range(units.bit_length())) if units >> k & 1]
+            todo.append((c, parts))
+    place = 1
+    while wide := [(c, sum(parts[:place]), parts[place], sum(parts[: place + 1])) for c, parts in todo if len(parts) > place]:
+        seen = {(c, name): (c, rows, part, name) for c, rows, part, name in wide if _field(c, name, "n") not in out.columns}
+        if seen:
+            out = step(out, list(seen.values()))
+        place += 1
+    results = {}
+    for c, all_rows in lengths.items():
+        for rows in all_rows:
+            got = state(c, rows)
+            mean = got["m"] if "m" in got else F.try_divide(got["s"], got["n"])
+            results[rolling_average(c, rows)] = F.when(got["n"] > 0, mean)
+            results[rolling_known(c, rows)] = got["n"].cast("bigint")
+            if c in spread:
+                noise = F.abs(got["m"]) * F.lit(ROUNDING) * F.lit(float(max(rows, 16)) ** 0.5)
+                deviation = F.when(got["q"] > got["n"] * noise * noise, F.sqrt(got["q"] / (got["n"] - 1))).otherwise(F.when(F.isnan(got["q"]), got["q"]).otherwise(0.0))
+                results[rolling_spread(c, rows)] = F.when(got["n"] > 1, deviation)
+    return out.select(*kept, *[v.alias(k) for k, v in results.items()])
 
 
 def windowed(
@@ -132,31 +175,50 @@ def windowed(
     item: str = "item_id",
     ts: str = "ts",
     chunk_hours: int = CHUNK_HOURS,
-    running: list[str] = (),
+    means: dict[str, list[int]] | None = None,
     spread: dict[str, list[int]] | None = None,
 ) -> DataFrame:
     """Add the columns `build` makes from the chunk window.
 
     Frames that already carry a halo (see `hourly_grid`) are used as they are, so
-    gap filling and windows share one shuffle. For the columns named in `running`
-    a running sum and count within the chunk are at hand for `build`; with them a
-    rolling mean costs the same per row whatever its length. `spread` names the
-    columns and frame lengths for which rolling deviations are at hand.
+    gap filling and windows share one shuffle. `means` and `spread` name the columns
+    and frame lengths for which rolling means, and means with deviations, are at hand
+    for `build` (see `_with_rolling`).
     """
     source = df if GHOST in df.columns else with_halo(df.drop(CHUNK), halo, ts, chunk_hours)
-    made = []
-    for column, lengths in (spread or {}).items():
-        for rows in lengths:
-            source = _with_spread(source, column, rows, item, ts)
-            made += [rolling_spread(column, rows), rolling_known(column, rows)]
-    w = chunk_window(item, ts)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    sums = {}
-    for c in running:
-        sums[running_sum(c)] = F.sum(_finite(c)).over(upto)
-        sums[running_count(c)] = F.count(_finite(c)).over(upto)
-    out = source.withColumns(sums).withColumns(build(w))
-    return out.filter(~F.col(GHOST)).drop(CHUNK, GHOST, *sums, *made)
+    before = source.columns
+    if means or spread:
+        source = _with_rolling(source, means or {}, spread or {}, item, ts)
+    made = [c for c in source.columns if c not in before]
+    out = source.withColumns(build(chunk_window(item, ts)))
+    return out.filter(~F.col(GHOST)).drop(CHUNK, GHOST, *made)
+
+
+def with_row_halo(
+    df: DataFrame, halo: int, item: str = "item_id", ts: str = "ts", chunk_hours: int = CHUNK_HOURS
+) -> DataFrame:
+    """Cut series by row number instead of time, for look-backs that count rows.
+
+    Where hours are missing, `halo` rows may reach back any number of hours. Rows are
+    numbered by chunk first; the chunk sizes (one row each) give what lies before a
+    chunk. Blocks of `chunk_hours` rows then get the last `halo` rows of the block
+    before. `windowed` takes the frame as it is.
+    """
+    if halo > chunk_hours:
+        raise ValueError(f"look-back of {halo} rows exceeds the block of {chunk_hours} rows")
+    chunked = df.drop(CHUNK, GHOST).withColumn(CHUNK, chunk_of(F.col(ts), chunk_hours)).repartition(item, CHUNK)
+    earlier = Window.partitionBy(item).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = chunked.groupBy(item, CHUNK).agg(F.count("*").alias("_size"))
+    sizes = sizes.select(item, CHUNK, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    inside = chunked.withColumn("_row", F.row_number().over(chunk_window(item, ts)) - 1)
+    at = F.col("_before") + F.col("_row")
+    own = F.floor(at / F.lit(chunk_hours)).cast("bigint")
+    near_end = at % chunk_hours >= chunk_hours - halo
+    copies = F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own)))
+    numbered = inside.join(sizes, [item, CHUNK]).withColumn("_own", own).withColumn("_block", copies)
+    return numbered.withColumns({CHUNK: F.col("_block"), GHOST: F.col("_block") != F.col("_own")}).drop(
+        "_before", "_row", "_own", "_block"
+    )
 
 
 def neighbours(

@@ -88,7 +88,7 @@ def target_columns(target: str, w: WindowSpec) -> dict[str, Column]:
     y = F.col(target)
     columns = {f"{target}_diff": ordered.difference(y, 1, w)}
     columns |= {f"{target}_lag_{k}h": ordered.lag(y, k, w) for k in TARGET_LAGS}
-    columns |= {f"{target}_rolling_mean_{n}h": ordered.rolling_mean(target, n, w) for n in TARGET_WINDOWS}
+    columns |= {f"{target}_rolling_mean_{n}h": ordered.rolling_mean(target, n) for n in TARGET_WINDOWS}
     return columns
 
 
@@ -104,7 +104,7 @@ def weather_columns(present: Iterable[str], w: WindowSpec) -> dict[str, Column]:
         columns[f"{name}_change_24h"] = ordered.difference(x, 24, w)
         if name == "temperature":
             columns |= {f"{name}_lag_{k}h": ordered.lag(x, k, w) for k in TEMPERATURE_LAGS}
-        columns |= {f"{name}_rolling_mean_{n}h": ordered.rolling_mean(name, n, w) for n in WEATHER_WINDOWS}
+        columns |= {f"{name}_rolling_mean_{n}h": ordered.rolling_mean(name, n) for n in WEATHER_WINDOWS}
     return columns
 
 
@@ -123,10 +123,10 @@ def price_columns(w: WindowSpec) -> dict[str, Column]:
     e, g = F.col("elec_price"), F.col("gas_price")
     columns = {f"elec_price_lag_{k}h": ordered.lag(e, k, w) for k in ELECTRICITY_LAGS}
     for n in ELECTRICITY_WINDOWS:
-        columns[f"elec_price_roll_mean_{n}h"] = ordered.rolling_mean("elec_price", n, w)
+        columns[f"elec_price_roll_mean_{n}h"] = ordered.rolling_mean("elec_price", n)
         columns[f"elec_price_roll_std_{n}h"] = ordered.rolling_std("elec_price", n)
     columns |= {f"gas_price_lag_{k}h": ordered.lag(g, k, w) for k in GAS_LAGS}
-    columns |= {f"gas_price_roll_mean_{n}h": ordered.rolling_mean("gas_price", n, w) for n in GAS_WINDOWS}
+    columns |= {f"gas_price_roll_mean_{n}h": ordered.rolling_mean("gas_price", n) for n in GAS_WINDOWS}
     columns["gas_to_elec_ratio"] = numbers.ratio(g, e)
     columns["elec_price_diff_1d"] = ordered.difference(e, 24, w)
     columns["elec_price_diff_1w"] = ordered.difference(e, 168, w)
@@ -161,14 +161,13 @@ def prepare_prices(
     """
     regime = regime or Regime()
     merged = merge_prices(electricity, gas_daily, item, ts)
-    prices = ["elec_price", "gas_price"]
     wide = chunks.windowed(
         merged,
         max(ELECTRICITY_WINDOWS),
         price_columns,
         item,
         ts,
-        running=prices,
+        means={"gas_price": GAS_WINDOWS},
         spread={"elec_price": ELECTRICITY_WINDOWS},
     )
     if not leak_safe:
@@ -183,25 +182,29 @@ def rolling_price_analysis(df: DataFrame, item: str = "item_id", ts: str = "ts")
 
     def build(w: WindowSpec) -> dict[str, Column]:
         return {
-            "elec_price_7d_mean": ordered.rolling_mean("elec_price", 168, w, full=True),
+            "elec_price_7d_mean": ordered.rolling_mean("elec_price", 168, full=True),
             "elec_price_7d_std": ordered.rolling_std("elec_price", 168, full=True),
-            "elec_price_30d_mean": ordered.rolling_mean("elec_price", 720, w, full=True),
-            "gas_price_7d_mean": ordered.rolling_mean("gas_price", 168, w, full=True),
-            "gas_price_30d_mean": ordered.rolling_mean("gas_price", 720, w, full=True),
+            "elec_price_30d_mean": ordered.rolling_mean("elec_price", 720, full=True),
+            "gas_price_7d_mean": ordered.rolling_mean("gas_price", 168, full=True),
+            "gas_price_30d_mean": ordered.rolling_mean("gas_price", 720, full=True),
             "gas_to_elec_ratio": numbers.ratio(g, e),
         }
 
-    prices = ["elec_price", "gas_price"]
-    return chunks.windowed(df, 720, build, item, ts, running=prices, spread={"elec_price": [168]})
+    means = {"gas_price": [168, 720]}
+    return chunks.windowed(df, 720, build, item, ts, means=means, spread={"elec_price": [168, 720]})
 
 
 def stationary(
-    df: DataFrame, columns: list[str], item: str = "item_id", ts: str = "ts"
+    df: DataFrame,
+    columns: list[str],
+    item: str = "item_id",
+    ts: str = "ts",
+    chunk_hours: int = chunks.CHUNK_HOURS,
 ) -> DataFrame:
-    """First differences of all columns; rows with an unknown difference are dropped."""
+    """Differences to the row before, however long ago; rows with an unknown one are dropped."""
     out = chunks.windowed(
-        df.select(item, ts, *columns),
-        24,
+        chunks.with_row_halo(df.select(item, ts, *columns), 1, item, ts, chunk_hours),
+        1,
         lambda w: {f"d_{c}": ordered.difference(F.col(c), 1, w) for c in columns},
         item,
         ts,
@@ -240,7 +243,7 @@ def _emission(df: DataFrame, use: FeatureInputs) -> DataFrame:
         lambda w: target_columns(use.target, w),
         use.item,
         use.ts,
-        running=[use.target],
+        means={use.target: TARGET_WINDOWS},
     )
 
 
@@ -265,7 +268,7 @@ def _weather(df: DataFrame, use: FeatureInputs) -> DataFrame:
         lambda w: weather_columns(names, w),
         use.item,
         use.ts,
-        running=[n for n in names if n != "is_day"],
+        means={n: WEATHER_WINDOWS for n in names if n != "is_day"},
     )
 
 

@@ -185,19 +185,16 @@ def direct_features(
 ) -> DataFrame:
     """Target history that is still known `horizon` hours ahead."""
     y = F.col(target)
-    total, known = F.col(chunks.running_sum(target)), F.col(chunks.running_count(target))
+    mean = F.col(chunks.rolling_average(target, horizon))
 
     def build(w: WindowSpec) -> dict[str, Column]:
         return {
             f"{target}_lag_{horizon}h": F.lag(y, horizon).over(w),
             f"{target}_lag_{2 * horizon}h": F.lag(y, 2 * horizon).over(w),
-            f"{target}_mean_before_{horizon}h": F.try_divide(
-                F.lag(total, horizon).over(w) - F.coalesce(F.lag(total, 2 * horizon).over(w), F.lit(0.0)),
-                F.lag(known, horizon).over(w) - F.coalesce(F.lag(known, 2 * horizon).over(w), F.lit(0)),
-            ),
+            f"{target}_mean_before_{horizon}h": F.lag(mean, horizon).over(w),
         }
 
-    return chunks.windowed(df, 2 * horizon, build, item, ts, chunk_hours, running=[target])
+    return chunks.windowed(df, 2 * horizon, build, item, ts, chunk_hours, means={target: [horizon]})
 
 
 def _stages(df: DataFrame, features: list[str]) -> tuple[list, str]:

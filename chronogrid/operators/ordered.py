@@ -18,16 +18,13 @@ def difference(value: Column, k: int, w: WindowSpec) -> Column:
     return value - F.lag(value, k).over(w)
 
 
-def rolling_mean(column: str, rows: int, w: WindowSpec, full: bool = False) -> Column:
+def rolling_mean(column: str, rows: int, full: bool = False) -> Column:
     """Mean of the last rows; with `full`, NULL until every row in the frame is known.
 
-    Needs `column` among the running columns of `chunks.windowed`: the frame's sum is
-    the running sum here less the one `rows` rows earlier.
+    Needs the column and length in `means` or `spread` of `chunks.windowed`.
     """
-    total, known = F.col(chunks.running_sum(column)), F.col(chunks.running_count(column))
-    n = known - F.coalesce(F.lag(known, rows).over(w), F.lit(0))
-    mean = F.try_divide(total - F.coalesce(F.lag(total, rows).over(w), F.lit(0.0)), n)
-    return F.when(n == rows, mean) if full else mean
+    value = F.col(chunks.rolling_average(column, rows))
+    return F.when(F.col(chunks.rolling_known(column, rows)) == rows, value) if full else value
 
 
 def rolling_std(column: str, rows: int, full: bool = False) -> Column:

@@ -57,7 +57,7 @@ def lagged_correlation(
 ) -> DataFrame:
     """Correlation of `lead` k rows earlier with `follow`, k = 0..max_lag, per series."""
     shifted = chunks.windowed(
-        df.select(item, ts, lead, follow),
+        chunks.with_row_halo(df.select(item, ts, lead, follow), max_lag, item, ts, chunk_hours),
         max_lag,
         lambda w: {f"l{k}": F.lag(lead, k).over(w) for k in range(max_lag + 1)},
         item,
@@ -94,7 +94,12 @@ def autocorrelation(
     lags = range(max_lag + 1)
     known = df.select(item, ts, F.col(value).cast("double").alias("x")).filter("x IS NOT NULL")
     shifted = chunks.windowed(
-        known, max_lag, lambda w: {f"l{k}": F.lag("x", k).over(w) for k in lags}, item, ts, chunk_hours
+        chunks.with_row_halo(known, max_lag, item, ts, chunk_hours),
+        max_lag,
+        lambda w: {f"l{k}": F.lag("x", k).over(w) for k in lags},
+        item,
+        ts,
+        chunk_hours,
     )
     sums = shifted.groupBy(item).agg(
         F.avg("x").alias("m"),

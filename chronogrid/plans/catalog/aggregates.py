@@ -41,7 +41,7 @@ def mean_by_part(t: Tables):
     + " FROM orders GROUP BY 1",
 )
 def year_month(t: Tables):
-    out = charts.year_month_matrix(t.read("orders"), "o_totalprice", list(range(1995, 2002)), "o_orderdate")
+    out = charts.year_month_matrix(t.read("orders"), "o_totalprice", "o_orderdate")
     return tidied(out, 2)
 
 

@@ -30,7 +30,7 @@ WIDE_COLUMNS = {
 # The same views as SQL; a name may use the ones before it.
 VIEWS = {
     "series": """SELECT event_type AS item_id, date_trunc('hour', ts) AS ts,
-        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS y, count(*) AS n
+        CAST(sum(CAST(value AS DECIMAL(28,10))) AS DOUBLE) / count(value) AS y, count(*) AS n
         FROM events GROUP BY 1, 2""",
     "spine": """SELECT item_id, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts
         FROM series GROUP BY item_id""",
@@ -39,12 +39,12 @@ VIEWS = {
     + ", ".join(f"max(CASE WHEN item_id = '{k}' THEN y END) AS {v}" for k, v in WIDE_COLUMNS.items())
     + " FROM series GROUP BY ts",
     "daily": """SELECT '0' AS item_id, date_trunc('day', o_orderdate) AS ts,
-        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS price,
+        CAST(sum(CAST(o_totalprice AS DECIMAL(28,10))) AS DOUBLE) / count(o_totalprice) AS price,
         count(*) AS n FROM orders GROUP BY 2""",
     "ship": """SELECT l_orderkey, l_linenumber, l_extendedprice, l_quantity,
         l_shipdate + to_hours(3 * CAST(l_linenumber AS BIGINT)) AS ts FROM lineitem""",
     "gas_daily": """SELECT date_trunc('day', ts) AS ts,
-        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS gas_price
+        CAST(sum(CAST(value AS DECIMAL(28,10))) AS DOUBLE) / count(value) AS gas_price
         FROM events WHERE event_type = 'error' GROUP BY 1""",
     "step": """SELECT item_id, ts, y, y - lag(y) OVER (PARTITION BY item_id ORDER BY ts) AS actual_diff
         FROM grid""",

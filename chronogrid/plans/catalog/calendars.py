@@ -224,7 +224,7 @@ def target_sql(y: str, name: str) -> str:
 
 @query("t15_target_features", with_views("grid") + f"SELECT item_id, ts, {target_sql('y', 'y')} FROM grid")
 def target_features(t: Tables):
-    out = chunks.windowed(t.grid(168), 168, lambda w: features.target_columns("y", w), running=["y"])
+    out = chunks.windowed(t.grid(168), 168, lambda w: features.target_columns("y", w), means={"y": features.TARGET_WINDOWS})
     made = [c for c in out.columns if c not in ("item_id", "ts", "y")]
     return out.select("item_id", "ts", *[tidy(F.col(c)).alias(c) for c in made])
 

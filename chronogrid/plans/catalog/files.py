@@ -71,10 +71,32 @@ def many_files(t: Tables):
     old = history(t).select("ts", "volume_sun")
     new = old.filter(F.col("ts") >= F.lit("2024-01-10").cast("timestamp")).withColumn("volume_sun", F.col("volume_sun") * 2)
     sinks.write_split(old, folder, "20240115")
-    sinks.write_split(new, folder, "20240131")
+    swapped = sinks.split_sources(new)["sun"].select(
+        utilisation.VOLUME_HEADER, F.lit("x").alias("remark"), utilisation.TIME_HEADER
+    )
+    sinks.write_table(swapped, f"{folder}/zon-20240131-uur-data.csv", "csv")
     return tidied(utilisation.read_source(t.spark, f"{folder}/{utilisation.HISTORY_GLOBS['sun']}", "sun"))
 
 
+@query(
+    "s1_mix_csv_under_several_headers",
+    with_views("wide")
+    + """SELECT ts, CASE WHEN ts >= TIMESTAMP '2024-01-10' THEN tidy(emissionfactor) ELSE tidy(elec_price) END AS total_volume,
+    tidy(emissionfactor) AS emissionfactor FROM wide""",
+)
+def mix_under_several_headers(t: Tables):
+    """The newer file has its columns in another order and one more."""
+    folder = t.scratch("s1-headers")
+    whole = history(t)
+    sinks.write_split(whole, folder, "20240115")
+    newer = whole.filter(F.col("ts") >= F.lit("2024-01-10").cast("timestamp"))
+    part = sinks.split_sources(newer.withColumn("total_volume", F.col("emissionfactor")))["mix"].select(
+        utilisation.FACTOR_HEADER, utilisation.VOLUME_HEADER, F.lit(1).alias("remark"), utilisation.TIME_HEADER
+    )
+    sinks.write_table(part, f"{folder}/electriciteitsmix-20240131-uur-data.csv", "csv")
+    return utilisation.read_mix(t.spark, f"{folder}/{utilisation.HISTORY_GLOBS['mix']}")
+
+
 @query("s4_history_scan", with_views("wide") + f"SELECT ts, {HISTORY_SQL} FROM wide")
 def history_scan(t: Tables):
     return utilisation.read_history(t.spark, written_split(t, "s4"))
@@ -247,9 +269,9 @@ def written_prices(t: Tables, label: str) -> str:
         F.when(F.dayofmonth("ts") == 30, F.lit("n/a")).otherwise(comma).alias("prijs_excl"),
         F.lit("x").alias("opmerking"),
     )
-    for year in range(1995, 2002):
-        part = rows.filter(F.col("y") == year).drop("y")
-        part.write.option("header", True).option("sep", ";").csv(f"{folder}/dynamische_stroomprijzen_jaar_{year}.csv")
+    stem = F.concat(F.lit("dynamische_stroomprijzen_jaar_"), "y", F.lit(".csv"))
+    one_a_year = rows.withColumn("file", stem).drop("y").repartition("file")
+    one_a_year.write.option("header", True).option("sep", ";").partitionBy("file").csv(folder)
     return folder
 
 
@@ -320,7 +342,7 @@ def written_history(t: Tables, label: str) -> str:
     with_views("wide") + "SELECT ts, tidy(emissionfactor) * 0.5 AS emissionfactor FROM wide",
 )
 def latest_by_name(t: Tables):
-    raw = files.latest_by_name(files.read_text_table(t.spark, written_history(t, "s18")))
+    raw = files.read_newest(t.spark, written_history(t, "s18"), "name")
     return raw.select(
         parse_timestamp(F.col("time")).alias("ts"), F.col("emissionfactor").cast("double").alias("emissionfactor")
     )
@@ -331,7 +353,7 @@ def latest_by_name(t: Tables):
     with_views("wide") + "SELECT ts, tidy(emissionfactor) * 3 AS emissionfactor FROM wide",
 )
 def latest_by_time(t: Tables):
-    raw = files.latest_by_time(files.read_text_table(t.spark, written_history(t, "s19")))
+    raw = files.read_newest(t.spark, written_history(t, "s19"), "time")
     return raw.select(
         parse_timestamp(F.col("time")).alias("ts"), F.col("emissionfactor").cast("double").alias("emissionfactor")
     )

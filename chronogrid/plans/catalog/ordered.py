@@ -67,8 +67,8 @@ def rolling_mean(t: Tables):
     out = chunks.windowed(
         t.grid(336),
         336,
-        lambda w: {f"mean_{n}h": tidy(ordered.rolling_mean("y", n, w)) for n in (24, 48, 168, 336)},
-        running=["y"],
+        lambda w: {f"mean_{n}h": tidy(ordered.rolling_mean("y", n)) for n in (24, 48, 168, 336)},
+        means={"y": [24, 48, 168, 336]},
     )
     return out.drop("y")
 
@@ -89,8 +89,8 @@ def rolling_mean_full(t: Tables):
     out = chunks.windowed(
         filled,
         720,
-        lambda w: {f"full_{n}h": tidy(ordered.rolling_mean("y", n, w, full=True)) for n in (168, 720)},
-        running=["y"],
+        lambda w: {f"full_{n}h": tidy(ordered.rolling_mean("y", n, full=True)) for n in (168, 720)},
+        means={"y": [168, 720]},
     )
     return out.drop("y")
 

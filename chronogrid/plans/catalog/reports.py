@@ -72,7 +72,7 @@ def price_trend(t: Tables):
     + " FROM lineitem GROUP BY 1",
 )
 def year_month_matrix(t: Tables):
-    out = charts.year_month_matrix(t.read("lineitem"), "l_extendedprice", list(range(1995, 2002)), "l_shipdate")
+    out = charts.year_month_matrix(t.read("lineitem"), "l_extendedprice", "l_shipdate")
     return tidied(out, 2)
 
 
@@ -254,7 +254,7 @@ STUDY_REGIME = features.Regime(start=date(1996, 10, 1), cuts=DAILY_CUTS)
     UNION ALL SELECT 'price_features', CAST(date_diff('hour', min(ts), max(ts)) AS BIGINT) + 1, min(ts), max(ts) FROM daily""",
 )
 def price_study(t: Tables):
-    cfg = studies.StudyConfig(regime=STUDY_REGIME, years=list(range(1995, 2002)))
+    cfg = studies.StudyConfig(regime=STUDY_REGIME)
     results = studies.price_study(t.spark, written_prices(t, "g5-price"), _gas_folder(t, "g5-gas"), t.scratch("g5"), cfg)
     return results["summary"]
 
@@ -269,7 +269,7 @@ def price_study(t: Tables):
     tidy2(avg(price)) AS elec_price_mean, tidy2(stddev_samp(price)) AS elec_price_std FROM f GROUP BY 1""",
 )
 def price_study_without_gas(t: Tables):
-    cfg = studies.StudyConfig(regime=STUDY_REGIME, years=list(range(1995, 2002)))
+    cfg = studies.StudyConfig(regime=STUDY_REGIME)
     results = studies.price_study(t.spark, written_prices(t, "g5b-price"), t.scratch("g5b-none"), t.scratch("g5b"), cfg)
     return tidied(results["phase_statistics"], 2)
 

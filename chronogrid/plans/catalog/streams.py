@@ -13,7 +13,7 @@ def event_stream(t: Tables):
     return twins.read_stream(t.spark, t.folder, "events.parquet", t.read("events").schema)
 
 
-MEAN_SQL = "tidy(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value)) AS mean, count(value) AS n"
+MEAN_SQL = "tidy(CAST(sum(CAST(value AS DECIMAL(28,10))) AS DOUBLE) / count(value)) AS mean, count(value) AS n"
 
 
 @query(
@@ -43,10 +43,11 @@ def sliding(t: Tables):
       THEN 0 ELSE 1 END AS brk FROM events),
     r AS (SELECT event_type, ts, sum(brk) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM m),
     s AS (SELECT event_type, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM r GROUP BY event_type, run)
-    SELECT * FROM s WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
+    SELECT * FROM s""",
 )
 def sessions(t: Tables):
-    return twins.append_to(twins.sessions(event_stream(t), "event_type", "30 minutes"), t.scratch("r3"))
+    found = twins.sessions(event_stream(t), "event_type", "30 minutes")
+    return twins.complete_to(found, t.scratch("r3"))
 
 
 @query("r4_redelivered_rows", "SELECT event_id, event_type, ts, value FROM events")

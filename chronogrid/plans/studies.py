@@ -26,7 +26,6 @@ class StudyConfig:
     regime: features.Regime = field(default_factory=features.Regime)
     skip_analysis: bool = False
     skip_relation: bool = False
-    years: list[int] = field(default_factory=lambda: list(range(2018, 2026)))
 
 
 def download_job(spark: SparkSession, landed: dict[str, str], out: str, stamp: str) -> DataFrame:
@@ -69,7 +68,7 @@ def price_analysis(merged: DataFrame, cfg: StudyConfig) -> dict[str, DataFrame]:
     have = [c for c in ("elec_price", "gas_price") if c in merged.columns]
     reports = {
         "describe": stats.describe(hourly, have),
-        "year_month": charts.year_month_matrix(hourly, "elec_price", cfg.years),
+        "year_month": charts.year_month_matrix(hourly, "elec_price"),
         "hour_profile": charts.hour_profile(hourly, "elec_price"),
         "volatility": charts.daily_volatility(hourly, "elec_price", cfg.regime.start),
         "phase_extents": charts.phase_extents(hourly),

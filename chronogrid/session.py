@@ -50,32 +50,45 @@ def local_session(cores: int | str = "*", app: str = "chronogrid") -> SparkSessi
     return configure(spark)
 
 
+SCRATCH_SETTING = "chronogrid.scratch.dir"
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates.
 
-    The cluster names it in ``spark.checkpoint.dir``. A machine-local folder is
-    used only on a local master, where driver and executors share one disk.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset,
+    ``chronogrid.scratch.dir`` can name one; on a local master, where driver and
+    executors share one disk, a temporary folder is made and remembered there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_SETTING, None)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.partition("[")[0] == "local":
         root = tempfile.mkdtemp(prefix="chronogrid-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.conf.set(SCRATCH_SETTING, root)
         return root
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the scratch folder."""
-    return f"{scratch_root(spark)}/chronogrid/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the scratch folder, in a folder of this application's own."""
+    run = spark.sparkContext.applicationId
+    return f"{scratch_root(spark)}/chronogrid/{run}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write a reused intermediate once and read it back.
 
-    Unlike a cached frame the files survive the loss of executors.
+    Unlike a cached frame the files survive the loss of executors. They stay until
+    `clear_scratch`, since frames made from them are evaluated later.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the scratch folder, once its results are stored."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/chronogrid/{context.applicationId}")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from chronogrid.functions import schema as names
 from chronogrid.functions.timeparts import parse_timestamp
@@ -18,18 +19,67 @@ def logical_file(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+?)(/part-[^/]*)?$", 1)
 
 
+def listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The files at `paths` without their content: file (or the folder that a writer
+    split it into), name and time of the last change. No file at all is an error."""
+    try:
+        found = spark.read.format("binaryFile").load(paths)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        raise FileNotFoundError(f"no input files at {paths}") from error
+    whole = F.regexp_replace("path", r"/part-[^/]*$", "").alias("file")
+    return found.select(whole, F.col("modificationTime").alias("modified")).groupBy("file").agg(
+        F.max("modified").alias("modified")
+    ).select("file", logical_file(F.col("file")).alias("name"), "modified")
+
+
+def newest_file(spark: SparkSession, paths: str | list[str], by: str) -> str:
+    """The file with the latest date in its name (`by` name) or the last change (`by`
+    time); the later name wins a tie. Only the listing is looked at, so an empty newest
+    file is found too."""
+    key = name_date(F.col("name")) if by == "name" else F.col("modified")
+    found = listing(spark, paths).agg(F.max(F.struct(key.alias("key"), "name", "file")).alias("top")).first()["top"]
+    if found is None:
+        raise FileNotFoundError(f"no input files at {paths}")
+    return found["file"]
+
+
+def read_csv_set(spark: SparkSession, paths: str | list[str], sep: str = ",") -> DataFrame:
+    """A set of CSV files as text columns, each file under its own header.
+
+    One header line per file is read to plan this; files with the same header are read
+    together, and the groups are put together by name. A column that a file lacks is
+    NULL in its rows. Adds the file's path, name and time.
+    """
+    reader = lambda: spark.read.option("header", True).option("sep", sep)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in listing(spark, paths).orderBy("file").collect():
+        header = tuple(reader().csv(row["file"]).columns)
+        groups.setdefault(header, []).append(row["file"])
+    if not groups:
+        raise FileNotFoundError(f"no input files at {paths}")
+    parts = []
+    for header, members in groups.items():
+        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        parts.append(
+            reader().schema(text).csv(members).withColumns(
+                {
+                    "_path": F.col("_metadata.file_path"),
+                    "_file": logical_file(F.col("_metadata.file_path")),
+                    "_modified": F.col("_metadata.file_modification_time"),
+                }
+            )
+        )
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:
     """A CSV by header name with all columns as text, plus file name and time."""
-    return (
-        spark.read.option("header", True)
-        .csv(path)
-        .withColumns(
-            {
-                "_file": logical_file(F.col("_metadata.file_path")),
-                "_modified": F.col("_metadata.file_modification_time"),
-            }
-        )
-    )
+    return read_csv_set(spark, path).drop("_path")
 
 
 def _typed(df: DataFrame, text: tuple[str, ...] = ()) -> DataFrame:
@@ -70,31 +120,22 @@ def name_date(name: Column) -> Column:
     return F.concat(*[F.regexp_extract(name, DATE_IN_NAME, i) for i in (1, 2, 3)])
 
 
-def latest_by_name(raw: DataFrame) -> DataFrame:
-    """Rows of the file with the latest date in its name."""
-    newest = raw.agg(F.max(F.struct(name_date(F.col("_file")).alias("d"), "_file"))["_file"]).scalar()
-    return raw.filter(F.col("_file") == newest)
-
-
-def latest_by_time(raw: DataFrame) -> DataFrame:
-    """Rows of the file modified last; the later name wins a tie."""
-    newest = raw.agg(F.max(F.struct("_modified", "_file"))["_file"]).scalar()
-    return raw.filter(F.col("_file") == newest)
+def read_newest(spark: SparkSession, paths: str | list[str], by: str) -> DataFrame:
+    """The text table of the newest file alone."""
+    return read_text_table(spark, newest_file(spark, paths, by))
 
 
 def read_emissions(spark: SparkSession, path: str) -> DataFrame:
     """Newest combined history with normalised names (ts, emission_factor, volumes)."""
-    raw = latest_by_name(read_text_table(spark, path)).drop("_file", "_modified")
+    raw = read_newest(spark, path, "name").drop("_file", "_modified")
     names.require_columns(raw, ["emissionfactor"])
     return _typed(raw).withColumnRenamed("emissionfactor", "emission_factor")
 
 
 def read_forecast_pair(spark: SparkSession, forecast: str, prediction: str) -> DataFrame:
     """Newest production forecast and newest prediction side by side by hour."""
-    left = _typed(latest_by_time(read_text_table(spark, forecast)).drop("_file", "_modified"))
-    right = _typed(
-        latest_by_time(read_text_table(spark, prediction)).drop("_file", "_modified"), ("item_id",)
-    )
+    left = _typed(read_newest(spark, forecast, "time").drop("_file", "_modified"))
+    right = _typed(read_newest(spark, prediction, "time").drop("_file", "_modified"), ("item_id",))
     return left.join(right, "ts")
 
 

@@ -37,6 +37,8 @@ def read_prices(spark: SparkSession, path: str, name: str) -> DataFrame:
     try:
         raw = spark.read.option("header", True).option("sep", ";").csv(path)
     except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no price files at {path}") from error
     rows = parse_prices(raw, name)
     first = align.keep_first(rows, ["ts"], [F.col("_file"), F.col(name)])

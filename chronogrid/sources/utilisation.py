@@ -6,10 +6,10 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from chronogrid.functions.timeparts import days, parse_timestamp
 from chronogrid.operators import align
+from chronogrid.sources.files import read_csv_set
 
 # Headers and file patterns of the split CSV files.
 TIME_HEADER = "validfrom (UTC)"
@@ -43,13 +43,8 @@ PAGE_SCHEMA = (
 
 
 def _scan(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """CSV by header name, all text; only the header line is read to plan it."""
-    try:
-        return spark.read.option("header", True).csv(paths).withColumn(
-            "_file", F.col("_metadata.file_path")
-        )
-    except AnalysisException as error:
-        raise FileNotFoundError(f"no input files at {paths}") from error
+    """CSV files, each by its own header, all text; `_file` is the path."""
+    return read_csv_set(spark, paths).drop("_file", "_modified").withColumnRenamed("_path", "_file")
 
 
 def _newest(rows: DataFrame) -> DataFrame:

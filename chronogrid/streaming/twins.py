@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from chronogrid.functions.numbers import exact_mean
 from chronogrid.functions.timeparts import as_utc
 from chronogrid.operators import align
 
@@ -37,13 +38,13 @@ def windowed_mean(
     sums = (
         stream.withWatermark(ts, late)
         .groupBy(item, window.alias("w"))
-        .agg(F.sum(value.cast("decimal(18,2)")).alias("_sum"), F.count(value).alias("n"))
+        .agg(exact_mean(value).alias("mean"), F.count(value).alias("n"))
     )
     return sums.select(
         item,
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
-        (F.col("_sum").cast("double") / F.col("n")).alias("mean"),
+        "mean",
         "n",
     )
 
@@ -75,6 +76,30 @@ def append_to(stream: DataFrame, path: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+def complete_to(stream: DataFrame, path: str) -> DataFrame:
+    """Run over the input at hand and return all results, those still open included.
+
+    Append mode holds back what the watermark has not passed; on input that has ended,
+    the last batch of complete mode has everything. For runs whose result is bounded by
+    the input at hand, not for an endless stream.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    query = (
+        stream.writeStream.outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{path}-progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    batches = stream.sparkSession.read.parquet(path)
+    last = batches.agg(F.max("epoch")).first()[0]
+    return batches.filter(F.col("epoch") == last).drop("epoch")
+
+
 def update_to(stream: DataFrame, keys: list[str], path: str) -> DataFrame:
     """Run over the input at hand and return the latest state of every key.
 

@@ -53,13 +53,12 @@ def test_rolling_statistics_match_pandas(spark, rows):
             df,
             168,
             lambda w: {
-                "mean": ordered.rolling_mean("y", rows, w),
+                "mean": ordered.rolling_mean("y", rows),
                 "std": ordered.rolling_std("y", rows),
-                "full": ordered.rolling_mean("y", rows, w, full=True),
+                "full": ordered.rolling_mean("y", rows, full=True),
                 "full_std": ordered.rolling_std("y", rows, full=True),
             },
             chunk_hours=170,
-            running=["y"],
             spread={"y": [rows]},
         )
     )
@@ -86,11 +85,10 @@ def test_rolling_micro_fixtures(hourly):
         df,
         2,
         lambda w: {
-            "m": ordered.rolling_mean("y", 2, w),
+            "m": ordered.rolling_mean("y", 2),
             "s": ordered.rolling_std("y", 2),
-            "f": ordered.rolling_mean("y", 2, w, full=True),
+            "f": ordered.rolling_mean("y", 2, full=True),
         },
-        running=["y"],
         spread={"y": [2]},
     )
     assert column(out, "m") == [1, 1, 3, 3.5]
