@@ -5,8 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronogrid.session import materialise
+
 from chronogrid.operators import ordered
 
+# Rows up to which a summary joined to a panel travels to every task.
+BROADCAST_ROWS = 500_000
+
+
+def join_summary(df: DataFrame, summary: DataFrame, keys: list[str], limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Join a table of one row per key to the rows it summarises.
+
+    A join by key alone would put a whole hot series into one task. The summary is
+    written and counted; up to `limit` rows it is broadcast and the rows stay where they
+    are. Beyond that keys are many, and the rows are joined by key.
+    """
+    stored = materialise(summary, "summary")
+    few = stored.count() <= limit
+    return df.join(F.broadcast(stored) if few else stored, keys)
+
 
 def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     """The same rows, failing at run time when a key occurs twice.

@@ -67,6 +67,9 @@ class Roles:
         require_columns(df, [self.item, self.ts, *self.known])
         return forbid_derived(df.select(self.item, self.ts, *self.known), self.target)
 
+# Hash buckets within which `permuted` moves values; each is ordered in one task.
+PERMUTATION_BUCKETS = 8
+
 
 def to_panel(df: DataFrame, item: str = "item_id", series: str = "0") -> DataFrame:
     """Long panel (item_id, ts, ...); a missing item column becomes one constant series."""
@@ -79,7 +82,7 @@ def to_panel(df: DataFrame, item: str = "item_id", series: str = "0") -> DataFra
 
 def with_end(df: DataFrame, item: str = "item_id", ts: str = "ts") -> DataFrame:
     """Add each series' last time as `series_end`."""
-    return df.join(df.groupBy(item).agg(F.max(ts).alias("series_end")), item)
+    return align.join_summary(df, df.groupBy(item).agg(F.max(ts).alias("series_end")), [item])
 
 
 def holdout(df: DataFrame, horizon: int = HORIZON, item: str = "item_id", ts: str = "ts") -> DataFrame:
@@ -263,23 +266,27 @@ def ensemble_weights(
 ) -> DataFrame:
     """Error of every weight vector on a frame with one prediction column per model.
 
-    Returns (id, w_{model}..., rmse); all vectors are scored in one pass.
+    Returns (id, w_{model}..., rmse). Weights sum to one, so the error of a blend is the
+    blend of the errors, and its mean square follows from the mean products of every
+    two models' errors: one aggregate over the rows, whatever the number of vectors.
     """
-    options = simplex(models, steps)
+    names = [f"w_{m}" for m in models]
+    pairs = [(i, j) for i in range(len(models)) for j in range(i, len(models))]
+    error = [F.col(m) - F.col(actual) for m in models]
+    products = df.dropna(subset=[actual, *models]).agg(
+        *[F.avg(error[i] * error[j]).alias(f"p{i}_{j}") for i, j in pairs]
+    )
     cells = F.array(
         *[
-            F.struct(F.lit(i).cast("bigint").alias("id"), *[F.lit(w).alias(f"w_{m}") for m, w in zip(models, ws)])
-            for i, ws in enumerate(options)
+            F.struct(F.lit(i).cast("bigint").alias("id"), *[F.lit(w).alias(n) for n, w in zip(names, ws)])
+            for i, ws in enumerate(simplex(models, steps))
         ]
     )
-    names = [f"w_{m}" for m in models]
-    error = sum((F.col(m) * F.col(f"o.w_{m}") for m in models), F.lit(0.0)) - F.col(actual)
-    return (
-        df.dropna(subset=[actual, *models])
-        .select(actual, *models, F.explode(cells).alias("o"))
-        .groupBy("o.id", *[f"o.{n}" for n in names])
-        .agg(F.sqrt(F.avg(error * error)).alias("rmse"))
+    square = sum(
+        (F.col(f"p{i}_{j}") * F.col(names[i]) * F.col(names[j]) * (1 if i == j else 2) for i, j in pairs), F.lit(0.0)
     )
+    wide = products.select("*", F.inline(cells))
+    return wide.select("id", *names, F.sqrt(F.greatest(square, F.lit(0.0))).alias("rmse")).where("rmse IS NOT NULL")
 
 
 def best_weights(scored: DataFrame) -> DataFrame:
@@ -338,17 +345,18 @@ def leaderboard(predictions: DataFrame) -> DataFrame:
     )
 
 
-def permuted(df: DataFrame, columns: list[str], key: list[str], seed: int = 42) -> DataFrame:
+def permuted(
+    df: DataFrame, columns: list[str], key: list[str], seed: int = 42, buckets: int = PERMUTATION_BUCKETS
+) -> DataFrame:
     """Add `{c}__perm`: the column's values moved along a hashed order of the rows.
 
-    Rows are spread over hash buckets of about 100,000 rows; inside each the order
-    is by a second hash and every value moves to the next row, the last to the
-    first. No row order of the whole table is needed.
+    Rows are spread over `buckets` hash buckets, whatever their number; inside each the
+    order is by a second hash and every value moves to the next row, the last to the
+    first. No row order of the whole table is needed; a large table wants more buckets.
     """
-    n_buckets = df.agg(F.ceil(F.count("*") / F.lit(100_000)).cast("bigint")).scalar()
     placed = df.withColumns(
         {
-            "_bucket": F.pmod(F.xxhash64(F.lit(seed), *key), F.greatest(n_buckets, F.lit(1))),
+            "_bucket": F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(buckets)),
             "_order": F.xxhash64(F.lit(seed + 1), *key),
         }
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from chronogrid.operators import chunks
+from chronogrid.operators import align, chunks
 
 
 def lag(value: Column, k: int, w: WindowSpec) -> Column:
@@ -122,6 +122,6 @@ def tail(
     keep = back >= skip
     if take is not None:
         keep = keep & (back < skip + take)
-    return df.join(ends, item).filter(keep).drop("_end")
+    return align.join_summary(df, ends, [item]).filter(keep).drop("_end")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chronogrid.functions.numbers import null_if_nan
 from chronogrid.functions.tails import pearson_p, two_sided_p
-from chronogrid.operators import bins, chunks
+from chronogrid.operators import align, bins, chunks
 
 
 def pair(a: str, b: str) -> tuple[Column, Column]:
@@ -273,7 +273,7 @@ def max_normalised(df: DataFrame, columns: list[str], item: str = "item_id") ->
     """Columns divided by their series maximum, as `{c}_norm`."""
     tops = df.groupBy(item).agg(*[F.max(c).alias(f"_{c}") for c in columns])
     return (
-        df.join(tops, item)
+        align.join_summary(df, tops, [item])
         .withColumns({f"{c}_norm": F.try_divide(F.col(c), F.col(f"_{c}")) for c in columns})
         .drop(*[f"_{c}" for c in columns])
     )

@@ -331,6 +331,50 @@ def lagged(t: Tables):
     return tidied(stats.lagged_correlation(changes, "temperature", "emissionfactor", 24))
 
 
+# Two daily series over several chunks, by the days that both have.
+BOTH_DAILY = """shipped AS (SELECT date_trunc('day', l_shipdate) AS ts,
+        CAST(sum(CAST(l_extendedprice AS DECIMAL(28,10))) AS DOUBLE) / count(l_extendedprice) AS shipped FROM lineitem GROUP BY 1),
+    both_daily AS (SELECT item_id, d.ts, price, shipped FROM daily d JOIN shipped s ON s.ts = d.ts)"""
+DAILY_CHANGES = (
+    BOTH_DAILY
+    + f""", daily_changes AS (SELECT item_id, ts, price - lag(price) {BY_TIME} AS price, shipped - lag(shipped) {BY_TIME} AS shipped
+    FROM both_daily), daily_stationary AS (SELECT * FROM daily_changes WHERE price IS NOT NULL AND shipped IS NOT NULL)"""
+)
+
+
+def both_daily(t: Tables):
+    day = F.date_trunc("day", timeparts.as_utc(F.col("l_shipdate"))).alias("ts")
+    shipped = t.read("lineitem").groupBy(day).agg(numbers.exact_mean(F.col("l_extendedprice")).alias("shipped"))
+    return t.daily.select("item_id", "ts", "price").join(shipped, "ts")
+
+
+@query(
+    "t20_stationary_days",
+    with_views("daily", more=DAILY_CHANGES)
+    + "SELECT item_id, ts, tidy(price) AS price, tidy(shipped) AS shipped FROM daily_stationary",
+)
+def stationary_days(t: Tables):
+    return tidied(features.stationary(both_daily(t), ["price", "shipped"]))
+
+
+@query(
+    "a23_lagged_correlation_of_days",
+    with_views(
+        "daily",
+        more=DAILY_CHANGES
+        + ", lagged AS (SELECT item_id, shipped, "
+        + ", ".join(f"lag(price, {k}) {BY_TIME} AS l{k}" for k in range(25))
+        + " FROM daily_stationary)",
+    )
+    + " UNION ALL ".join(
+        f"SELECT item_id, CAST({k} AS BIGINT) AS lag, tidy(corr(l{k}, shipped)) AS corr FROM lagged GROUP BY 1" for k in range(25)
+    ),
+)
+def lagged_days(t: Tables):
+    changes = features.stationary(both_daily(t), ["price", "shipped"])
+    return tidied(stats.lagged_correlation(changes, "price", "shipped", 24))
+
+
 @query(
     "a24_two_sample_change",
     with_views("wide")

@@ -119,7 +119,7 @@ def partial_autocorrelation(t: Tables):
     return tidied(stats.partial_autocorrelation(t.series, "y", 60))
 
 
-ACF_LAGS = [0, 1, 2, 3, 24, 48]
+ACF_LAGS = list(range(49))
 
 
 @query(
@@ -133,8 +133,22 @@ ACF_LAGS = [0, 1, 2, 3, 24, 48]
     ),
 )
 def autocorrelation(t: Tables):
-    out = stats.autocorrelation(t.series, "y", 48).filter(F.col("lag").isin(*ACF_LAGS))
-    return tidied(out)
+    return tidied(stats.autocorrelation(t.series, "y", 48))
+
+
+@query(
+    "c7_autocorrelation_of_days",
+    with_views("daily")
+    + ", x AS (SELECT item_id, ts, price - avg(price) OVER (PARTITION BY item_id) AS d FROM daily), l AS (SELECT item_id, d, "
+    + ", ".join(f"lag(d, {k}) {BY_TIME} AS l{k}" for k in ACF_LAGS)
+    + " FROM x) "
+    + " UNION ALL ".join(
+        f"SELECT item_id, count(*) AS n, CAST({k} AS BIGINT) AS lag, tidy(sum(d * l{k}) / sum(d * d)) AS acf FROM l GROUP BY 1" for k in ACF_LAGS
+    ),
+)
+def autocorrelation_of_days(t: Tables):
+    """A series of several chunks whose rows lie a day or more apart."""
+    return tidied(stats.autocorrelation(t.daily, "price", 48))
 
 
 @query(

@@ -163,4 +163,4 @@ def lookback(df: DataFrame, n_days: int | None, item: str = "item_id", ts: str =
     if n_days is None:
         return df
     ends = df.groupBy(item).agg(F.max(ts).alias("_end"))
-    return df.join(ends, item).filter(F.col(ts) >= F.col("_end") - days(n_days)).drop("_end")
+    return align.join_summary(df, ends, [item]).filter(F.col(ts) >= F.col("_end") - days(n_days)).drop("_end")
