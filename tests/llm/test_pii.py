@@ -42,12 +42,11 @@ def test_values_are_replaced_in_their_format(kind, value):
     assert [s["kind"] for s in spans] == [kind]
     made = new.removeprefix("before ").removesuffix(", after")
     assert made != value and new.startswith("before ") and new.endswith(", after")
-    if kind != "ip":
-        shape = lambda t: re.sub(r"[0-9]", "9", t)
-        assert [c.isdigit() for c in made if c in "0123456789 ()-./:+"] or made
+    shape = lambda t: re.sub(r"[0-9]", "9", t)
+    if kind in ("phone", "card", "ssn") or (kind == "date" and len(value) == 10):
+        assert shape(made) == shape(value)
+    elif kind not in ("ip", "date"):  # parts without leading zeros may get a second digit
         assert len(made) == len(value)
-        if kind in ("phone", "card", "ssn", "date"):
-            assert shape(made) == shape(value)
     # What comes out is valid again and of the same kind.
     assert [s["kind"] for s in hidden(f"before {made}, after")[1]] == [kind]
 
