@@ -25,13 +25,13 @@ def tidied(df, digits: int = 6):
 @query(
     "a1_mean_by_calendar_part",
     """WITH e AS (SELECT value, hour(ts) AS hour, isodow(ts) - 1 AS dow, CAST(isodow(ts) > 5 AS BIGINT) AS we FROM events)
-    SELECT 'hour' AS dimension, hour AS key, tidy(avg(value)) AS mean_value FROM e GROUP BY 2
-    UNION ALL SELECT 'dayofweek', dow, tidy(avg(value)) FROM e GROUP BY 2
-    UNION ALL SELECT 'is_weekend', we, tidy(avg(value)) FROM e GROUP BY 2""",
+    SELECT 'hour' AS dimension, hour AS key, tidy(avg(value)) AS mean_value, tidy(sqrt(avg(value * value))) AS rms_value FROM e GROUP BY 2
+    UNION ALL SELECT 'dayofweek', dow, tidy(avg(value)), tidy(sqrt(avg(value * value))) FROM e GROUP BY 2
+    UNION ALL SELECT 'is_weekend', we, tidy(avg(value)), tidy(sqrt(avg(value * value))) FROM e GROUP BY 2""",
 )
 def mean_by_part(t: Tables):
     out = align.labelled_metrics(features.temporal(t.events), ["hour", "dayofweek", "is_weekend"], "value")
-    return tidied(out.drop("rms_value"))
+    return tidied(out)
 
 
 @query(
@@ -141,13 +141,14 @@ def mean_by_month(t: Tables):
 
 @query(
     "a10_daily_mean",
-    """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'),
-    d AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM o)
-    SELECT '0' AS item_id, day, tidy3(avg(o_totalprice)) AS price FROM d LEFT JOIN o USING (day) GROUP BY day""",
+    """WITH o AS (SELECT o_orderstatus || ' ' || o_orderpriority AS item_id, CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders),
+    d AS (SELECT item_id, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM o GROUP BY 1)
+    SELECT item_id, day, tidy3(avg(o_totalprice)) AS price FROM d LEFT JOIN o USING (item_id, day) GROUP BY 1, 2""",
 )
 def daily_mean(t: Tables):
-    rows = t.read("orders").filter("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'").select(
-        F.lit("0").alias("item_id"), F.col("o_orderdate").cast("timestamp").alias("ts"), F.col("o_totalprice").alias("price")
+    """One series per status and priority; the rarer ones have days without orders."""
+    rows = t.read("orders").select(
+        F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("item_id"), F.col("o_orderdate").cast("timestamp").alias("ts"), F.col("o_totalprice").alias("price")
     )
     return tidied(grid.daily_mean(rows, ["price"]), 3)
 

@@ -375,13 +375,13 @@ def forward_fill_daily(t: Tables):
 @query(
     "u2_union_with_priority",
     """WITH e AS (SELECT event_id, value, 0 AS prio FROM events WHERE event_type IN ('click', 'view')
-      UNION ALL SELECT event_id, -value, 1 FROM events WHERE event_type IN ('view', 'error'))
+      UNION ALL SELECT event_id, -value, 1 FROM events WHERE event_type <> 'click')
     SELECT event_id, value FROM e QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY prio) = 1""",
 )
 def union_with_priority(t: Tables):
     rows = t.events.select("event_id", "event_type", "value")
     first = rows.filter(F.col("event_type").isin("click", "view")).drop("event_type")
-    second = rows.filter(F.col("event_type").isin("view", "error")).drop("event_type")
+    second = rows.filter("event_type <> 'click'").drop("event_type")
     return align.union_with_priority([first, second.withColumn("value", -F.col("value"))], ["event_id"])
 
 

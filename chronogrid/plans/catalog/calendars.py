@@ -52,12 +52,13 @@ def holiday_features(t: Tables):
 @query(
     "t9_holiday_table_join",
     with_views("ship", more=HOLIDAY_SQL)
-    + """SELECT h.name AS holiday_name, count(*) AS n FROM ship JOIN all_holidays h ON CAST(ts AS DATE) = h.date GROUP BY 1""",
+    + """SELECT coalesce(h.name, '') AS holiday_name, CAST(h.name IS NOT NULL AS BIGINT) AS is_holiday, count(*) AS n
+    FROM ship LEFT JOIN all_holidays h ON CAST(ts AS DATE) = h.date GROUP BY 1, 2""",
 )
 def holiday_table_join(t: Tables):
     table = calendar.holidays(calendar.years_of(t.ship)).select("date", "name")
-    flagged = calendar.add_holidays(t.ship, table=table).filter("is_holiday = 1")
-    return flagged.groupBy("holiday_name").agg(F.count("*").alias("n"))
+    flagged = calendar.add_holidays(t.ship, table=table)
+    return flagged.groupBy("holiday_name", "is_holiday").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -414,13 +415,14 @@ def feature_registry(t: Tables):
     "p4_seasonal_without_temporal",
     with_views("series")
     + "SELECT item_id, ts, dayofyear(ts) AS day_of_year, weekofyear(ts) AS week_of_year, quarter(ts) AS quarter, "
-    + ", ".join(f"tidy(sin(2 * pi() * ({CYCLE_SQL[p]}) / {n})) AS {p}_sin" for p, n in CYCLE_PERIODS.items())
+    + ", ".join(
+        f"tidy({f}(2 * pi() * ({CYCLE_SQL[p]}) / {n})) AS {p}_{f}" for p, n in CYCLE_PERIODS.items() for f in ("sin", "cos")
+    )
     + " FROM series",
 )
 def seasonal_only(t: Tables):
     out = features.add_features(t.series.select("item_id", "ts"), features.FeatureInputs(), {"seasonal"})
-    keep = [c for c in out.columns if not c.endswith("_cos")]
-    return out.select(*[tidy(F.col(c)).alias(c) if c.endswith("_sin") else F.col(c) for c in keep])
+    return out.select(*[tidy(F.col(c)).alias(c) if c.endswith(("_sin", "_cos")) else F.col(c) for c in out.columns])
 
 
 @query(

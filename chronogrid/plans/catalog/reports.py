@@ -17,6 +17,7 @@ from chronogrid.plans.catalog.calendars import CHANGES, JANUARY, JANUARY_FLAG, J
 from chronogrid.plans.catalog.files import HISTORY_SQL, landed_pages, written_prices
 from chronogrid.plans.catalog.models import ENDS
 from chronogrid.plans.catalog.scalars import DAILY_CUTS
+from chronogrid.plans.catalog.statistics import PAIR_T, p_sql
 from chronogrid.sources import utilisation
 
 
@@ -219,10 +220,14 @@ def price_emission_quartiles(t: Tables):
 
 @query(
     "v14_price_emission_top_hours",
-    with_views("wide", more=HOUR_CORR) + "SELECT hour, tidy(corr) AS corr, n FROM c ORDER BY corr DESC, hour LIMIT 3",
+    with_views("wide", more=HOUR_CORR)
+    + """, d AS (SELECT hour, corr AS r, CAST(n AS DOUBLE) AS n FROM c ORDER BY corr DESC, hour LIMIT 3)
+    SELECT hour, tidy(r) AS corr, CAST(n AS BIGINT) AS n, tidy("""
+    + p_sql(f"({PAIR_T})", "n - 2")
+    + ") AS p_value FROM d",
 )
 def price_emission_top_hours(t: Tables):
-    return tidied(relation(t, "top_hours").drop("p_value"))
+    return tidied(relation(t, "top_hours"))
 
 
 @query("g1_download_job", with_views("wide") + f"SELECT ts, {HISTORY_SQL} FROM wide")
@@ -277,10 +282,13 @@ def price_study_without_gas(t: Tables):
 @query(
     "g6_price_emission_regimes",
     with_views("wide", more=JOINED)
-    + "SELECT energy_crisis, tidy(corr(elec_price, emission_factor)) AS corr, count(*) AS n FROM j GROUP BY 1",
+    + """, c AS (SELECT energy_crisis, corr(elec_price, emission_factor) AS r, CAST(count(*) AS DOUBLE) AS n FROM j GROUP BY 1)
+    SELECT energy_crisis, tidy(r) AS corr, CAST(n AS BIGINT) AS n, tidy("""
+    + p_sql(f"({PAIR_T})", "n - 2")
+    + ") AS p_value FROM c",
 )
 def price_emission_regimes(t: Tables):
-    return tidied(relation(t, "regimes").drop("p_value"))
+    return tidied(relation(t, "regimes"))
 
 
 @query(

@@ -129,13 +129,16 @@ def utc_to_local(t: Tables):
 
 @query(
     "x8_local_to_utc",
-    with_views("ship")
-    + """SELECT l_orderkey, l_linenumber, timezone('UTC', timezone('Europe/Amsterdam', ts)) AS ts_utc
-    FROM ship WHERE hour(ts) > 3""",
+    """WITH night AS (SELECT l_orderkey, l_linenumber, l_shipdate + to_hours(CAST(l_linenumber AS BIGINT)) AS ts FROM lineitem),
+    late AS (SELECT *, timezone('UTC', timezone('Europe/Amsterdam', ts)) AS u FROM night)
+    SELECT l_orderkey, l_linenumber, CASE WHEN timezone('Europe/Amsterdam', timezone('UTC', u - INTERVAL 1 HOUR)) = ts
+      THEN u - INTERVAL 1 HOUR ELSE u END AS ts_utc FROM late""",
 )
 def local_to_utc(t: Tables):
-    rows = t.ship.filter(F.hour("ts") > 3)
-    return rows.select("l_orderkey", "l_linenumber", timeparts.to_utc(F.col("ts")).alias("ts_utc"))
+    """Hours 1 to 7 of every day: the hour that the clock repeats is its first run, the
+    one that it skips counts on from the hour before."""
+    ts = timeparts.as_utc(F.col("l_shipdate")) + F.make_interval(hours=F.col("l_linenumber"))
+    return t.read("lineitem").select("l_orderkey", "l_linenumber", timeparts.to_utc(ts).alias("ts_utc"))
 
 
 @query(
