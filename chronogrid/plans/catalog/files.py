@@ -207,6 +207,10 @@ def date_windows(t: Tables):
     return out
 
 
+def _times(factor: int):
+    return lambda x: x * F.lit(float(factor))
+
+
 def landed_weather(t: Tables, label: str, drop_last: bool = False) -> str:
     """Payloads of one day and series each, with parallel arrays."""
     folder = t.scratch(label)
@@ -221,40 +225,52 @@ def landed_weather(t: Tables, label: str, drop_last: bool = False) -> str:
         F.lit(3600).alias("interval"),
         ordered.alias("temperature_2m"),
     )
-    short = F.slice("temperature_2m", 1, 12) if drop_last else F.col("temperature_2m")
-    payload = payload.withColumn("wind_direction_10m", short)
+    others = {
+        name: F.transform("temperature_2m", _times(i + 1))
+        for i, name in enumerate(weather.VARIABLES)
+        if i
+    }
+    payload = payload.withColumns(others)
+    if drop_last:
+        payload = payload.withColumn("wind_direction_10m", F.slice("wind_direction_10m", 1, 12))
     payload.drop("day").write.json(folder)
     return folder
 
 
-WEATHER_SQL = """SELECT item_id, ts, tidy3(CAST(coalesce(y, -1) AS FLOAT)) AS temperature,
-    tidy3(CAST(coalesce(y, -1) AS FLOAT)) AS wind_direction FROM grid"""
+# The 23 variables are multiples of one measured series.
+WEATHER_CELLS = {name: f"CAST(coalesce(y, -1) * {i + 1}.0::DOUBLE AS FLOAT)" for i, name in enumerate(weather.VARIABLES.values())}
+WEATHER_SQL = "SELECT item_id, ts, " + ", ".join(f"tidy3({x}) AS {c}" for c, x in WEATHER_CELLS.items()) + " FROM grid"
 
 
-def _two_columns(df):
-    return df.select("item_id", "ts", *[tidy(F.col(c), 3).alias(c) for c in ("temperature", "wind_direction")])
+def _variables(df):
+    return df.select("item_id", "ts", *[tidy(F.col(c), 3).alias(c) for c in weather.VARIABLES.values()])
 
 
 @query("s11_weather_history", with_views("grid") + WEATHER_SQL)
 def weather_history(t: Tables):
-    return _two_columns(weather.read_weather(t.spark, landed_weather(t, "s11")))
+    return _variables(weather.read_weather(t.spark, landed_weather(t, "s11")))
 
 
 @query("s12_weather_forecast", with_views("grid") + WEATHER_SQL + " WHERE ts >= TIMESTAMP '2024-01-24'")
 def weather_forecast(t: Tables):
     rows = weather.read_weather(t.spark, landed_weather(t, "s12"))
-    return _two_columns(rows.filter(F.col("ts") >= F.lit("2024-01-24").cast("timestamp")))
+    return _variables(rows.filter(F.col("ts") >= F.lit("2024-01-24").cast("timestamp")))
 
 
 @query(
     "s13_time_axis",
     with_views("grid")
-    + """SELECT item_id, ts, tidy3(CAST(coalesce(y, -1) AS FLOAT)) AS temperature, tidy3(CASE WHEN
-    row_number() OVER (PARTITION BY item_id, CAST(ts AS DATE) ORDER BY ts) <= 12 THEN CAST(coalesce(y, -1) AS FLOAT) END) AS wind_direction
-    FROM grid""",
+    + "SELECT item_id, ts, "
+    + ", ".join(
+        f"tidy3(CASE WHEN row_number() OVER (PARTITION BY item_id, CAST(ts AS DATE) ORDER BY ts) <= 12 THEN {x} END) AS {c}"
+        if c == "wind_direction"
+        else f"tidy3({x}) AS {c}"
+        for c, x in WEATHER_CELLS.items()
+    )
+    + " FROM grid",
 )
 def time_axis(t: Tables):
-    return _two_columns(weather.read_weather(t.spark, landed_weather(t, "s13", drop_last=True)))
+    return _variables(weather.read_weather(t.spark, landed_weather(t, "s13", drop_last=True)))
 
 
 def written_prices(t: Tables, label: str) -> str:
