@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronogrid.functions.numbers import decimal_comma, tidy
@@ -375,6 +376,21 @@ def latest_by_time(t: Tables):
     )
 
 
+@query(
+    "o6_newest_files_first",
+    """SELECT 'historical_combined_' || strftime(day, '%Y%m%d') || '.csv' AS name, row_number() OVER (ORDER BY day DESC) AS place
+    FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)""",
+)
+def newest_files_first(t: Tables):
+    """One dated file per day of the events, listed from the newest date in a name."""
+    folder = t.scratch("o6")
+    stamp = F.concat(F.lit("historical_combined_"), F.date_format("ts", "yyyyMMdd"), F.lit(".csv")).alias("file")
+    t.events.groupBy(stamp).count().write.partitionBy("file").option("header", True).csv(folder)
+    found = files.listing(t.spark, f"{folder}/file=*").select(F.regexp_replace("name", "^file=", "").alias("name"))
+    order = Window.orderBy(files.name_date(F.col("name")).desc(), F.desc("name"))  # names alone, one row a file
+    return found.withColumn("place", F.row_number().over(order).cast("bigint"))
+
+
 @query(
     "s20_emission_files",
     with_views("wide")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronogrid.functions.numbers import tidy
@@ -169,6 +170,21 @@ def leaderboard(t: Tables):
     return tidied(model.leaderboard(long))
 
 
+@query(
+    "o7_ranked_leaderboard",
+    with_views("grid", more=BOTH)
+    + ", scores AS ("
+    + " UNION ALL ".join(f"SELECT '{m}' AS model, sqrt(avg(({m} - actual) * ({m} - actual))) AS rmse FROM p" for m in ("week", "day"))
+    + ") SELECT model, tidy(rmse) AS rmse, row_number() OVER (ORDER BY rmse, model) AS place FROM scores",
+)
+def ranked_leaderboard(t: Tables):
+    cells = [F.struct(F.lit(m).alias("model"), F.col(m).alias("predicted")) for m in ("week", "day")]
+    long = _both(t).select("actual", F.explode(F.array(*cells)).alias("p")).select("actual", "p.*")
+    scores = model.leaderboard(long).select("model", "rmse")
+    order = Window.orderBy("rmse", "model")  # one row a model
+    return tidied(scores.withColumn("place", F.row_number().over(order).cast("bigint")))
+
+
 @query("m10_permutation_importance")
 def permutation_importance(t: Tables):
     rows = features.temporal(model.direct_features(t.grid(), "y")).dropna()
