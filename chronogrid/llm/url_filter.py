@@ -66,7 +66,8 @@ def sweep(keys: DataFrame, rules: DataFrame) -> DataFrame:
     """
     spark = keys.sparkSession
     opened = stacks(rules.select(F.col("prefix").alias("key")), ["key"], rules)
-    seen = keys.select("key", F.lit(1).alias("turn")).join(opened.limit(0), "key", "left")
+    nothing = F.lit(None).cast(opened.schema["stack"].dataType)
+    seen = keys.select("key", F.lit(1).alias("turn"), nothing.alias("stack"))
     events = seen.unionByName(opened.withColumn("turn", F.lit(0)).select("key", "turn", "stack"))
     ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = events.repartitionByRange(ranges, "key").withColumn("range", F.spark_partition_id())
