@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,10 +113,15 @@ def share_udf(clean) -> Column:
     return text_udf(kernel, "columns array<int>, shares array<float>")
 
 
-def dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    out = np.zeros((len(rows), WIDTH), np.float32)
-    for row, (columns, values) in zip(out, rows, strict=True):
-        row[columns] = values
+def dense(made: pa.ChunkedArray) -> np.ndarray:
+    """The rows of `share_udf` as one matrix, filled chunk by chunk without Python objects."""
+    out = np.zeros((len(made), WIDTH), np.float32)
+    begin = 0
+    for chunk in made.chunks:
+        columns, shares = chunk.flatten()
+        size = np.diff(columns.offsets.to_numpy())
+        out[begin + np.repeat(np.arange(len(chunk)), size), columns.flatten().to_numpy()] = shares.flatten().to_numpy()
+        begin += len(chunk)
     return out
 
 
@@ -124,12 +130,18 @@ def fit_linear(x: np.ndarray, y: np.ndarray, squared_hinge: bool, l2: float = 1e
 
     Support vector machine with squared hinge, or logistic regression; accelerated
     gradient descent on standardised columns, whose scales are folded back into the
-    weights.
+    weights. `x` is overwritten.
     """
-    mean, scale = x.mean(axis=0), x.std(axis=0)
+    mean, square = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    for begin in range(0, len(x), 256):  # in blocks, so that no second matrix is made
+        part = x[begin : begin + 256].astype(float)
+        mean += part.sum(axis=0) / len(x)
+        square += (part * part).sum(axis=0) / len(x)
+    scale = np.sqrt(np.maximum(square - mean * mean, 0))
     scale = np.maximum(scale, 0.2 * np.median(scale[scale > 0]) if (scale > 0).any() else 1.0).astype(np.float32)
-    z = (x - mean) / scale
-    z /= np.sqrt(z.shape[1])
+    z = x
+    z -= mean.astype(np.float32)
+    z /= scale * np.float32(np.sqrt(z.shape[1]))
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
     curve = np.float32(2.0 if squared_hinge else 0.25)
     v = np.ones(z.shape[1], np.float32)
@@ -160,11 +172,11 @@ def hash_share(column: str, salt: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(salt), F.col(column)), F.lit(1 << 40)) / float(1 << 40)
 
 
-def balanced_sample(rows: DataFrame, kind: str, key: str, per_kind: int, kinds: int, salt: str) -> tuple[DataFrame, dict]:
-    """About `per_kind` rows of each value of `kind`, chosen by the hash of `key`.
+def balanced_sample(rows: DataFrame, kind: str, key: str, size: int, kinds: int, salt: str) -> tuple[DataFrame, dict]:
+    """About `size` rows, as many of each value of `kind`, chosen by the hash of `key`.
 
     Covers the `kinds` most frequent values. Rows of one key count once. Also returns
-    the number of rows of each value. The sample's bound is twice per_kind * kinds rows.
+    the number of rows of each value. The sample's bound is twice `size` rows.
     """
     found = rows.groupBy(kind).count().orderBy(F.desc("count"), kind).limit(kinds).collect()
     counts = {r[0]: r["count"] for r in found}
@@ -172,6 +184,6 @@ def balanced_sample(rows: DataFrame, kind: str, key: str, per_kind: int, kinds:
         return rows.limit(0), counts
     rate = F.lit(0.0)
     for value, count in counts.items():
-        rate = F.when(F.col(kind) == F.lit(value), F.lit(min(1.0, per_kind / count))).otherwise(rate)
+        rate = F.when(F.col(kind) == F.lit(value), F.lit(min(1.0, size / len(counts) / count))).otherwise(rate)
     chosen = rows.where(hash_share(key, salt) < rate).dropDuplicates([key])
-    return chosen.limit(2 * per_kind * kinds), counts
+    return chosen.limit(2 * size), counts

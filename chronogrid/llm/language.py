@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from chronogrid.llm.grams import WIDTH, Grams, balanced_sample, dense, fit_linear, letters_only, share_udf
 from chronogrid.llm.kernels import prepare, text_rows, text_udf
 
-PER_LANGUAGE = 700  # training documents of each language, at most about this many
+SAMPLE_ROWS = 2000  # training documents, about as many of each language
 LANGUAGES = 24  # languages learned, the most frequent ones
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -76,20 +76,21 @@ class Machines:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Machines:
     """Learn from rows with a language: a family machine each, and one per two languages
-    of a family. The sample is bounded by PER_LANGUAGE and LANGUAGES; only its hashed
-    n-gram shares reach the driver."""
+    of a family. The sample is bounded by SAMPLE_ROWS; only its hashed n-gram
+    shares reach the driver."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("kind"))
     rows = rows.where("kind IS NOT NULL AND text IS NOT NULL")
-    sample, counts = balanced_sample(rows, "kind", "id", PER_LANGUAGE, LANGUAGES, "language")
+    sample, counts = balanced_sample(rows, "kind", "id", SAMPLE_ROWS, LANGUAGES, "language")
     if not counts:
         return Machines()
     got = sample.select("kind", share_udf(letters_only)(F.col("text")).alias("made")).toArrow()
     kinds = np.array(got.column("kind").to_pylist())
-    made = got.column("made").combine_chunks()
-    pairs = [(np.array(r["columns"], np.int32), np.array(r["shares"], np.float32)) for r in made.to_pylist()]
-    some = np.array([len(p[0]) > 0 for p in pairs], bool)
-    x, kinds = dense([p for p, ok in zip(pairs, some, strict=True) if ok]), kinds[some]
+    x = dense(got.column("made"))
+    del got
+    some = x.any(axis=1)
+    if not some.all():
+        x, kinds = x[some], kinds[some]
     codes = sorted(set(kinds.tolist()))
     if not codes:
         return Machines()
@@ -104,7 +105,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         elif len(families) == 1:
             fits.append((np.zeros(WIDTH), 1.0))
         else:
-            fits.append(fit_linear(x, np.where(own == f, 1.0, -1.0), squared_hinge=True))
+            fits.append(fit_linear(x.copy(), np.where(own == f, 1.0, -1.0), squared_hinge=True))
     for a, b in duels:
         pair = (kinds == a) | (kinds == b)
         fits.append(fit_linear(x[pair], np.where(kinds[pair] == a, 1.0, -1.0), squared_hinge=True))

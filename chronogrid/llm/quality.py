@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from chronogrid.llm.grams import WIDTH, Grams, balanced_sample, dense, fit_linear, share_udf
 from chronogrid.llm.kernels import prepare, text_rows
 
-PER_CLASS = 1500  # training documents of each class, at most about this many
+PER_CLASS = 1000  # training documents of each class, at most about this many
 KEEP_FROM = 0.5  # calibrated probability of good quality that keeps a document
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # per cent of words inside repeated windows
@@ -107,7 +107,7 @@ def train(
     prepare(docs.sparkSession)
     marks = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     marks = marks.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("kind"))
-    sample, counts = balanced_sample(marks, "kind", "id", PER_CLASS, 2, "quality")
+    sample, counts = balanced_sample(marks, "kind", "id", 2 * PER_CLASS, 2, "quality")
     none = Judge(np.zeros(WIDTH), 1.0, 1.0, 0.0)
     if not counts.get(0) or not counts.get(1):
         return none
@@ -117,12 +117,13 @@ def train(
     y = np.where(got.column("kind").to_numpy() > 0, 1.0, -1.0)
     if len(set(y.tolist())) < 2:
         return none
-    made = got.column("made").combine_chunks().to_pylist()
-    x = dense([(np.array(r["columns"], np.int32), np.array(r["shares"], np.float32)) for r in made])
+    x = dense(got.column("made"))
+    del got
     held = np.arange(len(y)) % 5 == 0
-    weights, bias = fit_linear(x[~held], y[~held], squared_hinge=False, steps=200)
+    kept, x = x[held], x[~held]
+    weights, bias = fit_linear(x, y[~held], squared_hinge=False, steps=200)
     share = np.where(y > 0, counts[1] / max(1, (y > 0).sum()), counts[0] / max(1, (y < 0).sum()))
-    slope, shift = calibrate(x[held] @ weights + bias, y[held], share[held] / share[held].mean())
+    slope, shift = calibrate(kept @ weights + bias, y[held], share[held] / share[held].mean())
     return Judge(weights, bias, slope, shift)
 
 

@@ -109,7 +109,7 @@ def train(
     spark = prepare(docs.sparkSession)
     marks = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     marks = marks.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("kind"))
-    sample, counts = balanced_sample(marks, "kind", "id", PER_CLASS, 2, "toxicity")
+    sample, counts = balanced_sample(marks, "kind", "id", 2 * PER_CLASS, 2, "toxicity")
     empty = Machine({}, np.zeros(0), np.zeros((0, FACTORS)), -10.0)
     if not counts:
         return empty

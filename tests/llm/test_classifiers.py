@@ -3,6 +3,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from chronogrid.llm import grams, language, quality, queries, toxicity
@@ -106,7 +107,9 @@ def test_gram_scores_do_not_depend_on_the_batch():
     together = grams.Grams.of(texts).scores(weights, bias)
     for text, want in zip(texts, together, strict=True):
         assert np.allclose(grams.Grams.of([text]).scores(weights, bias)[0], want)
-    shares = grams.dense(grams.Grams.of(texts).shares())
+    pairs = grams.Grams.of(texts).shares()
+    made = pa.array([{"columns": c, "shares": s} for c, s in pairs], pa.struct({"columns": pa.list_(pa.int32()), "shares": pa.list_(pa.float32())}))
+    shares = grams.dense(pa.chunked_array([made[:5], made[5:]]))
     assert np.allclose(shares @ weights + bias, together, atol=1e-4)
 
 
