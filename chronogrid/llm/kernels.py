@@ -125,7 +125,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str = "part", rows: int
         yield pa.Table.from_batches(held)
 
 
-def by_groups(rows: DataFrame, work: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+def by_groups(rows: DataFrame, work: Callable[[pa.Table], pa.Table], schema: str | StructType) -> DataFrame:
     """Run `work` over tables of whole `part` groups of `rows`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from chronogrid.llm.components import components
 from chronogrid.llm.kernels import Forest, by_groups, prepare, split_buckets
@@ -76,6 +76,18 @@ def buckets(unit: np.ndarray, tables: int = TABLES, probes: int = PROBES) -> np.
     return out
 
 
+def sketch(unit: np.ndarray) -> np.ndarray:
+    """64 signs of random projections; the share of differing ones estimates the angle."""
+    turned = unit @ np.random.default_rng([SEED, 64, unit.shape[1]]).normal(size=(unit.shape[1], 64))
+    return np.packbits(turned > 0, axis=1, bitorder="little").view("<i8")[:, 0]
+
+
+def sketch_distance(threshold: float) -> int:
+    """Differing signs that a pair at `threshold` stays below but for one in 10^8 or so."""
+    share = np.arccos(np.clip(threshold, -1, 1)) / np.pi
+    return int(np.ceil(64 * share + 6.3 * np.sqrt(64 * share * (1 - share)) + 1))
+
+
 def valid(column: str) -> Column:
     """True for vectors with a direction: no NULL, infinite or NaN component, not all zero."""
     bad = F.exists(column, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -83,19 +95,24 @@ def valid(column: str) -> Column:
 
 
 def _hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add `codes`, the bucket codes of every table in a row, to batches of classes."""
+    """Add `codes`, the bucket codes of every table in a row, and `sketch` to batches of classes."""
     for batch in batches:
         lists = batch.column("embedding")
         sizes = np.diff(lists.offsets.to_numpy())
         flat = lists.flatten().to_numpy()
         starts = np.cumsum(sizes) - sizes
         codes = np.empty((len(sizes), TABLES * (1 + PROBES)), np.int32)
+        signs = np.empty(len(sizes), np.int64)
         for dim in np.unique(sizes):
             of = np.flatnonzero(sizes == dim)
             vectors = flat[starts[of][:, None] + np.arange(dim)]
-            codes[of] = buckets(normalised(vectors)).reshape(len(of), -1)
+            unit = normalised(vectors)
+            codes[of] = buckets(unit).reshape(len(of), -1)
+            signs[of] = sketch(unit)
         column = pa.ListArray.from_arrays(np.arange(len(sizes) + 1, dtype=np.int32) * codes.shape[1], codes.ravel())
-        yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "codes"])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, column, pa.array(signs)], [*batch.schema.names, "codes", "sketch"]
+        )
 
 
 def _owned(i: np.ndarray, j: np.ndarray, t: np.ndarray, codes: np.ndarray, home: np.ndarray, rep: np.ndarray) -> np.ndarray:
@@ -115,6 +132,34 @@ def _owned(i: np.ndarray, j: np.ndarray, t: np.ndarray, codes: np.ndarray, home:
     return first & np.where(same[at], home[i] & home[j], home[i] ^ home[j]) & (~both | smaller)
 
 
+def _screen(distance: int):
+    """Rows of whole buckets that have a possible partner there, judged by sketches.
+
+    Rows of one bucket lie side by side, so all buckets of a table are gone through
+    together: every row is compared with the one d places on, for d = 1, 2, ... as long
+    as buckets are that large.
+    """
+
+    def work(table: pa.Table) -> pa.Table:
+        part, t, signs = (table.column(c).to_numpy() for c in ("part", "t", "sketch"))
+        home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)
+        slot, low, high = (table.column(c).to_numpy() for c in ("slot", "low", "high"))
+        edges = np.flatnonzero(np.concatenate([part[1:] != part[:-1], [True]]))
+        left = edges[np.searchsorted(edges, np.arange(len(part)))] - np.arange(len(part))
+        possible = np.zeros(len(part), bool)
+        at, d = np.flatnonzero(left >= 1), 1
+        while len(at):
+            to = at + d
+            near = np.bitwise_count((signs[at] ^ signs[to]).view(np.uint64)) <= distance
+            near &= (home[at] | home[to]) & (t[at] == t[to]) & ((low[at] == high[at]) | (slot[at] != slot[to]))
+            possible[at[near]] = possible[to[near]] = True
+            d += 1
+            at = at[left[at] >= d]
+        return table.filter(pa.array(possible)).drop_columns(["sketch"])
+
+    return work
+
+
 def _verify(threshold: float):
     """Work on whole buckets: verified links counted where they are met first, and a
     forest of them. Sends one row per vector with links, never its pairs."""
@@ -192,9 +237,10 @@ def near_duplicates(
 
     Equal vectors of a label are one class with a number of copies. Classes meet in the
     buckets of TABLES cross-polytope hashes, each vector in its home bucket and, as a
-    probe, in PROBES neighbouring ones; the cosine of every pair that meets is computed
-    in double precision, so no link is below the threshold. A pair that meets several
-    times counts once. Large buckets are split (see `split_buckets`).
+    probe, in PROBES neighbouring ones. Buckets first hold ids and 64-bit sketches only;
+    vectors are sent after those rows that have a possible partner. The cosine of every
+    such pair is computed in double precision, so no link is below the threshold. A pair
+    that meets several times counts once. Large buckets are split (see `split_buckets`).
 
     Vectors that are NULL, empty, zero or hold a NULL or non-finite component, and those
     with a NULL label, have no links and are their own component; so are vectors of
@@ -212,14 +258,18 @@ def near_duplicates(
     classes = usable.groupBy(key, "kind", "embedding").agg(F.min("vec").alias("rep"), F.count("*").alias("copies"))
     named = classes.where("rep IS NOT NULL")
     columns = named.select("rep", "copies", "kind", "embedding")
-    schema = StructType(list(columns.schema.fields)).add("codes", ArrayType(IntegerType()))
-    hashed = columns.mapInArrow(_hash_rows, schema)
+    schema = StructType(list(columns.schema.fields)).add("codes", ArrayType(IntegerType())).add("sketch", LongType())
+    hashed = materialise(columns.mapInArrow(_hash_rows, schema), "vector-codes")
     places = F.posexplode("codes").alias("place", "code")
-    met = hashed.select("*", F.size("embedding").alias("dim"), places)
+    met = hashed.select("rep", "sketch", "kind", F.size("embedding").alias("dim"), places)
     met = met.withColumn("t", F.floor(F.col("place") / (1 + PROBES)).cast("int"))
     met = met.withColumn("home", F.col("place") % (1 + PROBES) == 0)
-    met = met.withColumn("bucket", F.xxhash64("t", "kind", "dim", "code")).drop("place", "code", "kind", "dim")
-    work = split_buckets(met, "bucket", "rep", BUCKET_ROWS).drop("bucket")
+    met = met.select("rep", "sketch", "t", "home", F.xxhash64("t", "kind", "dim", "code").alias("bucket"))
+    names = ["part", "rep", "t", "home", "slot", "low", "high"]
+    parted = split_buckets(met, "bucket", "rep", BUCKET_ROWS).select(*names, "sketch")
+    kept = StructType([f for f in parted.schema.fields if f.name != "sketch"])
+    possible = by_groups(parted, _screen(sketch_distance(threshold)), kept)
+    work = possible.join(hashed.select("rep", "copies", "embedding", "codes"), "rep")
     found = materialise(by_groups(work, _verify(threshold), "rep long, root long, links long"), "vector-links")
     degree = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found, "rep", "root").withColumnRenamed("node", "rep")
