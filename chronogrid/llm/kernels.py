@@ -125,11 +125,13 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str = "part", rows: int
         yield pa.Table.from_batches(held)
 
 
-def by_groups(rows: DataFrame, work: Callable[[pa.Table], pa.Table], schema: str | StructType) -> DataFrame:
-    """Run `work` over tables of whole `part` groups of `rows`."""
+def by_groups(
+    rows: DataFrame, work: Callable[[pa.Table], pa.Table], schema: str | StructType, at_once: int = 16384
+) -> DataFrame:
+    """Run `work` over tables of whole `part` groups of `rows`, about `at_once` rows each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches):
+        for table in whole_groups(batches, rows=at_once):
             yield from work(table).to_batches()
 
     return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, schema)

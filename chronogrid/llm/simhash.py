@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronogrid.llm.components import components
-from chronogrid.llm.kernels import Forest, by_groups, prepare, split_buckets, text_udf
+from chronogrid.llm.kernels import Forest, by_groups, free_name, prepare, split_buckets, text_udf
 from chronogrid.session import materialise
 
 SEED = 42
@@ -18,6 +18,15 @@ BLOCKS = 5  # parts of a fingerprint; near ones agree in all but `distance` of t
 BUCKET_ROWS = 4096  # larger buckets are cut into chunks that meet two by two
 FRONTIER = 1 << 20  # (query, node) pairs held at a time
 
+# Near copies by exact Jaccard similarity. Two texts at 0.8 differ in 9.7 of 64 bits, with a
+# deviation of 2.9; five deviations more are allowed for.
+WORDS = 5
+PERCENT = 80  # least similarity
+DISTANCE = 24
+# Two texts at 0.8 share one of the bands of least hashes with probability 0.9995.
+BANDS, BAND_ROWS = 32, 7
+VERIFY_ROWS = 512  # texts of a chunk in which similarities are counted
+
 
 def fingerprint(text: str, shingle: int = 3) -> int:
     """The 64-bit SimHash of a text's word shingles, as a signed integer.
@@ -25,16 +34,27 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     Words are runs of other than ASCII white space, A-Z in lower case. A text of fewer
     words is one shingle; one without words has fingerprint zero.
     """
+    return _sign_bits(shingle_hashes(text, shingle))
+
+
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """The 64-bit hash of each word shingle of a text, repeated ones included."""
     words = text.encode().lower().split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(words) - shingle + 1)
     spans = zip(starts[:n].tolist(), ends[len(words) - n :].tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], "<u8")
+    return np.array([digest(joined[a:b], SEED) for a, b in spans], "<u8")
+
+
+def _sign_bits(hashes: np.ndarray) -> int:
+    n = len(hashes)
+    if not n:
+        return 0
     counts = np.zeros(64, np.int64)
     for begin in range(0, n, 1 << 14):
         bits = np.unpackbits(hashes[begin : begin + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -206,5 +226,121 @@ def near_duplicates(
     return made.join(of_class, "fp", "left").select(id_col, "fp", hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def _band_constants() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(SEED)
+    turn, factor = rng.integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
+    return turn, factor | np.uint64(1)
+
+
+def least_bands(hashes: np.ndarray) -> np.ndarray:
+    """One key per band: a hash of the least of `hashes` in BAND_ROWS random orders."""
+    turn, factor = _band_constants()
+    least = np.full(BANDS * BAND_ROWS, np.uint64(0xFFFFFFFFFFFFFFFF))
+    for begin in range(0, len(hashes), 1024):
+        mixed = (hashes[None, begin : begin + 1024] ^ turn[:, None]) * factor[:, None]
+        np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=1), out=least)
+    rows = least.reshape(BANDS, BAND_ROWS)
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(row.tobytes(), i) for i, row in enumerate(rows)], np.uint64)
+
+
+def _shingle_sets(docs: DataFrame, text_col: str, shingle: int) -> Column:
+    """Struct of a text's set of shingles as one hash, its fingerprint and its bands."""
+    prepare(docs.sparkSession)
+
+    def kernel(texts: list[str]) -> dict:
+        sets = [np.unique(shingle_hashes(text, shingle)) for text in texts]
+        return {
+            "shingles": [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets],
+            "fp": [_sign_bits(s) for s in sets],
+            "bands": [least_bands(s).view(np.int64) for s in sets],
+        }
+
+    return text_udf(kernel, "shingles long, fp long, bands array<long>")(F.col(text_col))
+
+
+def _similar_links(percent: int, shingle: int, distance: int):
+    """Trees of links between the texts of each group that are similar enough.
+
+    Every pair of a group is either counted or already linked; left out before counting
+    are pairs whose sizes or fingerprints are too far apart.
+    """
+
+    def group(names: np.ndarray, codes: np.ndarray, texts: list[str]) -> list[tuple[int, int]]:
+        sets = [np.unique(shingle_hashes(text, shingle)) for text in texts]
+        size = np.array([len(s) for s in sets])
+        out, waiting = [], np.arange(len(sets))
+        while len(waiting):
+            ahead, waiting = [int(waiting[0])], waiting[1:]
+            while ahead and len(waiting):
+                at = ahead.pop()
+                near = np.bitwise_count(codes[waiting] ^ codes[at]) <= distance
+                near &= 100 * np.minimum(size[waiting], size[at]) >= percent * np.maximum(size[waiting], size[at])
+                near &= (size[waiting] > 0) & (size[at] > 0)
+                near = np.flatnonzero(near)
+                if not len(near):
+                    continue
+                others = waiting[near]
+                shared = np.isin(np.concatenate([sets[i] for i in others]), sets[at])
+                both = np.add.reduceat(shared, np.cumsum(size[others]) - size[others], dtype=np.int64)
+                like = 100 * both >= percent * (size[others] + size[at] - both)
+                out += [(int(names[at]), int(names[i])) for i in others[like]]
+                ahead += others[like].tolist()
+                waiting = np.delete(waiting, near[like])
+        return out
+
+    def work(table: pa.Table) -> pa.Table:
+        part = table.column("part").to_numpy()
+        names, codes = table.column("shingles").to_numpy(), table.column("fp").to_numpy().view(np.uint64)
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        links = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            texts = [text or "" for text in table.column("text").slice(a, b - a).to_pylist()]
+            links += group(names[a:b], codes[a:b], texts)
+        return pa.table({"a": pa.array([k[0] for k in links], pa.int64()), "b": pa.array([k[1] for k in links], pa.int64())})
+
+    return work
+
+
+def first_of_copies(
+    docs: DataFrame, percent: int = PERCENT, shingle: int = WORDS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The row with the smallest id of each group of near copies, all columns kept.
+
+    Two texts are near copies if the Jaccard similarity of their sets of word shingles
+    (as 64-bit hashes) is `percent` or more; groups are what such pairs link.
+
+    Equal sets are merged before anything else, so copies cost one row each. Different
+    ones meet in buckets of least hashes, where a Gray-order index links fingerprints
+    within DISTANCE bits. What these links connect is looked at together, each text once
+    (groups over VERIFY_ROWS are cut into chunks that meet two by two): there similarities
+    are counted exactly, and only trees of similar pairs are sent on.
+
+    NULL, empty and blank texts have no shingles and are copies of each other; of rows
+    with one id each group keeps its own, the one of the smallest hash of all columns.
+    Rows without an id cannot be named as the one that stays; they all go on.
+    """
+    made, row = free_name(docs, "made"), free_name(docs, "row")
+    marked = docs.where(F.col(id_col).isNotNull()).withColumn(row, F.xxhash64(*(f"`{c}`" for c in docs.columns)))
+    marked = materialise(marked.withColumn(made, _shingle_sets(docs, text_col, shingle)), "shingle-sets")
+    rows = marked.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(row).alias("row"), f"{made}.*")
+    classes = rows.groupBy("shingles").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    bands = classes.select("fp", F.col("shingles").alias("first_doc"), F.posexplode("bands").alias("band", "bucket"))
+    bands = bands.select("fp", "first_doc", F.xxhash64("band", "bucket").alias("bucket"))
+    met = split_buckets(bands, "bucket", "first_doc", BUCKET_ROWS)
+    links = by_groups(met.select("part", "fp", "first_doc"), _near_links(DISTANCE), "a long, b long")
+    together = components(links)
+    texts = rows.join(together, F.col("shingles") == F.col("node")).select("component", "shingles", "fp", "text")
+    met = split_buckets(texts.dropDuplicates(["shingles"]), "component", "shingles", VERIFY_ROWS)
+    work = _similar_links(percent, shingle, DISTANCE)
+    found = components(by_groups(met.select("part", "shingles", "fp", "text"), work, "a long, b long", VERIFY_ROWS))
+    first = rows.groupBy("shingles").agg(F.min(F.struct("id", "row")).alias("first"))
+    group = F.coalesce("component", "shingles")
+    first = first.join(found, F.col("shingles") == F.col("node"), "left").groupBy(group).agg(F.min("first").alias("first"))
+    first = first.select(F.col("first.id").alias(id_col), F.col("first.row").alias(row))
+    kept = marked.join(first, [id_col, row], "left_semi").dropDuplicates([id_col, row])
+    return kept.select(*(f"`{c}`" for c in docs.columns)).unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def hex_digits(column: str) -> Column:
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
