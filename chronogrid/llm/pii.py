@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from chronogrid.llm.kernels import free_name, prepare, text_udf
 
 ROUNDS = 8
+# Usual days are permuted among themselves, and so are all others of the years 1 to 9999.
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
+USUAL_DAYS, OTHER_DAYS = LAST_DAY - FIRST_DAY + 1, date.max.toordinal() - (LAST_DAY - FIRST_DAY + 1)
 
 _MAIL = r"(?<![\w.+-])[\w.+-]++@\w[\w-]*(?:\.\w[\w-]*)+"
 _SECRET = (
@@ -24,8 +26,8 @@ _SECRET = (
 _IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
 _IP = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
 _DATE = (
-    r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}"
-    r"|\d{1,2}-\d{1,2}-\d{4})(?![\w/-]|\.\d)"
+    r"(?<![\w./-])(?:(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2})(?=[Tt]\d|(?![\w/-]|\.\d))"
+    r"|(?:\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\w/-]|\.\d))"
 )
 _SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 _CARD = r"(?<![\w+])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)"
@@ -183,8 +185,8 @@ def _ip(feistel: Feistel, found: str) -> str | None:
 
 
 def _date(feistel: Feistel, found: str) -> str | None:
-    """A date of the calendar within 1900 to 2099; one day has one pseudonym in every
-    format. With slashes the month comes first if it can."""
+    """A date of the calendar; one day has one pseudonym in every format. With slashes
+    the month comes first if it can."""
     mark = next(c for c in found if not c.isdigit())
     texts = found.split(mark)
     fields = [int(t) for t in texts]
@@ -198,9 +200,12 @@ def _date(feistel: Feistel, found: str) -> str | None:
             day = date(named["y"], named["m"], named["d"]).toordinal()
         except ValueError:
             continue
-        if not FIRST_DAY <= day <= LAST_DAY:
-            return None
-        made = date.fromordinal(FIRST_DAY + feistel.permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date"))
+        if FIRST_DAY <= day <= LAST_DAY:
+            new_day = FIRST_DAY + feistel.permute(day - FIRST_DAY, USUAL_DAYS, "date")
+        else:
+            place = feistel.permute(day - 1 if day < FIRST_DAY else day - 1 - USUAL_DAYS, OTHER_DAYS, "other date")
+            new_day = place + 1 if place + 1 < FIRST_DAY else place + 1 + USUAL_DAYS
+        made = date.fromordinal(new_day)
         new = {"y": made.year, "m": made.month, "d": made.day}
         return mark.join(str(new[c]).zfill(len(t)) for c, t in zip(order, texts, strict=True))
     return None

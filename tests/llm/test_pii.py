@@ -68,6 +68,28 @@ def test_equal_values_stay_linked_and_different_ones_apart():
     assert upper.lower() == lower
 
 
+def test_dates_in_time_stamps_stay_linked():
+    made = hidden("1987-03-12")[0]
+    for rest in ("T10:00:00Z", "t10:00:00.5+01:00", "T1000"):
+        assert hidden(f"at 1987-03-12{rest}.")[0] == f"at {made}{rest}."
+    assert hidden("1987/3/12T10:00")[1][0]["kind"] == "date"
+    for other in ("1987-03-12Tuesday", "1987-03-12x", "12.03.1987T10", "1987-03-12-4"):
+        assert hidden(other) == (other, [])
+
+
+def test_days_of_all_years_are_replaced():
+    days = [date.fromordinal(n) for n in [1, 2, pii.FIRST_DAY - 1, pii.LAST_DAY + 1, date.max.toordinal(), *range(365, 3652059, 36525)]]
+    seen = set()
+    for day in days:
+        one, two = hidden(f"{day.isoformat()} {day.day:02d}.{day.month:02d}.{day.year:04d}")[0].split()
+        made = date.fromisoformat(one)
+        assert two == f"{made.day:02d}.{made.month:02d}.{made.year:04d}"
+        assert (1900 <= made.year <= 2099) == (1900 <= day.year <= 2099)
+        seen.add(made)
+    assert len(seen) == len(set(days)) and sum(a == b for a, b in zip(days, seen, strict=False)) < 3
+    assert hidden("0000-01-01") == ("0000-01-01", [])
+
+
 def test_neighbours_are_told_apart():
     text = "+1 (651) 555-8500 151.49.68.73 4572801887383181 123 2675131828899235"
     kinds = [s["kind"] for s in hidden(text)[1]]
