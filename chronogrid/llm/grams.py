@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -172,18 +173,25 @@ def hash_share(column: str, salt: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(salt), F.col(column)), F.lit(1 << 40)) / float(1 << 40)
 
 
-def balanced_sample(rows: DataFrame, kind: str, key: str, size: int, kinds: int, salt: str) -> tuple[DataFrame, dict]:
+def balanced_sample(
+    rows: DataFrame, kind: str, key: str, size: int, kinds: int | None, salt: str, least: int = 1
+) -> tuple[DataFrame, dict]:
     """About `size` rows, as many of each value of `kind`, chosen by the hash of `key`.
 
-    Covers the `kinds` most frequent values. Rows of one key count once. Also returns
-    the number of rows of each value. The sample's bound is twice `size` rows.
+    Covers the `kinds` most frequent values, or all if that is None, each by about `least`
+    rows if there are so many values that their shares of `size` are smaller. Rows of one
+    key count once. Also returns the number of rows of each value. The sample's bound is
+    twice the rows asked for.
     """
-    found = rows.groupBy(kind).count().orderBy(F.desc("count"), kind).limit(kinds).collect()
+    found = rows.groupBy(kind).count().orderBy(F.desc("count"), kind)
+    found = (found if kinds is None else found.limit(kinds)).collect()
     counts = {r[0]: r["count"] for r in found}
     if not counts:
         return rows.limit(0), counts
-    rate = F.lit(0.0)
-    for value, count in counts.items():
-        rate = F.when(F.col(kind) == F.lit(value), F.lit(min(1.0, size / len(counts) / count))).otherwise(rate)
+    each = max(least, size / len(counts))
+    rates = [(F.col(kind) == F.lit(value), F.lit(min(1.0, each / count))) for value, count in counts.items()]
+    rate = F.when(*rates[0])
+    for pair in rates[1:]:
+        rate = rate.when(*pair)
     chosen = rows.where(hash_share(key, salt) < rate).dropDuplicates([key])
-    return chosen.limit(2 * size), counts
+    return chosen.limit(math.ceil(2 * each * len(counts))), counts

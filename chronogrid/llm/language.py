@@ -14,7 +14,7 @@ from chronogrid.llm.grams import WIDTH, Grams, balanced_sample, dense, fit_linea
 from chronogrid.llm.kernels import prepare, text_rows, text_udf
 
 SAMPLE_ROWS = 2000  # training documents, about as many of each language
-LANGUAGES = 24  # languages learned, the most frequent ones
+LANGUAGE_ROWS = 20  # of each language at least, however many languages there are
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -76,12 +76,13 @@ class Machines:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Machines:
     """Learn from rows with a language: a family machine each, and one per two languages
-    of a family. The sample is bounded by SAMPLE_ROWS; only its hashed n-gram
-    shares reach the driver."""
+    of a family. All languages are learned. The sample is bounded by SAMPLE_ROWS, or by
+    LANGUAGE_ROWS for each language if that is more; only its hashed n-gram shares reach
+    the driver."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("kind"))
     rows = rows.where("kind IS NOT NULL AND text IS NOT NULL")
-    sample, counts = balanced_sample(rows, "kind", "id", SAMPLE_ROWS, LANGUAGES, "language")
+    sample, counts = balanced_sample(rows, "kind", "id", SAMPLE_ROWS, None, "language", LANGUAGE_ROWS)
     if not counts:
         return Machines()
     got = sample.select("kind", share_udf(letters_only)(F.col("text")).alias("made")).toArrow()

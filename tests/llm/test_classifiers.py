@@ -137,3 +137,17 @@ def test_nothing_to_learn_from(spark, edge_docs):
     assert {r["lang_pred"] for r in language.predict(edge_docs, language.train(none)).collect()} == {"und"}
     assert max(r["score"] for r in toxicity.score(edge_docs, toxicity.train(edge_docs, labels)).collect()) < 0.01
     assert quality.judge(none, quality.train(edge_docs, labels)).count() == 0
+
+
+def test_all_languages_are_learned(spark):
+    """More languages than the sample has shares for, most of them rare."""
+    rng = random.Random(11)
+    words = {f"q{k:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(30)] for k in range(30)}
+    texts = [(code, " ".join(rng.choices(words[code], k=40))) for k, code in enumerate(words) for _ in range(40 if k < 24 else 8)]
+    docs = spark.createDataFrame([(i, text, code) for i, (code, text) in enumerate(texts)], "doc_id long, text string, lang string")
+    machines = language.train(docs)
+    assert sorted(c for codes in machines.members.values() for c in codes) == sorted(words)
+    found = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, machines).collect()}
+    assert np.mean([found[i] == code for i, (code, _) in enumerate(texts)]) > 0.99
+    rare = [i for i, (code, _) in enumerate(texts) if code >= "q24"]
+    assert np.mean([found[i] == texts[i][0] for i in rare]) > 0.95
