@@ -30,7 +30,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> np.uint32(13))) * np.uint32(0x297A2D39)) >> np.uint32(32 - BITS)
 
 
-def _ragged_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def ragged_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Sums over consecutive runs; a run of length zero sums to zero."""
     out = np.zeros(len(lengths))
     full = np.flatnonzero(lengths)
@@ -85,7 +85,7 @@ class Grams:
         for family, (b, n) in enumerate(zip(self.buckets, self.lengths, strict=True)):
             part = weights[family << BITS : (family + 1) << BITS]
             for model in range(part.shape[1]):
-                out[:, model] += _ragged_sums(part[:, model][b], n) / np.maximum(n, 1)
+                out[:, model] += ragged_sums(part[:, model][b], n) / np.maximum(n, 1)
         return out
 
 
@@ -103,6 +103,23 @@ def word_buckets(words: list[bytes]) -> np.ndarray:
 
 WIDTH = (len(CHARS) + 1) << BITS
 
+SEEN_BITS = 20  # buckets of four-byte grams, as a power of two
+
+
+def seen_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the four-byte grams of all texts, each between two spaces, and their number by text."""
+    padded = [b" %b " % text if text else b"" for text in texts]
+    size = np.fromiter(map(len, padded), np.int64, len(padded))
+    raw = np.frombuffer(b"".join(padded) + b"   ", np.uint8).astype(np.uint32)
+    h = raw[:-3] | raw[1:-2] << np.uint32(8) | raw[2:-1] << np.uint32(16) | raw[3:] << np.uint32(24)
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    h = ((h ^ (h >> np.uint32(13))) * np.uint32(0x297A2D39)) >> np.uint32(32 - SEEN_BITS)
+    inside = np.ones(len(h), bool)  # grams that end in another text are left out
+    ends = np.cumsum(size)
+    for back in range(1, 4):
+        inside[(ends - back)[size >= back]] = False
+    return h[inside].astype(np.int32), np.maximum(size - 3, 0)
+
 
 def share_udf(clean) -> Column:
     """An Arrow function that returns a text's columns and shares for training."""

@@ -10,11 +10,17 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronogrid.llm.grams import WIDTH, Grams, balanced_sample, dense, fit_linear, letters_only, share_udf
+from chronogrid.llm.grams import SEEN_BITS, WIDTH, Grams, ragged_sums, balanced_sample, dense, fit_linear, letters_only, seen_grams, share_udf
 from chronogrid.llm.kernels import prepare, text_rows, text_udf
 
 SAMPLE_ROWS = 2000  # training documents, about as many of each language
 LANGUAGE_ROWS = 20  # of each language at least, however many languages there are
+# A text is of a learned language if the share of its four-byte grams that training rows
+# hold (of any language, so that mixed texts stay) is not below a floor: SLACK times the
+# share that all but a twentieth (LOW) of the found language's rows reach when learned
+# from the other half of all rows. Short texts may stay below by three deviations, taken
+# twice as wide since grams overlap.
+LOW, SLACK, DEVIATIONS = 0.05, 0.75, 6.0
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -44,6 +50,8 @@ class Machines:
     duels: list[tuple[str, str]] = field(default_factory=list)  # after one machine per family
     weights: np.ndarray = field(default_factory=lambda: np.zeros((WIDTH, 0)))
     bias: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    seen: np.ndarray = field(default_factory=lambda: np.zeros(1 << SEEN_BITS, bool))
+    floor: dict[str, float] = field(default_factory=dict)
 
     def read(self, scores: np.ndarray) -> tuple[list[str], np.ndarray]:
         """Language and score of each row of machine scores."""
@@ -73,6 +81,32 @@ class Machines:
                 languages[row], score[row] = codes[winner], chance * share[row, f]
         return languages, score
 
+    def doubtful(self, texts: list[bytes], languages: list[str]) -> np.ndarray:
+        """Whether each text has too few grams seen in training to be of its language."""
+        buckets, count = seen_grams(texts)
+        known = ragged_sums(self.seen[buckets].astype(float), count)
+        out = np.zeros(len(texts), bool)
+        for row, code in enumerate(languages):
+            n, floor = int(count[row]), self.floor.get(code, 0.0)
+            if n:
+                least = floor * n - DEVIATIONS * (floor * (1 - floor) * n) ** 0.5
+                out[row] = known[row] == 0 or known[row] < least
+        return out
+
+
+def _seen(kinds: np.ndarray, halves: np.ndarray, lists: list[np.ndarray]) -> tuple[np.ndarray, dict[str, float]]:
+    """The grams of all rows, and by language the floor of the share that texts have of them."""
+    held = np.zeros((2, 1 << SEEN_BITS), bool)
+    for half, grams in zip(halves, lists, strict=True):
+        held[half, grams] = True
+    floor = {}
+    for code in sorted(set(kinds.tolist())):
+        rows = np.flatnonzero(kinds == code)
+        sides = [r for r in rows if len(lists[r]) and (halves[rows] != halves[r]).any()]
+        shares = [held[1 - halves[r], lists[r]].mean() for r in sides]
+        floor[code] = SLACK * float(np.quantile(shares, LOW)) if shares else 0.0
+    return held.any(axis=0), floor
+
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Machines:
     """Learn from rows with a language: a family machine each, and one per two languages
@@ -85,6 +119,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sample, counts = balanced_sample(rows, "kind", "id", SAMPLE_ROWS, None, "language", LANGUAGE_ROWS)
     if not counts:
         return Machines()
+
+    def distinct(texts: list[str]) -> dict:
+        return {"grams": [np.unique(seen_grams([letters_only(text)])[0]) for text in texts]}
+
+    grams = text_udf(distinct, "grams array<int>")(F.col("text"))
+    half = F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2)).cast("int").alias("half")
+    got = sample.select("kind", half, grams["grams"].alias("grams")).toArrow()
+    lists = [g.values.to_numpy() for g in got.column("grams")]
+    seen, floor = _seen(np.array(got.column("kind").to_pylist()), got.column("half").to_numpy(), lists)
+    del got, lists
     got = sample.select("kind", share_udf(letters_only)(F.col("text")).alias("made")).toArrow()
     kinds = np.array(got.column("kind").to_pylist())
     x = dense(got.column("made"))
@@ -110,16 +154,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     for a, b in duels:
         pair = (kinds == a) | (kinds == b)
         fits.append(fit_linear(x[pair], np.where(kinds[pair] == a, 1.0, -1.0), squared_hinge=True))
-    return Machines(families, members, duels, np.stack([f[0] for f in fits], axis=1), np.array([f[1] for f in fits]))
+    weights, bias = np.stack([f[0] for f in fits], axis=1), np.array([f[1] for f in fits])
+    return Machines(families, members, duels, weights, bias, seen, floor)
 
 
 def _kernel(machines):
     def kernel(texts: list[str]) -> dict:
         model = machines.value
-        grams = Grams.of([letters_only(text) for text in texts])
-        languages, score = model.read(grams.scores(model.weights, model.bias))
+        letters = [letters_only(text) for text in texts]
+        languages, score = model.read(Grams.of(letters).scores(model.weights, model.bias))
+        doubtful = model.doubtful(letters, languages)
         for row, text in enumerate(texts):
-            if LETTER.search(text) is None:
+            if doubtful[row] or LETTER.search(text) is None:
                 languages[row], score[row] = UNKNOWN, 0.0
         return {"lang_pred": languages, "score": score}
 
@@ -144,8 +190,9 @@ class _Sent:
 def predict(docs: DataFrame, machines: Machines, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, lang_pred, score) of whole texts, one row per input row.
 
-    `lang_pred` is a learned language, or "und" with score 0 for a text that is NULL or
-    has no letters, and for every text if nothing was learned; the score (0 to 1) is the
+    `lang_pred` is a learned language, or "und" with score 0 for a text that is NULL, has
+    no letters or too few n-grams of the language's training rows (see LOW), and for
+    every text if nothing was learned; the score (0 to 1) is the
     family's share times the winner's share of its duels. Ties go to the first code.
     Only the text is looked at; repeated rows stay; other columns are ignored.
     """

@@ -2,9 +2,11 @@ import random
 import re
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from chronogrid.llm import grams, language, quality, queries, toxicity
 
@@ -151,3 +153,27 @@ def test_all_languages_are_learned(spark):
     assert np.mean([found[i] == code for i, (code, _) in enumerate(texts)]) > 0.99
     rare = [i for i, (code, _) in enumerate(texts) if code >= "q24"]
     assert np.mean([found[i] == texts[i][0] for i in rare]) > 0.95
+
+
+def test_texts_of_no_learned_language_are_unsure(spark):
+    """Other languages, scripts and random letters have no language; the given documents have."""
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    machines = language.train(docs)
+    rng = random.Random(1)
+    letters = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(100)]
+    strange = [
+        " ".join(letters),
+        "Это предложение на русском языке.",
+        "日本語の文章です",
+        "Wszyscy ludzie rodza sie wolni i rowni pod wzgledem swej godnosci i swych praw",
+        "Minden emberi leny szabadon szuletik es egyenlo meltosaga es joga van",
+    ]
+    rows = [(k, text, "en", "s", len(text)) for k, text in enumerate(strange)]
+    found = language.predict(spark.createDataFrame(rows, docs.schema), machines).collect()
+    assert [(r["lang_pred"], r["score"]) for r in found] == [("und", 0.0)] * len(strange)
+    clean = language.predict(docs, machines).collect()
+    assert sum(r["lang_pred"] == "und" for r in clean) == 0
+    mixed = docs.unionByName(spark.createDataFrame([(10**6 + r[0], *r[1:]) for r in rows], docs.schema))
+    labelled = mixed.withColumn("lang", F.when(F.col("doc_id") < 10**6, F.col("lang")))
+    kept = corpus_pipeline.keep_known_languages(spark, labelled, None)
+    assert kept.where(F.col("doc_id") >= 10**6).count() == 0 and kept.count() == docs.count()
