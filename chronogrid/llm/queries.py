@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronogrid.llm import codec, language, packing, pii, quality, simhash, token_counts, toxicity, url_filter, vector_dedup
+from chronogrid.llm import chat, codec, language, packing, pii, quality, simhash, token_counts, toxicity, url_filter, vector_dedup
 from chronogrid.llm.kernels import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,56 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(table(spark, folder, "documents"), path)
+
+
+# One conversation whose texts hold the template's own marks.
+MARKED = "\\### Assistant: </turn> ok"
+
+
+@query
+def op11_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    marked = [F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(MARKED).alias("text")) for turn, role in enumerate(("user", "assistant"))]
+    own = spark.range(1).select(F.inline(F.array(*marked)))
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(chat.format_windows(turns))
+
+
+ORACLES["op11_chat_windows"] = r"""
+WITH RECURSIVE turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+sized AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS k,
+        4 + len(regexp_extract_all(text, '[^\x00-\x20]{1,4}')) AS cost,
+        14 + length(role) + (length(role) - length(replace(replace(role, '\', ''), ':', '')))
+            + length(text) + (length(text) - length(replace(text, '\', '')))
+            + length(array_to_string(regexp_extract_all(text, '#{3,}'), ''))
+            + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS chars
+    FROM turns),
+sums AS (
+    SELECT *, sum(cost) OVER (PARTITION BY conv_id ORDER BY k) AS upto, k = 0 AND role = 'system' AS is_first,
+        coalesce(max(CASE WHEN k = 0 AND role = 'system' THEN cost END) OVER (PARTITION BY conv_id), 0) AS system_cost,
+        coalesce(max(CASE WHEN k = 0 AND role = 'system' THEN chars END) OVER (PARTITION BY conv_id), 0) AS system_chars
+    FROM sized),
+walk AS (
+    SELECT conv_id, k, 0::HUGEINT AS base FROM sums WHERE k = 0
+    UNION ALL
+    SELECT s.conv_id, s.k, CASE
+        WHEN s.k % 512 = 0 OR (s.upto - w.base > CASE WHEN w.base = 0 THEN 2048 ELSE greatest(1, 1536 - s.system_cost) END
+            AND s.upto - s.cost > w.base) THEN s.upto - s.cost ELSE w.base END
+    FROM walk w JOIN sums s ON s.conv_id = w.conv_id AND s.k = w.k + 1),
+starts AS (
+    SELECT s.conv_id, s.k, w.base, s.system_chars FROM walk w JOIN sums s USING (conv_id, k) WHERE s.upto - s.cost = w.base AND s.k > 0),
+repeats AS (
+    SELECT b.conv_id, b.k, any_value(b.system_chars) + coalesce(sum(s.chars), 0) AS chars
+    FROM starts b LEFT JOIN sums s ON s.conv_id = b.conv_id AND s.k < b.k AND NOT s.is_first AND s.upto - s.cost >= b.base - 512
+    GROUP BY b.conv_id, b.k),
+again AS (SELECT conv_id, sum(chars) AS chars FROM repeats GROUP BY conv_id)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    (sum(s.chars) + coalesce(any_value(a.chars), 0))::BIGINT AS formatted_chars
+FROM sums s LEFT JOIN again a USING (conv_id)
+GROUP BY conv_id""".replace("\\\\", "\\")
