@@ -6,6 +6,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -185,6 +186,17 @@ def _one_pass(docs: DataFrame, items: list[tuple[int | None, list[bytes]]], top:
     return ranked.select(names[F.col("item")].alias("item"), F.col("item").alias("at"), "doc", "score")
 
 
+def _first_rows(ranked: DataFrame, top: int) -> DataFrame:
+    """The `top` rows of each item with their rank; partitions' rankings are merged in SALTS
+    groups first, so that no task sees all of an item's."""
+    order = [F.desc("score"), F.asc_nulls_last("doc")]
+    some = ranked.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    for by in (["at", "salt"], ["at"]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        some = some.withColumn("rank", rank).where(F.col("rank") <= top)
+    return some.select("item", "rank", "doc", "score")
+
+
 def _passes(items: DataFrame) -> Iterator[list[tuple[int | None, list[bytes]]]]:
     """Items and their terms in lists of about PASS_TERMS words each."""
     words = text_udf(_distinct_terms, "terms array<binary>")(F.col("text"))["terms"]
@@ -230,20 +242,8 @@ def search(
     spark = prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     asked = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text"))
-    found = spark.createDataFrame([], "item long, at int, doc long, score long")
-    for part in _passes(asked):
-        ranked = _one_pass(rows, part, top)
-        order = [F.desc("score"), F.asc_nulls_last("doc")]
-        salted = Window.partitionBy("at", "salt").orderBy(*order)
-        some = ranked.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-        some = some.withColumn("rank", F.row_number().over(salted)).where(F.col("rank") <= top).drop("rank", "salt")
-        last = F.row_number().over(Window.partitionBy("at").orderBy(*order))
-        some = some.withColumn("rank", last).where(F.col("rank") <= top).drop("at")
-        found = some if found is None or not found.schema.names else _union(found, some)
-    if "rank" not in found.columns:
-        found = found.withColumn("rank", F.lit(1)).drop("at")
-    return found.select(F.col("item").alias(item_col), "rank", F.col("doc").alias(id_col), "score")
-
-
-def _union(found: DataFrame, some: DataFrame) -> DataFrame:
-    return some if "rank" not in found.columns else found.unionByName(some)
+    found = [_first_rows(_one_pass(rows, part, top), top) for part in _passes(asked)]
+    if not found:
+        found = [spark.createDataFrame([], "item long, rank int, doc long, score long")]
+    every = reduce(DataFrame.unionByName, found)
+    return every.select(F.col("item").alias(item_col), "rank", F.col("doc").alias(id_col), "score")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronogrid.llm import chat, codec, language, packing, pii, quality, simhash, token_counts, toxicity, url_filter, vector_dedup
+from chronogrid.llm import chat, codec, language, lexical, packing, pii, quality, simhash, token_counts, toxicity, url_filter, vector_dedup, whitening
 from chronogrid.llm.kernels import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,4 +183,42 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
     (sum(s.chars) + coalesce(any_value(a.chars), 0))::BIGINT AS formatted_chars
 FROM sums s LEFT JOIN again a USING (conv_id)
-GROUP BY conv_id""".replace("\\\\", "\\")
+GROUP BY conv_id"""
+
+
+@query
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), top=10)
+
+
+ORACLES["op12_lexical_search"] = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents),
+counts AS (SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY row, doc_id, term),
+sizes AS (SELECT row, sum(tf)::BIGINT AS n FROM counts GROUP BY row),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS size FROM sizes),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM counts, totals GROUP BY term),
+lengths AS (SELECT row, 100 - 90 + (90 * n * docs) // size AS m FROM sizes, totals),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+scored AS (
+    SELECT item_id, c.row, any_value(doc_id) AS doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN counts c USING (term) JOIN lengths l ON l.row = c.row
+    GROUP BY item_id, c.row),
+ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"), components=32)
