@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rank accuracy of the sketch that brackets a quantile before the exact count. A
-# bracket then holds about 4 / ACCURACY of a group's rows. Groups of up to
-# SMALL_GROUP rows are ranked whole: there the sketch margin is below one rank.
-ACCURACY = 100_000
-SMALL_GROUP = 4 * ACCURACY
-
+from chronogrid.operators import selection
 
 def to_long(df: DataFrame, keys: list[str], values: list[str], extra: list[str] = ()) -> DataFrame:
     """Value columns as (keys, extra, feature, v) rows, without NULL and NaN."""
@@ -24,47 +19,6 @@ def to_long(df: DataFrame, keys: list[str], values: list[str], extra: list[str]
     )
 
 
-def _brackets(long: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
-    """One row per group and probability with bounds no wider than the sketch error."""
-    margin = 2.0 / ACCURACY
-    asked = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
-    sketch = long.groupBy(*by).agg(
-        F.count("v").alias("n"),
-        F.min("v").alias("lo_all"),
-        F.max("v").alias("hi_all"),
-        F.percentile_approx("v", asked, ACCURACY).alias("s"),
-    )
-    k = len(probs)
-    whole = F.col("n") <= SMALL_GROUP
-    rows = [
-        F.struct(
-            F.lit(i).alias("i"),
-            (F.lit(float(p)) * (F.col("n") - 1)).alias("pos"),
-            F.when(whole, F.col("lo_all")).otherwise(F.col("s")[i]).alias("lo"),
-            F.when(whole, F.col("hi_all")).otherwise(F.col("s")[k + i]).alias("hi"),
-        )
-        for i, p in enumerate(probs)
-    ]
-    return sketch.select(*by, "n", F.explode(F.array(*rows)).alias("t")).select(*by, "n", "t.*")
-
-
-def _meet(long: DataFrame, targets: DataFrame, by: list[str], keyed: bool, few_groups: bool) -> DataFrame:
-    """Each row with every target of its group.
-
-    Without keys the targets are as many as columns times probabilities, so they
-    travel as one array value and no join takes place. With keys they are joined,
-    broadcast only where the caller knows that the groups are few.
-    """
-    if keyed:
-        return long.join(F.broadcast(targets) if few_groups else targets, by)
-    fields = ["n", "i", "pos", "lo", "hi"]
-    own = targets.groupBy("feature").agg(F.collect_list(F.struct(*fields)).alias("t"))
-    asked = own.agg(F.map_from_entries(F.collect_list(F.struct("feature", "t")))).scalar()
-    return long.withColumn("_t", F.explode(F.try_element_at(asked, F.col("feature")))).select(
-        "feature", "v", *[F.col(f"_t.{f}").alias(f) for f in fields]
-    )
-
-
 def exact_quantiles(
     df: DataFrame,
     keys: list[str],
@@ -74,43 +28,13 @@ def exact_quantiles(
 ) -> DataFrame:
     """Quantiles with linear interpolation, as (keys, feature, n, edges).
 
-    No group is ever gathered in one task. A sketch of bounded size brackets each
-    quantile; a second pass counts the rows below the bracket and, map-side, the
-    copies of each value inside it; only those few values are then ranked.
-
-    The frame is read twice; write it first where it is expensive to compute.
-    `few_groups` states that the keys are few by construction (flags, hours).
+    Ranks are found by refinement over the bits of the numbers (see `selection`), so no
+    group is gathered or sorted whatever its size. The frame is read three times; write it
+    first where it is expensive to compute. `few_groups` states that the keys are few by
+    construction (flags, hours); without keys the groups are the columns.
     """
-    by = [*keys, "feature"]
     long = to_long(df, keys, values)
-    targets = _brackets(long, by, probs)
-    inside = (
-        _meet(long, targets, by, bool(keys), few_groups)
-        .filter(F.col("v") <= F.col("hi"))
-        .withColumn("v", F.when(F.col("v") >= F.col("lo"), F.col("v")))
-        .groupBy(*by, "n", "i", "pos", "v")
-        .agg(F.count("*").alias("c"))
-    )
-    ranked = inside.withColumn(
-        "upto", F.sum("c").over(Window.partitionBy(*by, "i").orderBy(F.asc_nulls_first("v")))
-    )
-    first, second = F.floor("pos"), F.ceil("pos")
-    picked = ranked.groupBy(*by, "n", "i", "pos").agg(
-        F.min(F.when(F.col("upto") > first, F.col("v"))).alias("a"),
-        F.min(F.when(F.col("upto") > second, F.col("v"))).alias("b"),
-        F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("upto"))), F.lit(0)).alias("below"),
-    )
-    missed = (F.col("below") > first) | F.col("b").isNull()
-    picked = picked.filter(
-        F.when(missed, F.raise_error(F.lit("quantile outside its bracket")).cast("boolean")).otherwise(True)
-    )
-    value = F.col("a") + (F.col("b") - F.col("a")) * (F.col("pos") - first)
-    return (
-        picked.select(*by, "n", "i", value.alias("q"))
-        .groupBy(*by, "n")
-        .agg(F.array_sort(F.collect_list(F.struct("i", "q"))).alias("_e"))
-        .select(*by, "n", F.col("_e.q").alias("edges"))
-    )
+    return selection.quantiles(long, [*keys, "feature"], probs, few_groups=few_groups or not keys)
 
 
 def quantile_columns(

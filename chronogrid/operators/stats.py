@@ -88,8 +88,10 @@ def autocorrelation(
 ) -> DataFrame:
     """Autocorrelation per series: lagged products over the total variation.
 
-    Rows are taken in time order; the sums of products and the sums of the shifted
-    values come from one pass, so the series mean is not joined back to the rows.
+    Rows are taken in time order. For each lag the pairs' means and co-moment come from
+    one pass; they are merged between tasks as such, never as sums of raw products, so a
+    large level of the series costs no digits: the product about the series mean is the
+    co-moment plus what the pairs' means lie off it.
     """
     lags = range(max_lag + 1)
     known = df.select(item, ts, F.col(value).cast("double").alias("x")).filter("x IS NOT NULL")
@@ -104,20 +106,14 @@ def autocorrelation(
     sums = shifted.groupBy(item).agg(
         F.avg("x").alias("m"),
         F.count("x").alias("n"),
-        F.var_pop("x").alias("var"),
-        *[F.sum(F.when(F.col(f"l{k}").isNotNull(), F.col("x") * F.col(f"l{k}"))).alias(f"p{k}") for k in lags],
-        *[F.sum(F.when(F.col(f"l{k}").isNotNull(), F.col("x") + F.col(f"l{k}"))).alias(f"s{k}") for k in lags],
+        *[F.covar_pop("x", f"l{k}").alias(f"c{k}") for k in lags],
+        *[F.avg(F.when(F.col(f"l{k}").isNotNull(), F.col("x"))).alias(f"x{k}") for k in lags],
+        *[F.avg(f"l{k}").alias(f"y{k}") for k in lags],
     )
     m, n = F.col("m"), F.col("n")
-    cells = [
-        F.struct(
-            F.lit(k).cast("bigint").alias("lag"),
-            F.try_divide(
-                F.col(f"p{k}") - m * F.col(f"s{k}") + (n - k) * m * m, n * F.col("var")
-            ).alias("acf"),
-        )
-        for k in lags
-    ]
+    product = [F.col(f"c{k}") + (F.col(f"x{k}") - m) * (F.col(f"y{k}") - m) for k in lags]
+    acf = [F.try_divide((n - k) * product[k], n * product[0]) for k in lags]
+    cells = [F.struct(F.lit(k).cast("bigint").alias("lag"), acf[k].alias("acf")) for k in lags]
     return sums.select(item, "n", F.explode(F.array(*cells)).alias("r")).select(item, "n", "r.*")
 
 

@@ -114,12 +114,29 @@ def repeatable_sample(t: Tables):
     return stats.hashed_sample(t.events, ["event_id"], 5000, 42).select("event_id", "event_type", "value")
 
 
-@query("c6_partial_autocorrelation")
-def partial_autocorrelation(t: Tables):
-    return tidied(stats.partial_autocorrelation(t.series, "y", 60))
+ACF_LAGS = list(range(49))
+PACF_LAGS = list(range(61))
 
 
-ACF_LAGS = list(range(49))
+@query(
+    "c6_partial_autocorrelation",
+    with_views("series").replace("WITH ", "WITH RECURSIVE ", 1)
+    + ", x AS (SELECT item_id, ts, y - avg(y) OVER (PARTITION BY item_id) AS d FROM series), l AS (SELECT item_id, d, "
+    + ", ".join(f"lag(d, {k}) {BY_TIME} AS l{k}" for k in PACF_LAGS)
+    + " FROM x), r AS (SELECT item_id, count(*) AS n, ["
+    + ", ".join(f"sum(d * l{k}) / sum(d * d)" for k in PACF_LAGS)
+    + """] AS rho FROM l GROUP BY 1),
+    dl AS (
+      SELECT item_id, n, rho, 1 AS k, [rho[2]] AS phi FROM r
+      UNION ALL
+      SELECT item_id, n, rho, k + 1, list_append([phi[j] - z * phi[k + 1 - j] FOR j IN range(1, k + 1)], z)
+      FROM (SELECT *, (rho[k + 2] - list_sum([phi[j] * rho[k + 2 - j] FOR j IN range(1, k + 1)]))
+        / (1 - list_sum([phi[j] * rho[j + 1] FOR j IN range(1, k + 1)])) AS z FROM dl WHERE k < 60))
+    SELECT item_id, CAST(k AS BIGINT) AS lag, tidy(phi[k]) AS pacf, tidy(1.959963984540054 / sqrt(n)) AS band FROM dl
+    UNION ALL SELECT item_id, 0, 1.0, tidy(1.959963984540054 / sqrt(n)) FROM r""",
+)
+def partial_autocorrelation(t: Tables):
+    return tidied(stats.partial_autocorrelation(t.series, "y", 60))
 
 
 @query(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronogrid.functions.tails import t_tail
-from chronogrid.operators import bins, evaluate, stats
+from chronogrid.operators import bins, evaluate, selection, stats
 
 
 def values(spark, xs, name="v"):
@@ -35,21 +35,58 @@ def test_equal_width_bins(spark):
     assert edges == pytest.approx([-0.01, 10 / 3, 20 / 3, 10])
 
 
-@pytest.mark.parametrize("small_group", [0, 10**9])
-def test_quantiles_match_numpy_with_hot_group_and_ties(spark, monkeypatch, small_group):
-    """Both the bracketed search and the whole ranking, on a group of two thirds of the rows."""
-    monkeypatch.setattr(bins, "SMALL_GROUP", small_group)
-    monkeypatch.setattr(bins, "ACCURACY", 500)
+@pytest.mark.parametrize("few_groups", [True, False])
+def test_quantiles_match_numpy_with_hot_group_and_ties(spark, few_groups):
+    """A group of two thirds of the rows, ties, NULL and NaN values and a NULL group."""
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"k": np.where(rng.random(9000) < 0.67, "hot", "cold"), "v": rng.lognormal(1, 2, 9000).round(1)})
     probs = [0.0, 0.1, 0.25, 0.5, 0.77, 0.9, 1.0]
-    out = bins.exact_quantiles(spark.createDataFrame(pdf), ["k"], ["v"], probs)
-    for row in out.collect():
+    more = spark.createDataFrame([("hot", None), ("cold", float("nan")), ("empty", None)], "k string, v double")
+    out = bins.exact_quantiles(spark.createDataFrame(pdf).unionByName(more), ["k"], ["v"], probs, few_groups).collect()
+    assert {row["k"] for row in out} == {"hot", "cold"}
+    for row in out:
         want = np.quantile(pdf.loc[pdf.k == row["k"], "v"], probs)
         np.testing.assert_allclose(row["edges"], want, rtol=1e-12)
         assert row["n"] == (pdf.k == row["k"]).sum()
 
 
+ODD = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1e-310, 1.0, 1.0 - 2**-53, 1 + 2**-52]
+ODD += [-1.5, 3.0, 2.0**500, 2.0**500 - 2.0**447, 1.7976931348623157e308, -1.7976931348623157e308, float("inf"), -float("inf"), 0.1, 1e23]
+
+
+def test_bits_keep_order_and_value(spark):
+    rng = np.random.default_rng(4)
+    xs = [*ODD, *(rng.integers(-(2**63), 2**63, 3000).view(float))]
+    xs = [float(x) for x in xs if x == x] + [2.0**k for k in range(-1074, 1024)] + [float(np.nextafter(2.0**k, 0)) for k in range(-1060, 1024)]
+    made = selection.with_bits(values(spark, xs), "v", "b")
+    rows = made.select("v", "b", selection.double_of(F.col("b")).alias("again")).collect()
+    for r in rows:
+        want = int(np.float64(abs(r["v"])).view(np.int64)) * (-1 if r["v"] < 0 else 1)
+        assert r["b"] == want and r["again"] == r["v"]
+    none = selection.with_bits(values(spark, [float("nan"), None]), "v", "b").select("b")
+    assert none.collect() == [(None,), (None,)]
+
+
+def test_ranks_of_odd_numbers(spark):
+    xs = ODD * 3
+    wanted = F.transform(F.sequence(F.lit(0), F.lit(len(xs))), lambda i: F.struct(i.alias("name"), i.cast("long").alias("rank")))
+    long = values(spark, xs).withColumn("g", F.lit("one"))
+    for few in (True, False):
+        got = selection.select_ranks(long, ["g"], wanted, few_groups=few).orderBy("name").collect()
+        assert [r["v"] for r in got] == sorted(xs)
+
+
+def test_quantiles_of_ten_million_rows_in_one_group(spark):
+    """A permutation of 1..10^7, and half of the rows equal."""
+    n = 10_000_000
+    rows = spark.range(n).select(((F.col("id") * 7_368_787) % n + 1).cast("double").alias("v"))
+    rows = rows.withColumn("w", F.when(F.col("v") <= n // 2, F.lit(3.25)).otherwise(F.col("v") / 7))
+    got = {r["feature"]: r for r in bins.exact_quantiles(rows, [], ["v", "w"], [0.25, 0.5, 0.9999]).collect()}
+    assert got["v"]["n"] == n
+    assert got["v"]["edges"] == pytest.approx([1 + (n - 1) * p for p in (0.25, 0.5, 0.9999)], rel=1e-15)
+    assert got["w"]["edges"][0] == 3.25 and got["w"]["edges"][1] == pytest.approx((3.25 + (n // 2 + 1) / 7) / 2)
+
+
 def test_t_tail_known_values():
     assert t_tail(2.228138852, 10) == pytest.approx(0.05, abs=1e-9)
     assert t_tail(1.0, 1) == pytest.approx(0.5)
@@ -84,6 +121,21 @@ def test_partial_autocorrelation_solves_yule_walker(spark, hourly):
         assert got[k] == pytest.approx(np.linalg.solve(toeplitz, rho[1 : k + 1])[-1], abs=1e-9)
 
 
+@pytest.mark.parametrize("chunk", [100, 8192])
+@pytest.mark.parametrize("offset", [0.0, 1e8])
+def test_autocorrelation_at_a_high_level(spark, hourly, chunk, offset):
+    """A level of 10^8 costs no digits, and the chunk length does not matter."""
+    rng = np.random.default_rng(6)
+    x = np.sin(np.arange(900) / 3) + 0.3 * rng.normal(size=900) + offset
+    holes = [None if i % 41 == 7 else v for i, v in enumerate(x)]
+    got = {r["lag"]: r["acf"] for r in stats.autocorrelation(hourly(holes), "y", 30, chunk_hours=chunk).collect()}
+    kept = np.array([v for v in holes if v is not None])
+    d = kept - kept.mean()
+    want = [d[k:] @ d[: len(d) - k] / (d @ d) for k in range(31)]
+    assert got[0] == pytest.approx(1.0, abs=1e-12)
+    assert [got[k] for k in range(31)] == pytest.approx(want, abs=1e-9)
+
+
 def test_describe_matches_pandas(spark):
     pdf = pd.DataFrame({"a": [3.0, 1.0, 4.0, 1.0, 5.0], "b": [2.0, 7.0, 1.0, 8.0, 2.0]})
     got = {r["feature"]: r for r in stats.describe(spark.createDataFrame(pdf), ["a", "b"]).collect()}
