@@ -65,6 +65,16 @@ class Grams:
         buckets.append(word_buckets(flat))
         return cls(buckets, lengths)
 
+    def take(self, rows: np.ndarray) -> Grams:
+        """The grams of some of the texts."""
+        buckets, lengths = [], []
+        for b, n in zip(self.buckets, self.lengths, strict=True):
+            own = n[rows]
+            begin = (np.cumsum(n) - n)[rows]
+            buckets.append(b[np.arange(int(own.sum())) + np.repeat(begin - (np.cumsum(own) - own), own)])
+            lengths.append(own)
+        return Grams(buckets, lengths)
+
     def shares(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text the columns that occur, and their shares of the family."""
         out = []

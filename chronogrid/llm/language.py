@@ -53,12 +53,13 @@ class Machines:
     seen: np.ndarray = field(default_factory=lambda: np.zeros(1 << SEEN_BITS, bool))
     floor: dict[str, float] = field(default_factory=dict)
 
-    def read(self, scores: np.ndarray) -> tuple[list[str], np.ndarray]:
-        """Language and score of each row of machine scores."""
-        n = len(scores)
+    def read(self, grams: Grams) -> tuple[list[str], np.ndarray]:
+        """Language and score of each text: its family by all family machines, then a
+        language by the machines of that family alone."""
+        n, kinds = len(grams.lengths[0]), len(self.families)
         if not self.families:
             return [UNKNOWN] * n, np.zeros(n)
-        raw = scores[:, : len(self.families)]
+        raw = grams.scores(self.weights[:, :kinds], self.bias[:kinds])
         share = np.exp(3 * (raw - raw.max(axis=1, keepdims=True)))
         share /= share.sum(axis=1, keepdims=True)
         family = raw.argmax(axis=1)
@@ -66,13 +67,16 @@ class Machines:
         for f, name in enumerate(self.families):
             rows = np.flatnonzero(family == f)
             codes = self.members[name]
+            duels = [d for d, (a, _) in enumerate(self.duels) if a in codes]
             votes = np.zeros((len(rows), len(codes)))
-            for d, (a, b) in enumerate(self.duels):
-                if a in codes:
-                    margin = np.clip(scores[rows, len(self.families) + d], -10, 10)
+            if len(rows) and duels:
+                at = kinds + np.array(duels)
+                margins = grams.take(rows).scores(self.weights[:, at], self.bias[at])
+                for d, margin in zip(duels, np.clip(margins.T, -10, 10), strict=True):
+                    a, b = (codes.index(code) for code in self.duels[d])
                     chance = 1 / (1 + np.exp(-3 * margin))
-                    votes[:, codes.index(a)] += chance
-                    votes[:, codes.index(b)] += 1 - chance
+                    votes[:, a] += chance
+                    votes[:, b] += 1 - chance
             if len(codes) == 1:
                 votes[:] = 1.0
             best = votes.argmax(axis=1)
@@ -162,17 +166,18 @@ def _kernel(machines):
     def kernel(texts: list[str]) -> dict:
         model = machines.value
         letters = [letters_only(text) for text in texts]
-        languages, score = model.read(Grams.of(letters).scores(model.weights, model.bias))
+        languages, score = model.read(Grams.of(letters))
         doubtful = model.doubtful(letters, languages)
         for row, text in enumerate(texts):
-            if doubtful[row] or LETTER.search(text) is None:
+            if LETTER.search(text) is None:
                 languages[row], score[row] = UNKNOWN, 0.0
-        return {"lang_pred": languages, "score": score}
+            doubtful[row] |= languages[row] == UNKNOWN
+        return {"lang_pred": languages, "score": score, "doubtful": doubtful}
 
     return kernel
 
 
-SCHEMA = "lang_pred string, score double"
+SCHEMA = "lang_pred string, score double, doubtful boolean"
 
 
 class _Sent:
@@ -188,13 +193,18 @@ class _Sent:
 
 
 def predict(docs: DataFrame, machines: Machines, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, lang_pred, score) of whole texts, one row per input row.
-
-    `lang_pred` is a learned language, or "und" with score 0 for a text that is NULL, has
-    no letters or too few n-grams of the language's training rows (see LOW), and for
-    every text if nothing was learned; the score (0 to 1) is the
-    family's share times the winner's share of its duels. Ties go to the first code.
-    Only the text is looked at; repeated rows stay; other columns are ignored.
+    """(id_col, lang_pred, score, doubtful) of whole texts, one row per input row.
+
+    `lang_pred` is a learned language, or "und" with score 0 for a text that is NULL or has
+    no letter, and for every text if nothing was learned; the score (0 to 1) is the
+    family's share times the winner's share of its duels. Only the duels of the family
+    found are scored. Ties go to the first code. `doubtful` marks texts that are "und" or
+    have too few n-grams of the language's training rows (see LOW), such as those in a
+    language or script that was not learned.
+
+    Only the text is looked at, whole however long, a few megabytes of texts at a time;
+    repeated rows stay; an empty table gives an empty result; other columns are ignored
+    whatever their names.
     """
     spark = prepare(docs.sparkSession)
     return text_rows(docs, _kernel(_Sent(machines, spark)), SCHEMA, id_col, text_col)

@@ -16,7 +16,11 @@ from chronogrid.llm.kernels import prepare, text_rows, text_udf
 
 PER_CLASS = 3000  # training documents of each class, at most about this many
 TERM_BITS = 20  # terms are hashed to this many bits
-TERMS = 1024  # hashed terms that the machine looks at
+TERMS = 1024  # hashed terms chosen because they tell the classes apart by themselves
+PAIR_TERMS = 4096  # most frequent distinct terms among which telling pairs are looked for
+PAIR_BLOCK = 512  # terms whose pairs are counted together
+PAIR_FACTOR = 4  # how much surer a pair must be than its two terms together
+PAIR_DEVIATIONS = 6.0  # what a pair must exceed; of 10^7 pairs by chance none does
 FACTORS = 4  # length of a term's factor vector
 PREFIXES = range(3, 9)  # a word's beginnings of these lengths, in bytes, are terms too
 
@@ -67,6 +71,70 @@ def choose_terms(lists: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return best[sure[best] > 2.5]
 
 
+def choose_pairs(lists: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Terms that matter together: those of pairs whose dependence differs between the classes.
+
+    A pair is counted in a table of both terms and the label. It counts if the terms' log
+    odds ratio changes from one class to the other, which shows a pair however balanced its
+    terms are by themselves, and if having both, or exactly one, goes with the label more
+    surely than the terms do one by one (long texts hold any two words more often than
+    short ones, so the first test alone would also find the length of a text). All pairs of
+    the PAIR_TERMS most frequent terms are counted; terms that occur in the same rows count
+    as one. A rarer pair could not exceed chance in a sample of this size.
+    """
+    counts = np.bincount(np.concatenate([np.zeros(0, np.int64), *lists]), minlength=1 << TERM_BITS)
+    counts[counts > len(lists) - 4] = 0
+    frequent = np.argsort(-counts, kind="stable")[: 4 * PAIR_TERMS]
+    frequent = frequent[counts[frequent] >= 16]
+    mark = np.random.default_rng(5).integers(1, 1 << 62, len(lists))
+    same = np.zeros(1 << TERM_BITS, np.int64)
+    for row, own in zip(mark, lists, strict=True):
+        same[own] ^= row
+    _, first = np.unique(same[frequent], return_index=True)
+    terms = frequent[np.sort(first)][:PAIR_TERMS]
+    if not len(terms) or not 0 < y.sum() < len(y):
+        return terms[:0]
+    x = _presence(lists, terms)
+    sides = [x[y > 0], x[y <= 0]]
+    held = [side.sum(axis=0, dtype=float) for side in sides]
+    toxic, rows = float(len(sides[0])), float(len(x))
+
+    def sure(with_label: np.ndarray, alone: np.ndarray) -> np.ndarray:
+        """Squared deviations of a mark's association with the label."""
+        spread = alone * (rows - alone) * toxic * (rows - toxic) / rows
+        return (with_label * rows - alone * toxic) ** 2 / np.maximum(spread, 1e-9)
+
+    single = sure(held[0], held[0] + held[1])
+    least = PAIR_DEVIATIONS**2
+    found = np.zeros(len(terms), bool)
+    for begin in range(0, len(terms), PAIR_BLOCK):
+        block = slice(begin, begin + PAIR_BLOCK)
+        both = [(side[:, block].T @ side).astype(float) for side in sides]
+        ratio, spread = 0.0, 0.0
+        for sign, side, n, b in zip((1, -1), sides, held, both, strict=True):
+            one, other = n[block, None] - b, n - b
+            cells = [c + 0.5 for c in (b, one, other, len(side) - b - one - other)]
+            ratio = ratio + sign * np.log(cells[0] * cells[3] / (cells[1] * cells[2]))
+            spread = spread + sum(1 / c for c in cells)
+        only = [n[block, None] + n - 2 * b for n, b in zip(held, both, strict=True)]
+        marked = np.maximum(sure(both[0], both[0] + both[1]), sure(only[0], only[0] + only[1]))
+        good = (ratio**2 > least * spread) & (marked > PAIR_FACTOR * (single[block, None] + single) + least)
+        good[np.arange(len(good)), begin + np.arange(len(good))] = False
+        found |= good.any(axis=0)
+    return terms[found]
+
+
+def _presence(lists: list[np.ndarray], terms: np.ndarray) -> np.ndarray:
+    """A row for each list and a column for each term: 1 where the list holds the term."""
+    place = np.full(1 << TERM_BITS, -1)
+    place[terms] = np.arange(len(terms))
+    x = np.zeros((len(lists), len(terms)), np.float32)
+    for row, own in zip(x, lists, strict=True):
+        at = place[own]
+        row[at[at >= 0]] = 1
+    return x
+
+
 def fit(x: np.ndarray, y: np.ndarray, offset: float, steps: int = 250, l2: float = 3e-4) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights, factors and bias by full-batch Adam on the logistic loss.
 
@@ -104,7 +172,10 @@ def train(
 ) -> Machine:
     """Learn from labelled documents; a document with several labels counts as its largest.
 
-    The sample is bounded by PER_CLASS; only its hashed terms reach the driver.
+    The sample is bounded by PER_CLASS; only its hashed terms reach the driver, of a very
+    long text at most as many as there are hashes. The machine gets the terms that tell the
+    classes apart by themselves and those that do so in pairs. Rows with a NULL id, label or
+    text teach nothing; without any rows left every score is near zero.
     """
     spark = prepare(docs.sparkSession)
     marks = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -133,14 +204,9 @@ def train(
     ends = made.offsets.to_numpy()
     flat = made.values.to_numpy()
     lists = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-    terms = choose_terms(lists, y)
+    terms = np.unique(np.concatenate([choose_terms(lists, y), choose_pairs(lists, y)]))
     slots = {int(t): i for i, t in enumerate(terms)}
-    where = np.full(1 << TERM_BITS, -1)
-    where[terms] = np.arange(len(terms))
-    x = np.zeros((len(lists), len(terms)), np.float32)
-    for row, own in zip(x, lists, strict=True):
-        at = where[own]
-        row[at[at >= 0]] = 1
+    x = _presence(lists, terms)
     true_odds = (counts.get(1, 0) + 1) / (counts.get(0, 0) + 1)
     offset = np.log((y.sum() + 1) / ((1 - y).sum() + 1) / true_odds)
     w, v, bias = fit(x, y, offset)
@@ -168,9 +234,10 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
     """(id_col, score) of whole texts, one row per input row; higher means likelier toxic.
 
     Terms are lower-cased words of letters and their beginnings, each counted once a
-    text. A NULL or empty text has no terms and gets the score of the bias alone;
-    repeated rows stay; other columns are ignored whatever their names. Without training
-    rows every score is near zero.
+    text. A NULL or empty text has no terms and gets the score of the bias alone; very long
+    texts are read whole; repeated rows stay; an empty table gives an empty result; other
+    columns are ignored whatever their names. Without training rows every score is near
+    zero.
     """
     spark = prepare(docs.sparkSession)
     return text_rows(docs, _kernel(spark, machine), SCHEMA, id_col, text_col)

@@ -20,6 +20,7 @@ LARGEST = float(1 << 53)  # scaled components from here on count as not finite
 FAN_IN = 16  # partial results that one task merges
 ROUNDING = 1e-13  # eigenvalues below this share of the largest are rounding, not variance
 EPS = np.finfo(float).eps
+TINY = np.finfo(float).tiny
 
 
 def secular_roots(d: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,10 +47,11 @@ def secular_roots(d: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     mu = (low + high) / 2
     for _ in range(120):
         delta = base - mu[:, None]
-        delta[delta == 0] = np.finfo(float).tiny
+        delta[delta == 0] = TINY
         q = z2 / delta
         f = 1 + q.sum(axis=1)
-        if (np.abs(f) <= EPS * k * (1 + np.abs(q).sum(axis=1))).all():
+        found = np.abs(f) <= EPS * k * (1 + np.abs(q).sum(axis=1))
+        if found.all():
             break
         low, high = np.where(f < 0, mu, low), np.where(f < 0, high, mu)
         slope = q / delta
@@ -63,7 +65,7 @@ def secular_roots(d: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]
             root = np.sqrt(np.maximum(a * a - 4 * b * c, 0))
             new = mu + np.where(a <= 0, (a - root) / (2 * c), 2 * b / (a + root))
         inside = (new > low) & (new < high)
-        new = np.where(inside, new, (low + high) / 2)
+        new = np.where(found, mu, np.where(inside, new, (low + high) / 2))
         if (new == mu).all():
             break
         mu = new
@@ -86,7 +88,9 @@ def rank_one(values: np.ndarray, basis: np.ndarray, vector: np.ndarray, weight:
     tolerance = 8 * EPS * max(np.abs(values).max(), norm * norm)
     z[np.abs(z) * norm <= tolerance] = 0
     live = np.flatnonzero(z)
-    for i, j in zip(live[:-1], live[1:], strict=True):
+    ahead = (values[live[1:]] - values[live[:-1]]) * np.abs(z[live[1:]] * z[live[:-1]])
+    close = (ahead <= tolerance * (z[live[1:]] ** 2 + z[live[:-1]] ** 2)).any()
+    for i, j in zip(live[:-1], live[1:], strict=True) if close else ():
         length = np.hypot(z[i], z[j])
         c, s = z[j] / length, z[i] / length
         if (values[j] - values[i]) * abs(c * s) <= tolerance:
