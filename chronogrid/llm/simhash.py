@@ -25,6 +25,8 @@ PERCENT = 80  # least similarity
 DISTANCE = 24
 # Two texts at 0.8 share one of the bands of least hashes with probability 0.9995.
 BANDS, BAND_ROWS = 32, 7
+# The share of equal least hashes estimates the similarity; at 0.8 it has a deviation of 0.027.
+SKETCH_SHARE = 0.68
 VERIFY_ROWS = 512  # texts of a chunk in which similarities are counted
 
 
@@ -232,31 +234,92 @@ def _band_constants() -> tuple[np.ndarray, np.ndarray]:
     return turn, factor | np.uint64(1)
 
 
-def least_bands(hashes: np.ndarray) -> np.ndarray:
-    """One key per band: a hash of the least of `hashes` in BAND_ROWS random orders."""
+def least_hashes(hashes: np.ndarray) -> np.ndarray:
+    """The least of `hashes` in each of BANDS * BAND_ROWS random orders."""
     turn, factor = _band_constants()
     least = np.full(BANDS * BAND_ROWS, np.uint64(0xFFFFFFFFFFFFFFFF))
     for begin in range(0, len(hashes), 1024):
         mixed = (hashes[None, begin : begin + 1024] ^ turn[:, None]) * factor[:, None]
         np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=1), out=least)
+    return least
+
+
+def least_bands(least: np.ndarray) -> np.ndarray:
+    """One key per band: a hash of its BAND_ROWS least hashes."""
     rows = least.reshape(BANDS, BAND_ROWS)
     digest = xxhash.xxh64_intdigest
     return np.array([digest(row.tobytes(), i) for i, row in enumerate(rows)], np.uint64)
 
 
+def sketch(least: np.ndarray) -> bytes:
+    """One byte of each least hash."""
+    return (least >> np.uint64(24)).astype(np.uint8).tobytes()
+
+
 def _shingle_sets(docs: DataFrame, text_col: str, shingle: int) -> Column:
-    """Struct of a text's set of shingles as one hash, its fingerprint and its bands."""
+    """Struct of a text's set of shingles as one hash, the set's size, its fingerprint, its
+    bands and its sketch."""
     prepare(docs.sparkSession)
 
     def kernel(texts: list[str]) -> dict:
         sets = [np.unique(shingle_hashes(text, shingle)) for text in texts]
+        least = [least_hashes(s) for s in sets]
         return {
             "shingles": [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets],
+            "size": [len(s) for s in sets],
             "fp": [_sign_bits(s) for s in sets],
-            "bands": [least_bands(s).view(np.int64) for s in sets],
+            "bands": [least_bands(one).view(np.int64) for one in least],
+            "sketch": [sketch(one) for one in least],
         }
 
-    return text_udf(kernel, "shingles long, fp long, bands array<long>")(F.col(text_col))
+    return text_udf(kernel, "shingles long, size int, fp long, bands array<long>, sketch binary")(F.col(text_col))
+
+
+def _possible(distance: int):
+    """Rows of whole buckets that have another one within `distance` bits, by Gray index."""
+
+    def work(table: pa.Table) -> pa.Table:
+        codes = table.column("fp").to_numpy().view(np.uint64)
+        index = GrayIndex(table.column("part").to_numpy(), codes)
+        root = index.join_near(distance).root
+        alone = np.bincount(root, minlength=len(root))[root] == 1
+        return table.select(["part", "first_doc"]).take(pa.array(np.sort(index.order[~alone])))
+
+    return work
+
+
+def _alike(percent: int, distance: int):
+    """Trees of links between the rows of each bucket whose sketches are similar enough."""
+
+    def group(names: np.ndarray, codes: np.ndarray, size: np.ndarray, marks: np.ndarray) -> list[tuple[int, int]]:
+        out, waiting = [], np.arange(len(names))
+        while len(waiting):
+            ahead, waiting = [int(waiting[0])], waiting[1:]
+            while ahead and len(waiting):
+                at = ahead.pop()
+                near = np.bitwise_count(codes[waiting] ^ codes[at]) <= distance
+                near &= 100 * np.minimum(size[waiting], size[at]) >= percent * np.maximum(size[waiting], size[at])
+                near = np.flatnonzero(near)
+                equal = (marks[waiting[near]] == marks[at]).mean(axis=1)
+                near = near[equal >= SKETCH_SHARE]
+                out += [(int(names[at]), int(names[i])) for i in waiting[near]]
+                ahead += waiting[near].tolist()
+                waiting = np.delete(waiting, near)
+        return out
+
+    def work(table: pa.Table) -> pa.Table:
+        part = table.column("part").to_numpy()
+        names, codes = table.column("first_doc").to_numpy(), table.column("fp").to_numpy().view(np.uint64)
+        size = table.column("size").to_numpy().astype(np.int64)
+        flat = b"".join(table.column("sketch").to_pylist())
+        marks = np.frombuffer(flat, np.uint8).reshape(len(part), -1)
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        links = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            links += group(names[a:b], codes[a:b], size[a:b], marks[a:b])
+        return pa.table({"a": pa.array([k[0] for k in links], pa.int64()), "b": pa.array([k[1] for k in links], pa.int64())})
+
+    return work
 
 
 def _similar_links(percent: int, shingle: int, distance: int):
@@ -311,32 +374,44 @@ def first_of_copies(
     (as 64-bit hashes) is `percent` or more; groups are what such pairs link.
 
     Equal sets are merged before anything else, so copies cost one row each. Different
-    ones meet in buckets of least hashes, where a Gray-order index links fingerprints
-    within DISTANCE bits. What these links connect is looked at together, each text once
-    (groups over VERIFY_ROWS are cut into chunks that meet two by two): there similarities
-    are counted exactly, and only trees of similar pairs are sent on.
-
-    NULL, empty and blank texts have no shingles and are copies of each other; of rows
-    with one id each group keeps its own, the one of the smallest hash of all columns.
-    Rows without an id cannot be named as the one that stays; they all go on.
+    ones meet in buckets of least hashes, where a Gray-order index finds those that have
+    fingerprints within DISTANCE bits of each other. Only these send a sketch of their
+    least hashes to the bucket, and only where sketches are similar too (see SKETCH_SHARE;
+    a pair at the threshold passes but for one in 10^5) are texts looked at: each text of
+    what such pairs connect once (groups over VERIFY_ROWS are cut into chunks that meet two
+    by two). There similarities are counted exactly, and only trees of similar pairs are
+    sent on. So texts that merely share a template do not pull each other in.
+
+    NULL, empty and blank texts have no shingles and are copies of each other; very long
+    texts are read whole; of rows with one id each group keeps its own, the one of the
+    smallest hash of all columns (of any type). Rows without an id cannot be named as the
+    one that stays; they all go on. An empty table gives an empty result.
     """
     made, row = free_name(docs, "made"), free_name(docs, "row")
-    marked = docs.where(F.col(id_col).isNotNull()).withColumn(row, F.xxhash64(*(f"`{c}`" for c in docs.columns)))
+    cells = [F.col(f"`{f.name}`") for f in docs.schema]
+    cells = [c.cast("string") if "map<" in f.dataType.simpleString() else c for c, f in zip(cells, docs.schema, strict=True)]
+    marked = docs.where(F.col(id_col).isNotNull()).withColumn(row, F.xxhash64(*cells))
     marked = materialise(marked.withColumn(made, _shingle_sets(docs, text_col, shingle)), "shingle-sets")
-    rows = marked.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(row).alias("row"), f"{made}.*")
-    classes = rows.groupBy("shingles").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    rows = marked.select(F.col(id_col).alias("id"), F.col(row).alias("row"), f"{made}.*")
+    facts = [F.first(c).alias(c) for c in ("fp", "size", "bands", "sketch")]
+    classes = rows.groupBy("shingles").agg(F.min(F.struct("id", "row")).alias("first"), *facts)
+    classes = materialise(classes, "shingle-classes")
     bands = classes.select("fp", F.col("shingles").alias("first_doc"), F.posexplode("bands").alias("band", "bucket"))
     bands = bands.select("fp", "first_doc", F.xxhash64("band", "bucket").alias("bucket"))
     met = split_buckets(bands, "bucket", "first_doc", BUCKET_ROWS)
-    links = by_groups(met.select("part", "fp", "first_doc"), _near_links(DISTANCE), "a long, b long")
+    possible = by_groups(met.select("part", "fp", "first_doc"), _possible(DISTANCE), "part long, first_doc long")
+    marks = classes.select(F.col("shingles").alias("first_doc"), "fp", "size", "sketch")
+    links = by_groups(possible.join(marks, "first_doc"), _alike(percent, DISTANCE), "a long, b long")
     together = components(links)
-    texts = rows.join(together, F.col("shingles") == F.col("node")).select("component", "shingles", "fp", "text")
-    met = split_buckets(texts.dropDuplicates(["shingles"]), "component", "shingles", VERIFY_ROWS)
+    chosen = classes.join(together, F.col("shingles") == F.col("node"))
+    chosen = chosen.select("component", "shingles", "fp", F.col("first.id").alias("id"), F.col("first.row").alias("row"))
+    whole = marked.select(F.col(id_col).alias("id"), F.col(row).alias("row"), F.col(text_col).alias("text"))
+    texts = whole.join(chosen, ["id", "row"]).dropDuplicates(["shingles"])  # equal rows of one id
+    met = split_buckets(texts, "component", "shingles", VERIFY_ROWS)
     work = _similar_links(percent, shingle, DISTANCE)
     found = components(by_groups(met.select("part", "shingles", "fp", "text"), work, "a long, b long", VERIFY_ROWS))
-    first = rows.groupBy("shingles").agg(F.min(F.struct("id", "row")).alias("first"))
     group = F.coalesce("component", "shingles")
-    first = first.join(found, F.col("shingles") == F.col("node"), "left").groupBy(group).agg(F.min("first").alias("first"))
+    first = classes.join(found, F.col("shingles") == F.col("node"), "left").groupBy(group).agg(F.min("first").alias("first"))
     first = first.select(F.col("first.id").alias(id_col), F.col("first.row").alias(row))
     kept = marked.join(first, [id_col, row], "left_semi").dropDuplicates([id_col, row])
     return kept.select(*(f"`{c}`" for c in docs.columns)).unionByName(docs.where(F.col(id_col).isNull()))

@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from chronogrid.llm import queries, simhash
 
@@ -62,6 +63,35 @@ def test_stage_against_brute_force(spark):
     assert sorted(kept.collect()) == sorted(r for r in rows if root[r["doc_id"]] == r["doc_id"])
 
 
+@pytest.mark.parametrize("count", [3000, 30000])
+def test_texts_of_one_template_stay_apart(spark, monkeypatch, count):
+    """Much in common, but no copies: hardly any text is looked at, and all stay."""
+    looked = []
+    plain = simhash.split_buckets
+
+    def counting(rows, key, item, limit):
+        out = plain(rows, key, item, limit)
+        if key == "component":
+            looked.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "split_buckets", counting)
+    common = " ".join(f"c{i}" for i in range(64))
+    own = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(39)), lambda i: F.concat(F.lit("o"), F.xxhash64("id", i).cast("string"))), " ")
+    docs = spark.range(count).select(F.col("id").alias("doc_id"), F.concat(F.lit(common + " "), own).alias("text"))
+    assert simhash.first_of_copies(docs).count() == count
+    assert looked[0] <= 2 * count
+
+
+def test_columns_of_any_type(spark):
+    """A map column, a hot row that is repeated whole, NULL and blank texts, no rows."""
+    rows = [(1, "a b c d e f", {"k": 1}), (2, "a b c d e f", None), (3, None, {}), (4, " ", {"x": 2})] + [(5, "one more text", {"k": 3})] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra map<string,int>")
+    kept = simhash.first_of_copies(docs).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 3, 5] and kept[0].asDict().keys() == {"doc_id", "text", "extra"}
+    assert simhash.first_of_copies(docs.limit(0)).collect() == []
+
+
 def test_large_groups_are_cut(spark, monkeypatch):
     monkeypatch.setattr(simhash, "VERIFY_ROWS", 8)
     rng = random.Random(5)

@@ -2,9 +2,10 @@ import corpus_pipeline
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from chronogrid.llm import language, pii, queries, simhash, toxicity
+from chronogrid.llm import language, pii, queries, toxicity
 
 from .conftest import groups
+from .test_near_copies import jaccard, shingles
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -31,13 +32,12 @@ def test_stages_against_their_rules(spark):
     found = {r["doc_id"]: r for r in language.predict(calm, machines).collect()}
     known = stages["language"](spark, calm, FOLDER)
     rows = known.collect()
-    sure = lambda r: found[r["doc_id"]]["lang_pred"] != "und" and found[r["doc_id"]]["score"] >= 0.25
-    assert known.columns == columns and sorted(rows) == sorted(r for r in kept if sure(r))
+    assert known.columns == columns and sorted(rows) == sorted(r for r in kept if not found[r["doc_id"]]["doubtful"])
 
     known = spark.createDataFrame(rows, docs.schema)
-    marks = [(r["doc_id"], simhash.fingerprint(r["text"])) for r in rows]
-    links = [(a, b) for i, (a, x) in enumerate(marks) for b, y in marks[:i] if ((x ^ y) & (1 << 64) - 1).bit_count() <= 3]
-    root = groups(links, [a for a, _ in marks])
+    sets = [(r["doc_id"], shingles(r["text"])) for r in rows]
+    links = [(a, b) for i, (a, x) in enumerate(sets) for b, y in sets[:i] if jaccard(x, y) >= 0.8]
+    root = groups(links, [a for a, _ in sets])
     single = stages["simhash"](spark, known, FOLDER)
     rest = single.collect()
     assert single.columns == columns and sorted(rest) == sorted(r for r in rows if root[r["doc_id"]] == r["doc_id"])
@@ -52,11 +52,19 @@ def test_stages_against_their_rules(spark):
 
     hidden = spark.createDataFrame(made, docs.schema)
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    want = {r["doc_id"]: len(tokenizer.encode(r["text"], add_special_tokens=False).ids) + 1 for r in made}
-    got = {}
+    want = {r["doc_id"]: [*tokenizer.encode(r["text"], add_special_tokens=False).ids, 1] for r in made}
+    got, filled = {}, {}
     for r in stages["packing"](spark, hidden, FOLDER).collect():
-        got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["length"]
-    assert got == want
+        assert len(r["ids"]) == r["length"]
+        got.setdefault(r["doc_id"], []).append((r["start"], r["ids"]))
+        filled.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert {key: [i for _, ids in sorted(cut) for i in ids] for key, cut in got.items()} == want
+    for pieces in filled.values():
+        ends = [0]
+        for offset, length in sorted(pieces):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= 2048
 
 
 def test_stages_on_edges(spark, edge_docs):
