@@ -17,8 +17,8 @@ from chronogrid.llm.kernels import prepare, text_rows, text_udf
 PER_CLASS = 3000  # training documents of each class, at most about this many
 TERM_BITS = 20  # terms are hashed to this many bits
 TERMS = 1024  # hashed terms chosen because they tell the classes apart by themselves
-PAIR_TERMS = 4096  # most frequent distinct terms among which telling pairs are looked for
-PAIR_BLOCK = 512  # terms whose pairs are counted together
+PAIR_TERMS = 2048  # most frequent distinct terms among which telling pairs are looked for
+PAIR_BLOCK = 64  # terms whose pairs are counted together
 PAIR_FACTOR = 4  # how much surer a pair must be than its two terms together
 PAIR_DEVIATIONS = 6.0  # what a pair must exceed; of 10^7 pairs by chance none does
 FACTORS = 4  # length of a term's factor vector
@@ -82,7 +82,9 @@ def choose_pairs(lists: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     the PAIR_TERMS most frequent terms are counted; terms that occur in the same rows count
     as one. A rarer pair could not exceed chance in a sample of this size.
     """
-    counts = np.bincount(np.concatenate([np.zeros(0, np.int64), *lists]), minlength=1 << TERM_BITS)
+    counts = np.zeros(1 << TERM_BITS, np.int32)
+    for own in lists:
+        counts[own] += 1
     counts[counts > len(lists) - 4] = 0
     frequent = np.argsort(-counts, kind="stable")[: 4 * PAIR_TERMS]
     frequent = frequent[counts[frequent] >= 16]
@@ -94,8 +96,10 @@ def choose_pairs(lists: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     terms = frequent[np.sort(first)][:PAIR_TERMS]
     if not len(terms) or not 0 < y.sum() < len(y):
         return terms[:0]
-    x = _presence(lists, terms)
-    sides = [x[y > 0], x[y <= 0]]
+    order = np.argsort(y <= 0, kind="stable")  # toxic rows first
+    x = _presence([lists[row] for row in order], terms)
+    cut = int((y > 0).sum())
+    sides = [x[:cut], x[cut:]]
     held = [side.sum(axis=0, dtype=float) for side in sides]
     toxic, rows = float(len(sides[0])), float(len(x))
 
