@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,14 +70,25 @@ def keep_last(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def outer_align(frames: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Full outer join of frames that are each unique by the keys, in one shuffle."""
+    """Full outer join of frames that are each unique by the keys, in one shuffle.
+
+    Fails at run time when a frame repeats a key, and while planning when two frames share
+    a column that is no key; either would have to be merged without saying how.
+    """
     columns: list[str] = []
     for frame in frames:
-        columns += [c for c in frame.columns if c not in keys and c not in columns]
-    stacked = frames[0]
-    for frame in frames[1:]:
-        stacked = stacked.unionByName(frame, allowMissingColumns=True)
-    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+        own = [c for c in frame.columns if c not in keys]
+        if shared := sorted(set(own) & set(columns)):
+            raise ValueError(f"columns in more than one frame: {shared}")
+        columns += own
+    marked = [frame.withColumn("_from", F.lit(i)) for i, frame in enumerate(frames)]
+    stacked = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), marked)
+    twice = F.greatest(F.lit(0), *(F.count_if(F.col("_from") == i) for i in range(len(frames)))) > 1
+    message = F.concat(F.lit("key is not unique: "), F.concat_ws(",", *(F.col(k).cast("string") for k in keys)))
+    values = [F.max(c).alias(c) for c in columns]
+    joined = stacked.groupBy(*keys).agg(*values, twice.alias("_twice"))
+    unique = F.when(F.col("_twice"), F.raise_error(message).cast("boolean")).otherwise(True)
+    return joined.where(unique).drop("_twice")
 
 
 def union_with_priority(frames: list[DataFrame], keys: list[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from chronogrid.functions.schema import forbid_derived, normalise_time, require_columns
 from chronogrid.functions.timeparts import hours
 from chronogrid.operators import align, bins, chunks
+from chronogrid.session import materialise
 
 # Forecast length in hours, validation windows, quantile levels.
 HORIZON = 168
@@ -67,9 +68,6 @@ class Roles:
         require_columns(df, [self.item, self.ts, *self.known])
         return forbid_derived(df.select(self.item, self.ts, *self.known), self.target)
 
-# Hash buckets within which `permuted` moves values; each is ordered in one task.
-PERMUTATION_BUCKETS = 8
-
 
 def to_panel(df: DataFrame, item: str = "item_id", series: str = "0") -> DataFrame:
     """Long panel (item_id, ts, ...); a missing item column becomes one constant series."""
@@ -345,28 +343,28 @@ def leaderboard(predictions: DataFrame) -> DataFrame:
     )
 
 
-def permuted(
-    df: DataFrame, columns: list[str], key: list[str], seed: int = 42, buckets: int = PERMUTATION_BUCKETS
-) -> DataFrame:
-    """Add `{c}__perm`: the column's values moved along a hashed order of the rows.
+def permuted(df: DataFrame, columns: list[str], key: list[str], seed: int = 42) -> DataFrame:
+    """Add `{c}__perm`: the columns' values moved one place along a hashed order of the rows.
 
-    Rows are spread over `buckets` hash buckets, whatever their number; inside each the
-    order is by a second hash and every value moves to the next row, the last to the
-    first. No row order of the whole table is needed; a large table wants more buckets.
+    Rows are ordered by a hash of their key; every value moves to the row before, that of
+    the first to the last. The order is cut into ranges of about equal size; all that a
+    range needs of the next one is that one's first row. So the result does not depend on
+    the number of ranges, and no task holds a growing share of the table. `key` identifies
+    a row.
     """
-    placed = df.withColumns(
-        {
-            "_bucket": F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(buckets)),
-            "_order": F.xxhash64(F.lit(seed + 1), *key),
-        }
-    )
-    w = Window.partitionBy("_bucket").orderBy("_order", *key)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    moved = {}
-    for c in columns:
-        value = F.struct(F.col(c))
-        moved[f"{c}__perm"] = F.coalesce(F.lead(value).over(w), F.first(value).over(whole))[c]
-    return placed.withColumns(moved).drop("_bucket", "_order")
+    order = ["_order", *key]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.withColumn("_order", F.xxhash64(F.lit(seed), *key)).repartitionByRange(ranges, *order)
+    dealt = materialise(placed.withColumn("_range", F.spark_partition_id()), "permuted")
+    values = F.struct(*columns)
+    heads = dealt.groupBy("_range").agg(F.min_by(values, F.struct(*order)).alias("_head"))
+    along = Window.orderBy("_range")  # one row per range
+    first = F.first("_head").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    last = F.lead("_range").over(along).isNull()
+    heads = heads.select("_range", F.when(last, first).otherwise(F.lead("_head").over(along)).alias("_next"))
+    w = Window.partitionBy("_range").orderBy(*order)
+    moved = dealt.join(F.broadcast(heads), "_range").withColumn("_value", F.coalesce(F.lead(values).over(w), F.col("_next")))
+    return moved.withColumns({f"{c}__perm": F.col("_value")[c] for c in columns}).drop("_order", "_range", "_next", "_value")
 
 
 def permutation_importance(
@@ -379,26 +377,15 @@ def permutation_importance(
 ) -> DataFrame:
     """Rise of the error when one feature is permuted, as (feature, importance).
 
-    All variants are scored in one pass over the permuted table.
+    Every row is scored as it is and once with each feature's moved value, side by side;
+    one aggregate over the rows then has all errors.
     """
-    wide = permuted(df.select(*key, target, *features), features, key, seed)
-    variants = [
-        F.struct(
-            F.lit(name).alias("feature"),
-            *[F.col(f"{c}__perm" if c == name else c).alias(c) for c in features],
-        )
-        for name in ["", *features]
-    ]
-    stacked = wide.select(target, F.explode(F.array(*variants)).alias("v")).select(target, "v.*")
-    e = F.col("predicted") - F.col(target)
-    scores = (
-        predict(model, stacked, features).groupBy("feature").agg(F.sqrt(F.avg(e * e)).alias("rmse"))
-    )
-    base = F.max(F.when(F.col("feature") == "", F.col("rmse")))
-    table = scores.agg(base.alias("base"), F.collect_list(F.struct("feature", "rmse")).alias("all"))
-    return (
-        table.select("base", F.explode("all").alias("s"))
-        .filter(F.col("s.feature") != "")
-        .select(F.col("s.feature").alias("feature"), (F.col("s.rmse") - F.col("base")).alias("importance"))
-        .orderBy("importance", "feature")
-    )
+    rows = permuted(df.select(*key, target, *features), features, key, seed).drop(*key)
+    scored = predict(model, rows, features).withColumnRenamed("predicted", "_plain")
+    for i, c in enumerate(features):
+        swapped = scored.withColumnsRenamed({c: f"{c}__own", f"{c}__perm": c})
+        scored = predict(model, swapped, features).withColumnsRenamed({c: f"{c}__perm", f"{c}__own": c, "predicted": f"_moved{i}"})
+    error = lambda name: F.sqrt(F.avg((F.col(name) - F.col(target)) ** 2))
+    errors = scored.agg(error("_plain").alias("base"), *(error(f"_moved{i}").alias(f"e{i}") for i in range(len(features))))
+    cells = [F.struct(F.lit(c).alias("feature"), (F.col(f"e{i}") - F.col("base")).alias("importance")) for i, c in enumerate(features)]
+    return errors.select(F.inline(F.array(*cells))).orderBy("importance", "feature")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from chronogrid.functions import schema
 from chronogrid.functions.numbers import tidy
-from chronogrid.operators import align, evaluate, features, grid, impute, model, ordered
+from chronogrid.functions.timeparts import as_utc
+from chronogrid.operators import align, asof, evaluate, features, grid, impute, model, ordered
 from chronogrid.plans.catalog.base import Tables, query, with_views
 from chronogrid.plans.catalog.ordered import BACK, FORTH
 from chronogrid.sources import weather
@@ -152,6 +153,37 @@ def as_of_daily(t: Tables):
     return out.select("l_orderkey", "l_linenumber", "ts", tidy(F.col("price"), 3).alias("price"))
 
 
+@query(
+    "j12_as_of_by_customer",
+    """WITH prices AS (SELECT o_custkey, o_orderdate, max(o_totalprice) AS o_totalprice FROM orders GROUP BY 1, 2),
+    found AS (SELECT e.event_id, e.user_id, e.ts, o.o_orderdate, o.o_totalprice
+      FROM events e ASOF LEFT JOIN prices o ON e.user_id = o.o_custkey AND e.ts >= o.o_orderdate)
+    SELECT event_id, user_id, ts, o_orderdate, o_totalprice FROM found""",
+)
+def as_of_by_customer(t: Tables):
+    """Each event with its customer's latest order."""
+    orders = t.read("orders").select("o_custkey", as_utc(F.col("o_orderdate")).alias("o_orderdate"), "o_totalprice")
+    rows = t.events.select("event_id", "user_id", "ts")
+    orders = orders.withColumnRenamed("o_custkey", "user_id")
+    return asof.asof_join(rows, orders, ["user_id"], "ts", "o_orderdate", ["o_totalprice"])
+
+
+@query(
+    "j12_as_of_within_days",
+    """WITH prices AS (SELECT o_custkey, o_orderdate, max(o_totalprice) AS o_totalprice FROM orders GROUP BY 1, 2),
+    found AS (SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, l.l_shipdate, o.o_orderdate, o.o_totalprice
+      FROM lineitem l ASOF LEFT JOIN prices o ON l.l_suppkey = o.o_custkey AND l.l_shipdate > o.o_orderdate)
+    SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate,
+      CASE WHEN o_orderdate >= l_shipdate - INTERVAL 90 DAY THEN o_orderdate END AS o_orderdate,
+      CASE WHEN o_orderdate >= l_shipdate - INTERVAL 90 DAY THEN o_totalprice END AS o_totalprice FROM found""",
+)
+def as_of_within_days(t: Tables):
+    """Each shipment with the latest order before it, under the same number, of 90 days at most."""
+    orders = t.read("orders").select(F.col("o_custkey").alias("l_suppkey"), as_utc(F.col("o_orderdate")).alias("o_orderdate"), "o_totalprice")
+    rows = t.read("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", as_utc(F.col("l_shipdate")).alias("l_shipdate"))
+    return asof.asof_join(rows, orders, ["l_suppkey"], "l_shipdate", "o_orderdate", ["o_totalprice"], 90 * 86400, exact=False)
+
+
 @query(
     "u1_union_all",
     """SELECT 'events' AS source, ts, value FROM events

@@ -46,8 +46,8 @@ def sliding(t: Tables):
     SELECT * FROM s""",
 )
 def sessions(t: Tables):
-    found = twins.sessions(event_stream(t), "event_type", "30 minutes")
-    return twins.complete_to(found, t.scratch("r3"))
+    found = lambda stream: twins.sessions(stream, "event_type", "30 minutes", "1 day")
+    return twins.append_to_end(event_stream(t), found, t.scratch("r3"), "event_type", 1800, 86400)
 
 
 @query("r4_redelivered_rows", "SELECT event_id, event_type, ts, value FROM events")

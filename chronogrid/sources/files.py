@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,23 +47,43 @@ def newest_file(spark: SparkSession, paths: str | list[str], by: str) -> str:
     return found["file"]
 
 
+def headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(header, files): the distinct first lines of the files at `paths` and who has them.
+
+    One pass over the lines, as many jobs for any number of files: each file's first block
+    gives its first line. A file without any line has no header. Of a file in parts the
+    first part with a line counts.
+    """
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.where("file_block_start = 0").withColumn("place", F.monotonically_increasing_id())
+    path = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
+    whole = F.regexp_replace(path, r"/part-[^/]*$", "").alias("file")
+    first = lines.groupBy(whole).agg(F.min_by("value", F.struct("file_path", "place")).alias("header"))
+    return first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+
+
 def read_csv_set(spark: SparkSession, paths: str | list[str], sep: str = ",") -> DataFrame:
     """A set of CSV files as text columns, each file under its own header.
 
-    One header line per file is read to plan this; files with the same header are read
-    together, and the groups are put together by name. A column that a file lacks is
-    NULL in its rows. Adds the file's path, name and time.
+    The headers are found in one job (see `headers`); only distinct ones, with the names of
+    their files, reach the driver. Files with the same header are read together, and the
+    groups are put together by name. A column that a file lacks is NULL in its rows; files
+    without any line have no rows. Adds the file's path, name and time.
     """
     reader = lambda: spark.read.option("header", True).option("sep", sep)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in listing(spark, paths).orderBy("file").collect():
-        header = tuple(reader().csv(row["file"]).columns)
-        groups.setdefault(header, []).append(row["file"])
+    try:
+        groups = [row["files"] for row in headers(spark, paths).orderBy("header").collect()]
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        raise FileNotFoundError(f"no input files at {paths}") from error
     if not groups:
+        groups = [[row["file"] for row in listing(spark, paths).collect()]]
+    if not groups[0]:
         raise FileNotFoundError(f"no input files at {paths}")
     parts = []
-    for header, members in groups.items():
-        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    for members in groups:
+        text = T.StructType([T.StructField(c, T.StringType()) for c in reader().csv(members[0]).columns])
         parts.append(
             reader().schema(text).csv(members).withColumns(
                 {
@@ -71,10 +93,7 @@ def read_csv_set(spark: SparkSession, paths: str | list[str], sep: str = ",") ->
                 }
             )
         )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
 
 
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:

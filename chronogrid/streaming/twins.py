@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -76,28 +79,50 @@ def append_to(stream: DataFrame, path: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def complete_to(stream: DataFrame, path: str) -> DataFrame:
-    """Run over the input at hand and return all results, those still open included.
-
-    Append mode holds back what the watermark has not passed; on input that has ended,
-    the last batch of complete mode has everything. For runs whose result is bounded by
-    the input at hand, not for an endless stream.
+def append_to_end(
+    stream: DataFrame,
+    make: Callable[[DataFrame], DataFrame],
+    path: str,
+    item: str,
+    quiet_seconds: int,
+    late_seconds: int,
+    ts: str = "ts",
+) -> DataFrame:
+    """Run `make(stream)` over input that has ended, appending every result once.
+
+    Append mode holds back what the watermark has not passed. So after the input a closing
+    row without an item is sent, later than the last row by what may come late and by
+    `quiet_seconds` (a session's gap, a window's length). It moves the watermark past all
+    that is open, which is then written and leaves the state; only the closing row stays, and
+    results without an item are no results.
+    Meanwhile the state holds open results alone, and finished ones are never written
+    again. `make` sets a watermark of `late_seconds` on `ts` and keeps the item.
     """
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
-
-    query = (
-        stream.writeStream.outputMode("complete")
-        .foreachBatch(write)
-        .option("checkpointLocation", f"{path}-progress")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    batches = stream.sparkSession.read.parquet(path)
-    last = batches.agg(F.max("epoch")).first()[0]
-    return batches.filter(F.col("epoch") == last).drop("epoch")
+    spark = stream.sparkSession
+    closing = f"{path}-closing"
+    spark.createDataFrame([], stream.schema).write.parquet(closing)
+    ended = spark.readStream.schema(stream.schema).parquet(closing)
+    found = make(stream.unionByName(ended))  # a filter on the item here would move below the watermark
+
+    def run() -> str | None:
+        query = (
+            found.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", path)
+            .option("checkpointLocation", f"{path}-progress")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return (query.lastProgress or {}).get("eventTime", {}).get("watermark")
+
+    if reached := run():
+        seconds = int(datetime.fromisoformat(reached).timestamp()) + 2 * late_seconds + quiet_seconds + 2
+        row = spark.range(1).select(F.timestamp_seconds(F.lit(seconds)).alias(ts))
+        others = [F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema if f.name != ts]
+        row.select(ts, *others).select(*stream.columns).write.mode("append").parquet(closing)
+        run()
+    return spark.read.schema(found.schema).parquet(path).where(F.col(item).isNotNull())
 
 
 def update_to(stream: DataFrame, keys: list[str], path: str) -> DataFrame:

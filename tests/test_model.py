@@ -51,6 +51,34 @@ def test_permutation_keeps_the_values_and_moves_them(spark):
     assert sum(r["x__perm"] == r["x"] for r in out) < 10
 
 
+@pytest.mark.parametrize("partitions", ["1", "3", "40"])
+def test_permutation_is_one_shift_of_the_hashed_order(spark, monkeypatch, partitions):
+    """Whatever the number of ranges: each value moves one place along the whole order."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.range(300).select("id", (F.col("id") * 2.0).alias("x"), F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("s"))
+        out = {r["id"]: r for r in model.permuted(df, ["x", "s"], ["id"], seed=9).collect()}
+        order = [r["id"] for r in df.orderBy(F.xxhash64(F.lit(9), "id")).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for here, there in zip(order, order[1:] + order[:1]):
+        assert (out[here]["x__perm"], out[here]["s__perm"]) == (there * 2.0, str(there) if there % 7 else None)
+    assert model.permuted(df.limit(0), ["x"], ["id"]).count() == 0
+    assert [r["x__perm"] for r in model.permuted(df.where("id = 5"), ["x"], ["id"]).collect()] == [10.0]
+
+
+def test_importance_by_hand(spark):
+    """Errors of a linear model under the known shift."""
+    df = spark.range(200).select("id", F.rand(3).alias("a"), F.rand(4).alias("b")).withColumn("y", F.col("a") * 3 - F.col("b"))
+    df = df.cache()
+    fitted = model.fit(df, "y", ["a", "b"], "linear")
+    moved = model.permuted(df, ["a", "b"], ["id"]).collect()
+    got = {r["feature"]: r["importance"] for r in model.permutation_importance(fitted, df, "y", ["a", "b"], ["id"]).collect()}
+    want = {"a": np.sqrt(np.mean([(3 * (r["a__perm"] - r["a"])) ** 2 for r in moved])), "b": np.sqrt(np.mean([(r["b__perm"] - r["b"]) ** 2 for r in moved]))}
+    assert got == pytest.approx(want, abs=1e-6)
+
+
 def test_importance_ranks_the_informative_feature_first(spark):
     df = spark.range(2000).select("id", F.rand(1).alias("signal"), F.rand(2).alias("noise")).withColumn("y", F.col("signal") * 3)
     fitted = model.fit(df, "y", ["signal", "noise"], "linear")

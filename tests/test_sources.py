@@ -6,6 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from chronogrid.operators import align
 from chronogrid.plans import studies
 from chronogrid.sources import files, prices, sinks, utilisation, weather
 
@@ -28,6 +29,41 @@ def test_extra_columns_and_the_newest_file(spark, tmp_path):
     assert [r["volume_sun"] for r in got] == [1.0, 5.0]
 
 
+def test_headers_are_found_in_one_job(spark, tmp_path):
+    """As many jobs for forty files as for four; odd names, blank and empty files."""
+    for k in range(40):
+        header = ["b,a", "a,b", "a,b,c"][k % 3]
+        write(tmp_path / f"set {k}+x.csv", f"{header}\n{k},{k + 1}{',z' if k % 3 == 2 else ''}\n")
+    write(tmp_path / "set empty.csv", "")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("few", "")
+    few = files.read_csv_set(spark, [f"{tmp_path}/set {k}+x.csv" for k in range(4)])
+    spark.sparkContext.setJobGroup("many", "")
+    many = files.read_csv_set(spark, f"{tmp_path}/set *.csv")
+    spark.sparkContext.setJobGroup("rest", "")
+    jobs = [len(tracker.getJobIdsForGroup(name)) for name in ("few", "many")]
+    assert jobs[1] <= jobs[0] + 2  # Spark lists many paths in a job of its own
+    assert few.count() == 4
+    rows = {int(r["_file"].split()[1].split("+")[0]) if " " in r["_file"] else r["_file"]: r for r in many.collect()}
+    assert len(rows) == 40
+    for k, r in rows.items():
+        first, second = (r["b"], r["a"]) if k % 3 == 0 else (r["a"], r["b"])
+        assert (first, second, r["c"]) == (str(k), str(k + 1), "z" if k % 3 == 2 else None)
+    assert files.read_csv_set(spark, f"{tmp_path}/set empty.csv").count() == 0
+    with pytest.raises(FileNotFoundError):
+        files.read_csv_set(spark, f"{tmp_path}/none *.csv")
+
+
+def test_outer_align_says_what_it_cannot_merge(spark):
+    one = spark.createDataFrame([(1, 2.0)], "k int, a double")
+    two = spark.createDataFrame([(1, 3.0), (1, 4.0)], "k int, b double")
+    assert align.outer_align([one, two.limit(0)], ["k"]).collect() == [(1, 2.0, None)]
+    with pytest.raises(ValueError, match="more than one frame"):
+        align.outer_align([one, one], ["k"])
+    with pytest.raises(Exception, match="not unique: 1"):
+        align.outer_align([one, two], ["k"]).collect()
+
+
 def page(members, last):
     return json.dumps({"hydra:member": members, "hydra:view": {"hydra:last": f"/v1/x?a=1&page={last}"}})
 
