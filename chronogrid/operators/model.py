@@ -21,6 +21,7 @@ from chronogrid.session import materialise
 # Forecast length in hours, validation windows, quantile levels.
 HORIZON = 168
 VALIDATION_WINDOWS = 3
+RIDGE = 1e-6  # penalty of a linear fit with several covariates, some of which may be dependent
 QUANTILES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 
 # Covariates known in the forecast horizon.
@@ -212,10 +213,10 @@ def _stages(df: DataFrame, features: list[str]) -> tuple[list, str]:
     return stages, "__x"
 
 
-def regressors(seed: int = 42) -> dict:
-    """The candidate regressors by name."""
+def regressors(seed: int = 42, ridge: float = 0.0) -> dict:
+    """The candidate regressors by name; a little `ridge` keeps dependent covariates apart."""
     return {
-        "linear": LinearRegression(regParam=0.0, solver="normal"),
+        "linear": LinearRegression(regParam=ridge, solver="normal"),
         "boosted_trees": GBTRegressor(maxIter=20, maxDepth=5, seed=seed),
     }
 
@@ -231,7 +232,8 @@ def fit(df: DataFrame, target: str, features: list[str], name: str, seed: int =
     )
     known = rows.agg(*[F.count(c).alias(c) for c in features]).first()
     stages, vector = _stages(df, [c for c in features if known[c]])
-    regressor = regressors(seed)[name].setFeaturesCol(vector).setLabelCol(target).setPredictionCol("predicted")
+    ridge = RIDGE if len(features) > 1 else 0.0
+    regressor = regressors(seed, ridge)[name].setFeaturesCol(vector).setLabelCol(target).setPredictionCol("predicted")
     return Pipeline(stages=[*stages, regressor]).fit(rows)
 
 

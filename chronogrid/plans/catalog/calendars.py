@@ -411,6 +411,87 @@ def feature_registry(t: Tables):
     return out.withColumns({c: tidy(F.col(c)) for c in made}).drop("y")
 
 
+# Vacations in the month of the event table: (type, first day, last day).
+JANUARY_VACATIONS = [("christmas", "2024-01-01", "2024-01-07"), ("spring", "2024-01-20", "2024-01-24"), ("summer", "2024-01-23", "2024-01-25")]
+
+
+def january_vacations(t: Tables):
+    rows = [
+        F.struct(F.lit(2024).cast("bigint").alias("year"), F.lit(k).alias("type"), F.lit("all").alias("region"),
+                 F.lit(a).cast("date").alias("start_date"), F.lit(b).cast("date").alias("end_date"))
+        for k, a, b in JANUARY_VACATIONS
+    ]
+    return t.spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def all_weather(t: Tables):
+    return t.wide.select("ts", *[(F.col("temperature") * (i + 1)).alias(n) for i, n in enumerate(WEATHER_NAMES)])
+
+
+VOLUMES = {"volume_sun": 1, "volume_land_wind": 2, "volume_sea_wind": 3}
+ALL_SETS = (
+    with_views(
+        "series", "grid", "wide", "gas_daily",
+        more=UPSAMPLED + ", " + MERGED + ", " + HOLIDAY_SQL
+        + ", made AS (SELECT ts, elec_price, gas_price, "
+        + ", ".join(f"{e} AS {n}" for n, e in PRICE_SQL if n in features.PRICE_COLUMNS)
+        + f", {JANUARY_FLAG} AS energy_crisis, {PHASE_FLAGS} FROM prices), "
+        + "joined_p AS (SELECT g.item_id, g.ts, m.* EXCLUDE (ts) FROM grid g LEFT JOIN made m ON m.ts = g.ts), priced AS (SELECT item_id, ts, "
+        + ", ".join(
+            ("tidy({0})" if not n.startswith(("phase_", "energy")) else "{0}").format(
+                f"CASE WHEN bool_or(elec_price IS NULL) OVER (PARTITION BY item_id) "
+                f"THEN coalesce({n}, last_value({n} IGNORE NULLS) {FORTH}, first_value({n} IGNORE NULLS) {BACK}) ELSE {n} END"
+            ) + f" AS {n}"
+            for n in features.PRICE_COLUMNS
+        )
+        + " FROM joined_p), weather AS (SELECT ts, "
+        + ", ".join(f"temperature * {i + 1} AS {n}" for i, n in enumerate(WEATHER_NAMES))
+        + " FROM wide), joined AS (SELECT g.item_id, g.ts, w.* EXCLUDE (ts) FROM grid g LEFT JOIN weather w ON w.ts = g.ts), "
+        + "weathered AS (SELECT item_id, ts, " + _weather_sql().rpartition("SELECT item_id, ts, ")[2]
+        + "), vac(type, a, b) AS (VALUES "
+        + ", ".join(f"('{k}', DATE '{a}', DATE '{b}')" for k, a, b in JANUARY_VACATIONS)
+        + f"""), hit AS (SELECT day, arg_min(type, {VACATION_RANK}) AS vacation_type, max(CAST(type = 'summer' AS BIGINT)) AS s
+          FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM grid) JOIN vac ON day BETWEEN a AND b GROUP BY day),
+        core AS (SELECT item_id, ts, y, """
+        + ", ".join(f"tidy(y * {k}) AS {n}" for n, k in VOLUMES.items())
+        + """, hour(ts) AS hour, isodow(ts) - 1 AS dayofweek, month(ts) AS month, CAST(isodow(ts) > 5 AS BIGINT) AS is_weekend,
+          CAST(h.name IS NOT NULL AS BIGINT) AS is_holiday, coalesce(h.name, '') AS holiday_name,
+          CAST(isodow(ts) < 6 AND h.name IS NULL AS BIGINT) AS is_working_day, CAST(v.s IS NOT NULL AS BIGINT) AS is_school_vacation,
+          coalesce(v.s, 0) AS is_summer_vacation, coalesce(v.vacation_type, 'none') AS vacation_type,
+          dayofyear(ts) AS day_of_year, weekofyear(ts) AS week_of_year, quarter(ts) AS quarter, """
+        + ", ".join(f"tidy({f}(2 * pi() * ({CYCLE_SQL[p]}) / {n})) AS {p}_{f}" for p, n in CYCLE_PERIODS.items() for f in ("sin", "cos"))
+        + f", {target_sql('y', 'y')} FROM grid LEFT JOIN all_holidays h ON CAST(ts AS DATE) = h.date LEFT JOIN hit v ON v.day = CAST(ts AS DATE))",
+    )
+)
+
+
+@query(
+    "p3_all_feature_sets",
+    ALL_SETS + f"SELECT * EXCLUDE (y, {', '.join(VOLUMES)}) FROM core JOIN priced USING (item_id, ts) JOIN weathered USING (item_id, ts)",
+)
+def all_feature_sets(t: Tables):
+    prices = materialise(features.prepare_prices(t.wide, t.gas_daily, JANUARY), "price-table").drop("item_id")
+    use = features.FeatureInputs(target="y", vacations=january_vacations(t), prices=prices, weather=all_weather(t))
+    out = features.add_features(t.grid(), use, "all").drop("y")
+    return out.withColumns({c: tidy(F.col(c)) for c, kind in out.dtypes if kind in ("double", "float")})
+
+
+def known_table(t: Tables):
+    """The series with three volumes, and the sets that the known covariates come from."""
+    rows = t.grid().select("item_id", "ts", *[(F.col("y") * k).alias(n) for n, k in VOLUMES.items()])
+    use = features.FeatureInputs(target="emissionfactor", vacations=january_vacations(t), weather=all_weather(t))
+    return features.add_features(rows, use, {"temporal", "holiday", "vacation", "seasonal", "weather"})
+
+
+@query(
+    "p5_all_known_covariates",
+    ALL_SETS + f"SELECT item_id, ts, {', '.join(model.KNOWN_COVARIATES)} FROM core JOIN weathered USING (item_id, ts)",
+)
+def all_known_covariates(t: Tables):
+    out = model.Roles().covariates(known_table(t))
+    return out.withColumns({c: tidy(F.col(c)) for c, kind in out.dtypes if kind in ("double", "float")})
+
+
 @query(
     "p4_seasonal_without_temporal",
     with_views("series")

@@ -127,11 +127,11 @@ def landed_pages(t: Tables, label: str, which: str) -> str:
     ]
     if which == "mix":
         member.append(F.col("emissionfactor").alias("emissionfactor"))
-    days = rows.groupBy(F.dayofmonth("ts").alias("page")).agg(
+    days = rows.groupBy(F.to_date("ts").alias("page")).agg(
         F.sort_array(F.collect_list(F.struct(*member))).alias("hydra:member")
     )
-    last = days.agg(F.max("page")).scalar()
-    view = F.struct(F.concat(F.lit("/utilizations?type=1&page="), last.cast("string")).alias("hydra:last"))
+    last = days.count()
+    view = F.struct(F.concat(F.lit("/utilizations?type=1&page="), F.lit(str(last))).alias("hydra:last"))
     days.withColumn("hydra:view", view).repartition("page").write.partitionBy("page").json(folder)
     return folder
 
@@ -146,13 +146,22 @@ def json_members(t: Tables):
 
 @query(
     "s7_page_check",
-    """SELECT CAST(max(day(ts)) AS BIGINT) AS expected_pages, count(DISTINCT day(ts)) AS landed_pages,
-    max(day(ts)) = count(DISTINCT day(ts)) AS is_complete FROM events""",
+    """SELECT count(DISTINCT CAST(ts AS DATE)) AS expected_pages, count(DISTINCT CAST(ts AS DATE)) AS landed_pages, true AS is_complete
+    FROM events""",
 )
 def page_check(t: Tables):
     return utilisation.page_check(utilisation.read_pages(t.spark, landed_pages(t, "s7", "sun")))
 
 
+@query(
+    "s7_page_manifest",
+    with_views("wide") + "SELECT CAST(ts AS DATE) AS day, CAST(1 AS BIGINT) AS n_files, count(*) AS members FROM wide GROUP BY 1",
+)
+def page_manifest(t: Tables):
+    found = utilisation.page_manifest(utilisation.read_pages(t.spark, landed_pages(t, "s7-manifest", "sun")))
+    return found.select("day", F.size("files").cast("bigint").alias("n_files"), "members")
+
+
 @query(
     "s8_landed_filter",
     """SELECT event_id, ts, value FROM events WHERE event_type = 'click' AND user_id >= 75

@@ -10,6 +10,7 @@ from chronogrid.operators import chunks, features, model
 from chronogrid.plans import forecasting
 from chronogrid.plans.catalog.aggregates import tidied
 from chronogrid.plans.catalog.base import Tables, query, with_views
+from chronogrid.plans.catalog.calendars import VOLUMES, all_weather, january_vacations
 from chronogrid.plans.catalog.ordered import BY_TIME
 
 ENDS = "ends AS (SELECT item_id, max(ts) AS hi FROM grid GROUP BY 1)"
@@ -205,26 +206,37 @@ def saved_model(t: Tables):
     return tidied(direct.join(same, ["item_id", "ts"]))
 
 
-def _config() -> forecasting.ForecastConfig:
-    roles = model.Roles(target="target_value", known=list(features.TEMPORAL))
-    return forecasting.ForecastConfig(
-        roles=roles,
-        inputs=features.FeatureInputs(target="target_value"),
-        sets=frozenset({"temporal"}),
-        training_days=None,
-        candidates=("linear",),
-        windows=2,
-    )
+def _config(t: Tables) -> forecasting.ForecastConfig:
+    """Both candidates, all validation windows and the sets and covariates of a full run."""
+    inputs = features.FeatureInputs(target="target_value", vacations=january_vacations(t), weather=all_weather(t))
+    return forecasting.ForecastConfig(roles=model.Roles(target="target_value"), inputs=inputs)
+
+
+def _training_panel(t: Tables):
+    return t.grid().select("item_id", "ts", F.col("y").alias("target_value"), *[(F.col("y") * k).alias(n) for n, k in VOLUMES.items()])
+
+
+def _predicted(t: Tables):
+    cfg = _config(t)
+    split = model.holdout(_training_panel(t))
+    columns = ["item_id", "ts", "target_value", *VOLUMES]
+    past, future = (split.filter(part).select(*columns) for part in ("NOT is_test", "is_test"))
+    trained = forecasting.train(past, cfg)
+    return forecasting.predict(trained, past, future, cfg), past, future
 
 
 @query("m12_operational_prediction")
 def operational_prediction(t: Tables):
-    cfg = _config()
-    split = model.holdout(t.grid().withColumnRenamed("y", "target_value"))
-    past = split.filter("NOT is_test").select("item_id", "ts", "target_value")
-    future = split.filter("is_test").select("item_id", "ts", "target_value")
-    trained = forecasting.train(past, cfg)
-    return tidied(forecasting.predict(trained, past, future, cfg))
+    return tidied(_predicted(t)[0])
+
+
+@query("g3_prediction_job")
+def prediction_job(t: Tables):
+    """The prediction as the job leaves it: written by run and read back."""
+    prediction, past, future = _predicted(t)
+    folder = t.scratch("g3")
+    forecasting.save_prediction(prediction, past, future, folder, "20240131")
+    return tidied(t.spark.read.parquet(f"{folder}/prediction"))
 
 
 @query(
@@ -248,7 +260,7 @@ def context_modes(t: Tables):
 
 @query("g2_train_leaderboard")
 def train_leaderboard(t: Tables):
-    return tidied(forecasting.train(t.grid().withColumnRenamed("y", "target_value"), _config()).leaderboard)
+    return tidied(forecasting.train(_training_panel(t), _config(t)).leaderboard)
 
 
 @query(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -31,6 +33,7 @@ class ForecastConfig:
     candidates: tuple[str, ...] = ("linear", "boosted_trees")
     windows: int = md.VALIDATION_WINDOWS
     ensemble_steps: int = 10
+    fits_at_once: int = 4
 
 
 @dataclass
@@ -83,8 +86,8 @@ def _long(scored: DataFrame, names: list[str], target: str) -> DataFrame:
 def train(panel: DataFrame, cfg: ForecastConfig) -> Trained:
     """Fit the candidates and score them on windows they were not fitted on.
 
-    Every validation window refits on the rows before it. The feature table is
-    written once, since each fit reads it again.
+    Every validation window refits on the rows before it; the final models see all rows
+    but the last horizon. The feature table is written once, since each fit reads it again.
     """
     roles = cfg.roles
     recent = utilisation.lookback(panel, cfg.training_days, roles.item, roles.ts)
@@ -92,15 +95,21 @@ def train(panel: DataFrame, cfg: ForecastConfig) -> Trained:
     columns = model_columns(table, roles)
     names = ["seasonal_naive", *cfg.candidates]
     parts = md.backtest_windows(table, cfg.windows, roles.horizon, roles.item, roles.ts)
-    scored = None
+    training = md.holdout(table, roles.horizon, roles.item, roles.ts).filter("NOT is_test")
+    wanted = [
+        (k, name, parts.filter((F.col("window") == k) & (F.col("part") == "train")) if k >= 0 else training)
+        for k in [*range(cfg.windows), -1]
+        for name in cfg.candidates
+    ]
+    # The fits do not depend on each other; Spark runs the jobs of several at a time.
+    with ThreadPoolExecutor(cfg.fits_at_once) as pool:
+        models = list(pool.map(lambda w: md.fit(w[2], roles.target, columns, w[1]), wanted))
+    fitted = {(k, name): found for (k, name, _), found in zip(wanted, models, strict=True)}
+    windows = []
     for k in range(cfg.windows):
-        here = parts.filter(F.col("window") == k)
-        fitted = {
-            name: md.fit(here.filter("part = 'train'"), roles.target, columns, name)
-            for name in cfg.candidates
-        }
-        window = _score(here.filter("part = 'validation'"), fitted, columns, roles)
-        scored = window if scored is None else scored.unionByName(window)
+        here = parts.filter((F.col("window") == k) & (F.col("part") == "validation"))
+        windows.append(_score(here, {name: fitted[k, name] for name in cfg.candidates}, columns, roles))
+    scored = reduce(DataFrame.unionByName, windows)
     kept = scored.select(roles.item, roles.ts, "window", roles.target, *names)
     kept = session.materialise(kept, "backtest")
     best = md.best_weights(
@@ -121,8 +130,7 @@ def train(panel: DataFrame, cfg: ForecastConfig) -> Trained:
         blended.select(F.lit("weighted_ensemble").alias("model"), "actual", "predicted")
     )
     by_window = ev.metrics(blended.filter("actual IS NOT NULL AND predicted IS NOT NULL"), ["window"])
-    training = md.holdout(table, roles.horizon, roles.item, roles.ts).filter("NOT is_test")
-    final = {name: md.fit(training, roles.target, columns, name) for name in cfg.candidates}
+    final = {name: fitted[-1, name] for name in cfg.candidates}
     return Trained(final, columns, weights, bands, md.leaderboard(everything), by_window)
 
 

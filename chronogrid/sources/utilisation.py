@@ -36,10 +36,7 @@ FORECAST_DAYS = 7
 RUNUP_DAYS = 28
 HISTORY_DAYS = 4 * 365
 
-PAGE_SCHEMA = (
-    "`hydra:member` ARRAY<STRUCT<validfrom: STRING, volume: STRING, emissionfactor: DOUBLE>>, "
-    "`hydra:view` STRUCT<`hydra:last`: STRING>"
-)
+MEMBER_SCHEMA = "validfrom STRING, volume STRING, emissionfactor DOUBLE"
 
 
 def _scan(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -96,35 +93,60 @@ def read_forecast(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed JSON pages, one row per page, with the file each came from."""
-    return (
-        spark.read.schema(PAGE_SCHEMA)
-        .option("multiLine", True)
-        .json(path)
-        .withColumn("_file", F.col("_metadata.file_path"))
-    )
+    """Landed JSON pages cut at every closing brace, as (member, last, _file).
+
+    A member of a page is an object without objects inside, so what lies between two
+    closing braces holds one member at most. Spark cuts the files into byte ranges as it
+    does with lines, so a page of any size is read by several tasks and none holds it
+    whole. A piece that names a `validfrom` but does not read as an object (a brace inside
+    a text) is an error. `last` is the last page's address where a piece announces it.
+    """
+    pieces = spark.read.option("lineSep", "}").text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    body = F.concat(F.lit("{"), F.substring_index("value", "{", -1), F.lit("}"))
+    named = F.col("value").contains('"validfrom"')
+    member = F.when(named, F.from_json(body, MEMBER_SCHEMA, {"mode": "FAILFAST"}))
+    last = F.regexp_extract("value", r'"hydra:last"\s*:\s*"([^"]*)"', 1)
+    return pieces.select(member.alias("member"), F.nullif(last, F.lit("")).alias("last"), "_file")
 
 
 def page_members(pages: DataFrame, which: str) -> DataFrame:
     """Members of all pages as hourly rows of one source, newest copy of an hour kept."""
-    member = pages.select(F.explode("`hydra:member`").alias("m"), "_file")
-    ts = parse_timestamp(F.col("m.validfrom")).alias("ts")
-    volume = F.col("m.volume").cast("double")
+    known = pages.where("member IS NOT NULL")
+    ts = parse_timestamp(F.col("member.validfrom")).alias("ts")
+    volume = F.col("member.volume").cast("double")
     if which == "mix":
-        columns = [volume.alias("total_volume"), F.col("m.emissionfactor").alias("emissionfactor")]
+        columns = [volume.alias("total_volume"), F.col("member.emissionfactor").alias("emissionfactor")]
     else:
         columns = [volume.alias(f"volume_{which}")]
-    return _newest(member.select(ts, *columns, "_file"))
+    return _newest(known.select(ts, *columns, "_file"))
 
 
 def page_check(pages: DataFrame) -> DataFrame:
     """Number of landed pages against the last page number the source announced."""
-    last = F.regexp_extract(F.col("`hydra:view`.`hydra:last`"), r"page=(\d+)", 1).try_cast("bigint")
+    last = F.regexp_extract("last", r"page=(\d+)", 1).try_cast("bigint")
     return pages.agg(
         F.max(last).alias("expected_pages"), F.count_distinct("_file").alias("landed_pages")
     ).withColumn("is_complete", F.col("expected_pages") == F.col("landed_pages"))
 
 
+def page_manifest(pages: DataFrame, days: DataFrame | None = None) -> DataFrame:
+    """(day, files, members): which files hold a day's members, and how many there are.
+
+    Grows by the day: with an earlier manifest as `days`, only pages that it does not name
+    have to be read.
+    """
+    known = pages.where("member IS NOT NULL")
+    day = F.to_date(parse_timestamp(F.col("member.validfrom"))).alias("day")
+    found = known.groupBy(day, "_file").agg(F.count("*").alias("n")).groupBy("day").agg(
+        F.sort_array(F.collect_list("_file")).alias("files"), F.sum("n").alias("members")
+    )
+    if days is None:
+        return found
+    both = days.unionByName(found).groupBy("day")
+    files = F.array_sort(F.array_distinct(F.flatten(F.collect_list("files"))))
+    return both.agg(files.alias("files"), F.sum("members").alias("members"))
+
+
 def read_feed(spark: SparkSession, directories: dict[str, str]) -> DataFrame:
     """Several landed sources, given as name to directory, side by side by hour."""
     frames = [page_members(read_pages(spark, path), which) for which, path in directories.items()]

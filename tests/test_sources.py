@@ -1,6 +1,7 @@
 """Readers and writers on generated files."""
 
 import json
+import re
 from datetime import date, datetime
 
 import pytest
@@ -44,7 +45,7 @@ def test_headers_are_found_in_one_job(spark, tmp_path):
     jobs = [len(tracker.getJobIdsForGroup(name)) for name in ("few", "many")]
     assert jobs[1] <= jobs[0] + 2  # Spark lists many paths in a job of its own
     assert few.count() == 4
-    rows = {int(r["_file"].split()[1].split("+")[0]) if " " in r["_file"] else r["_file"]: r for r in many.collect()}
+    rows = {int(re.search(r"(?:%20| )(\d+)\+x", r["_file"])[1]): r for r in many.collect()}
     assert len(rows) == 40
     for k, r in rows.items():
         first, second = (r["b"], r["a"]) if k % 3 == 0 else (r["a"], r["b"])
@@ -82,6 +83,34 @@ def test_pages_and_their_completeness(spark, tmp_path):
     assert [(r["total_volume"], r["emissionfactor"]) for r in got] == [(0, 0), (1, 0.1), (2, 0.2), (3, 0.3)]
 
 
+def test_a_large_page_is_read_in_pieces(spark, tmp_path):
+    """One page over several tasks, members with texts, blanks and line ends inside."""
+    rows = [{"@id": f"/v1/{i}", "validfrom": f"2024-01-{1 + i % 9:02d}T00:00:00+00:00", "volume": str(i), "note": "a \"b\", c\n"} for i in range(20000)]
+    text = json.dumps({"@context": {"x": 1}, "hydra:member": rows, "hydra:view": {"@id": "q", "hydra:last": "/v1/x?page=3"}}, indent=1)
+    write(tmp_path / "p1.json", text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        pages = utilisation.read_pages(spark, str(tmp_path))
+        tasks = pages.select(F.spark_partition_id()).distinct().count()
+        volumes = pages.where("member IS NOT NULL").agg(F.count("*"), F.sum(F.col("member.volume").cast("long"))).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks > 4 and tuple(volumes) == (20000, sum(range(20000)))
+    check = utilisation.page_check(pages).first()
+    assert (check["expected_pages"], check["landed_pages"], check["is_complete"]) == (3, 1, False)
+    manifest = utilisation.page_manifest(pages)
+    assert manifest.agg(F.count("*"), F.sum("members"), F.max(F.size("files"))).first() == (9, 20000, 1)
+    both = utilisation.page_manifest(pages, manifest).first()
+    assert len(both["files"]) == 1
+
+
+def test_a_brace_inside_a_member_is_an_error(spark, tmp_path):
+    write(tmp_path / "p1.json", page([{"validfrom": "2024-01-01T00:00:00+00:00", "volume": "a}b"}], 1))
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        utilisation.read_pages(spark, str(tmp_path)).collect()
+
+
 def test_weather_payload_axis(spark, tmp_path):
     payload = {"item_id": "x", "time_start": 1704067200, "time_end": 1704067200 + 3 * 3600, "interval": 3600}
     write(tmp_path / "w.json", json.dumps({**payload, "temperature_2m": [1.0, 2.0, 3.0], "rain": [0.5]}))
