@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from chronogrid.llm import bpe
+from chronogrid.session import materialise
 from chronogrid.llm.kernels import prepare, text_udf
 
 # Texts of these characters are lower-cased and cut as below; the tokenizer's own
@@ -142,9 +143,14 @@ def pack(
     """
     groups = max(1, -(-docs.count() // group_documents))
     pieces = tokenised_pieces(docs, path, length, end_id, with_ids, id_col, text_col)
+    if with_ids:  # written once; a group is packed without its ids, which then meet their places
+        whole = materialise(pieces, "pieces")
+        ids, pieces = whole.select("uid", "start", "ids"), whole.drop("ids")
     dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(F.lit("pack"), "uid"), F.lit(groups)))
     schema = StructType(list(pieces.schema.fields)).add("sequence_id", "long").add("offset", "long")
     packed = dealt.groupBy("_group").applyInPandas(_packer(length), schema)
+    if with_ids:
+        packed = packed.join(ids, ["uid", "start"])
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     return packed.select(*names, *(["ids"] if with_ids else []))
 
