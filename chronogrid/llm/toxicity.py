@@ -18,7 +18,7 @@ PER_CLASS = 3000  # training documents of each class, at most about this many
 TERM_BITS = 20  # terms are hashed to this many bits
 TERMS = 1024  # hashed terms chosen because they tell the classes apart by themselves
 PAIR_TERMS = 2048  # most frequent distinct terms among which telling pairs are looked for
-PAIR_BLOCK = 64  # terms whose pairs are counted together
+PAIR_BLOCK = 128  # terms whose pairs are counted together
 PAIR_FACTOR = 4  # how much surer a pair must be than its two terms together
 PAIR_DEVIATIONS = 6.0  # what a pair must exceed; of 10^7 pairs by chance none does
 FACTORS = 4  # length of a term's factor vector
@@ -97,7 +97,7 @@ def choose_pairs(lists: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     if not len(terms) or not 0 < y.sum() < len(y):
         return terms[:0]
     order = np.argsort(y <= 0, kind="stable")  # toxic rows first
-    x = _presence([lists[row] for row in order], terms)
+    x = _presence([lists[row] for row in order], terms, bool)
     cut = int((y > 0).sum())
     sides = [x[:cut], x[cut:]]
     held = [side.sum(axis=0, dtype=float) for side in sides]
@@ -111,28 +111,32 @@ def choose_pairs(lists: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     single = sure(held[0], held[0] + held[1])
     least = PAIR_DEVIATIONS**2
     found = np.zeros(len(terms), bool)
-    for begin in range(0, len(terms), PAIR_BLOCK):
-        block = slice(begin, begin + PAIR_BLOCK)
-        both = [(side[:, block].T @ side).astype(float) for side in sides]
+    starts = range(0, len(terms), PAIR_BLOCK)
+    for i, j in ((i, j) for i in starts for j in starts if i <= j):
+        one, two = slice(i, i + PAIR_BLOCK), slice(j, j + PAIR_BLOCK)
+        both = [(s[:, one].astype(np.float32).T @ s[:, two].astype(np.float32)).astype(float) for s in sides]
         ratio, spread = 0.0, 0.0
         for sign, side, n, b in zip((1, -1), sides, held, both, strict=True):
-            one, other = n[block, None] - b, n - b
-            cells = [c + 0.5 for c in (b, one, other, len(side) - b - one - other)]
+            left, right = n[one, None] - b, n[two] - b
+            cells = [c + 0.5 for c in (b, left, right, len(side) - b - left - right)]
             ratio = ratio + sign * np.log(cells[0] * cells[3] / (cells[1] * cells[2]))
             spread = spread + sum(1 / c for c in cells)
-        only = [n[block, None] + n - 2 * b for n, b in zip(held, both, strict=True)]
+        only = [n[one, None] + n[two] - 2 * b for n, b in zip(held, both, strict=True)]
         marked = np.maximum(sure(both[0], both[0] + both[1]), sure(only[0], only[0] + only[1]))
-        good = (ratio**2 > least * spread) & (marked > PAIR_FACTOR * (single[block, None] + single) + least)
-        good[np.arange(len(good)), begin + np.arange(len(good))] = False
-        found |= good.any(axis=0)
+        alone = single[one, None] + single[two]
+        good = (ratio**2 > least * spread) & (marked > PAIR_FACTOR * alone + least)
+        if i == j:
+            np.fill_diagonal(good, False)
+        found[one] |= good.any(axis=1)
+        found[two] |= good.any(axis=0)
     return terms[found]
 
 
-def _presence(lists: list[np.ndarray], terms: np.ndarray) -> np.ndarray:
+def _presence(lists: list[np.ndarray], terms: np.ndarray, kind: type = np.float32) -> np.ndarray:
     """A row for each list and a column for each term: 1 where the list holds the term."""
     place = np.full(1 << TERM_BITS, -1)
     place[terms] = np.arange(len(terms))
-    x = np.zeros((len(lists), len(terms)), np.float32)
+    x = np.zeros((len(lists), len(terms)), kind)
     for row, own in zip(x, lists, strict=True):
         at = place[own]
         row[at[at >= 0]] = 1
