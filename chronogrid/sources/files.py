@@ -67,8 +67,8 @@ def read_csv_set(spark: SparkSession, paths: str | list[str], sep: str = ",") ->
 
     The headers are found in one job (see `headers`); only distinct ones, with the names of
     their files, reach the driver. Files with the same header are read together, and the
-    groups are put together by name. A column that a file lacks is NULL in its rows; files
-    without any line have no rows. Adds the file's path, name and time.
+    groups are put together by name. A column that a file lacks is NULL in its rows. Files
+    without any line have no rows; if all are such, or there are none, that is an error. Adds the file's path, name and time.
     """
     reader = lambda: spark.read.option("header", True).option("sep", sep)
     try:
@@ -78,8 +78,6 @@ def read_csv_set(spark: SparkSession, paths: str | list[str], sep: str = ",") ->
             raise
         raise FileNotFoundError(f"no input files at {paths}") from error
     if not groups:
-        groups = [[row["file"] for row in listing(spark, paths).collect()]]
-    if not groups[0]:
         raise FileNotFoundError(f"no input files at {paths}")
     parts = []
     for members in groups:

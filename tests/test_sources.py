@@ -50,9 +50,9 @@ def test_headers_are_found_in_one_job(spark, tmp_path):
     for k, r in rows.items():
         first, second = (r["b"], r["a"]) if k % 3 == 0 else (r["a"], r["b"])
         assert (first, second, r["c"]) == (str(k), str(k + 1), "z" if k % 3 == 2 else None)
-    assert files.read_csv_set(spark, f"{tmp_path}/set empty.csv").count() == 0
-    with pytest.raises(FileNotFoundError):
-        files.read_csv_set(spark, f"{tmp_path}/none *.csv")
+    for name in ("set empty.csv", "none *.csv"):
+        with pytest.raises(FileNotFoundError):
+            files.read_csv_set(spark, f"{tmp_path}/{name}")
 
 
 def test_outer_align_says_what_it_cannot_merge(spark):
