@@ -147,17 +147,20 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     members = {f: [c for c in codes if family_of(c) == f] for f in families}
     duels = [pair for f in families for pair in combinations(members[f], 2)]
     own = np.array([family_of(c) for c in kinds])
+    duel_fits = []
+    for a, b in duels:
+        pair = (kinds == a) | (kinds == b)
+        duel_fits.append(fit_linear(x[pair], np.where(kinds[pair] == a, 1.0, -1.0), squared_hinge=True))
     fits = []
     for k, f in enumerate(families):
         if len(families) == 2 and k == 1:  # the other side of the first machine
             fits.append((-fits[0][0], -fits[0][1]))
         elif len(families) == 1:
             fits.append((np.zeros(WIDTH), 1.0))
-        else:
-            fits.append(fit_linear(x.copy(), np.where(own == f, 1.0, -1.0), squared_hinge=True))
-    for a, b in duels:
-        pair = (kinds == a) | (kinds == b)
-        fits.append(fit_linear(x[pair], np.where(kinds[pair] == a, 1.0, -1.0), squared_hinge=True))
+        else:  # the last fit may overwrite the rows, so that two families need no copy
+            last = len(families) == 2 or k == len(families) - 1
+            fits.append(fit_linear(x if last else x.copy(), np.where(own == f, 1.0, -1.0), squared_hinge=True))
+    fits += duel_fits
     weights, bias = np.stack([f[0] for f in fits], axis=1), np.array([f[1] for f in fits])
     return Machines(families, members, duels, weights, bias, seen, floor)
 
