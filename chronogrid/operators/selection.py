@@ -18,6 +18,7 @@ SALTS = 16  # tasks that the rows of one group and prefix spread over in a join
 
 MANTISSA = 1 << 52
 LEAST_NORMAL = 2.0**-1022
+LARGEST = 1.7976931348623157e308
 HALF_SUBNORMAL = 2.0**537  # two of these factors lift the least subnormal to 1
 
 
@@ -29,7 +30,8 @@ def with_bits(df: DataFrame, value: str, name: str = "bits") -> DataFrame:
     is computed twice.
     """
     size = F.abs(F.col(value).cast("double"))
-    guess = F.least(F.floor(F.log2(F.greatest(size, F.lit(LEAST_NORMAL)))).cast("int"), F.lit(1023))
+    finite = F.least(F.greatest(size, F.lit(LEAST_NORMAL)), F.lit(LARGEST))  # NaN is above infinity here
+    guess = F.least(F.floor(F.log2(finite)).cast("int"), F.lit(1023))
     steps = df.withColumn("_exponent", guess).withColumn("_fraction", size / F.pow(F.lit(2.0), F.col("_exponent")))
     low, high = F.col("_fraction") < 1, F.col("_fraction") >= 2
     steps = steps.withColumns(
