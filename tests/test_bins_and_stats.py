@@ -133,7 +133,8 @@ def test_autocorrelation_at_a_high_level(spark, hourly, chunk, offset):
     d = kept - kept.mean()
     want = [d[k:] @ d[: len(d) - k] / (d @ d) for k in range(31)]
     assert got[0] == pytest.approx(1.0, abs=1e-12)
-    assert [got[k] for k in range(31)] == pytest.approx(want, abs=1e-9)
+    # A mean near 10^8 is itself only known to 1.5e-8.
+    assert [got[k] for k in range(31)] == pytest.approx(want, abs=1.5e-8 if offset else 1e-9)
 
 
 def test_describe_matches_pandas(spark):
