@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chronogrid.functions import numbers
+from chronogrid.functions import numbers, timeparts
 from chronogrid.functions.numbers import tidy
-from chronogrid.operators import bins, calendar, charts, evaluate, features, model, stats
+from chronogrid.operators import bins, bootstrap, calendar, charts, evaluate, features, model, quantreg, stats
 from chronogrid.plans.catalog.aggregates import HOUR_CORR, bin_sql, edges_sql, tidied
 from chronogrid.plans.catalog.base import Tables, query, with_views
 from chronogrid.plans.catalog.calendars import HOLIDAY_SQL, JANUARY, JANUARY_FLAG
@@ -464,3 +464,22 @@ def quantile_forecast(t: Tables):
     bands = model.residual_bands(e, ["hour"], [0.1, 0.9], few_groups=True)
     out = model.quantile_forecast(e.select("item_id", "ts", "hour", "predicted"), bands, ["hour"], [0.1, 0.9])
     return tidied(out.drop("hour"))
+
+
+HOUR_COVARIATES = ["hour_sin", "hour_cos", "is_weekend", "temperature", "humidity", "elec_price", "gas_price"]
+
+
+@query("m8_quantile_regression")
+def quantile_regression(t: Tables):
+    """The last week of each series, by lines fitted to the weeks before it."""
+    circle = dict(zip(["hour_sin", "hour_cos"], timeparts.cyclic(F.col("hour"), 24)))
+    rows = model.holdout(t.stored_errors().withColumns(circle))
+    fitted = quantreg.fit(rows.where("NOT is_test"), "actual", ["predicted", *HOUR_COVARIATES])
+    out = quantreg.predict(fitted, rows.where("is_test")).withColumnRenamed("predicted", "mean")
+    return tidied(out.select("item_id", "ts", "step", "mean", *model.quantile_names()))
+
+
+@query("c3_bootstrap_band")
+def bootstrap_band(t: Tables):
+    """The regression band of `c3_regression_band` by resampling."""
+    return tidied(bootstrap.bootstrap_band(t.wide, "elec_price", "emissionfactor", ["ts"]))

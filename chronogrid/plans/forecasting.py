@@ -14,7 +14,7 @@ from chronogrid import session
 from chronogrid.operators import evaluate as ev
 from chronogrid.operators import features as ft
 from chronogrid.operators import model as md
-from chronogrid.operators import stats
+from chronogrid.operators import quantreg, stats
 from chronogrid.sources import sinks, utilisation
 
 # Days of history used for training and the feature sets of a model.
@@ -24,7 +24,11 @@ MODEL_SETS = frozenset({"temporal", "holiday", "vacation", "seasonal", "emission
 
 @dataclass(frozen=True)
 class ForecastConfig:
-    """What a forecasting run needs besides the panel."""
+    """What a forecasting run needs besides the panel.
+
+    `quantiles` is `residuals` (bands of the residuals by step) or `regression` (lines
+    over the point forecast and the step).
+    """
 
     roles: md.Roles = field(default_factory=md.Roles)
     inputs: ft.FeatureInputs = field(default_factory=ft.FeatureInputs)
@@ -34,16 +38,21 @@ class ForecastConfig:
     windows: int = md.VALIDATION_WINDOWS
     ensemble_steps: int = 10
     fits_at_once: int = 4
+    quantiles: str = "residuals"
+
+    def __post_init__(self):
+        if self.quantiles not in ("residuals", "regression"):
+            raise ValueError(f"quantiles: residuals or regression, not {self.quantiles}")
 
 
 @dataclass
 class Trained:
-    """Fitted candidates, ensemble weights, residual bands and scores."""
+    """Fitted candidates, ensemble weights, quantiles and scores."""
 
     models: dict[str, PipelineModel]
     features: list[str]
     weights: dict[str, float]
-    bands: DataFrame
+    bands: DataFrame | quantreg.QuantileModel
     leaderboard: DataFrame
     backtest: DataFrame
 
@@ -125,7 +134,10 @@ def train(panel: DataFrame, cfg: ForecastConfig) -> Trained:
         .withColumn("step", ((F.unix_seconds(roles.ts) - F.unix_seconds("_from")) / 3600 + 1).cast("bigint"))
         .filter("actual IS NOT NULL AND predicted IS NOT NULL")
     )
-    bands = md.residual_bands(history, ["step"], few_groups=True)
+    if cfg.quantiles == "regression":
+        bands = quantreg.fit(history, "actual", ["predicted", "step"])
+    else:
+        bands = md.residual_bands(history, ["step"], few_groups=True)
     everything = _long(kept, names, roles.target).unionByName(
         blended.select(F.lit("weighted_ensemble").alias("model"), "actual", "predicted")
     )
@@ -165,9 +177,11 @@ def predict(
     stepped = point.join(starts, roles.item).withColumn(
         "step", ((F.unix_seconds(roles.ts) - F.unix_seconds("_from")) / 3600 + 1).cast("bigint")
     )
-    named = md.quantile_forecast(
-        stepped.select(roles.item, roles.ts, "step", "predicted"), trained.bands, ["step"]
-    )
+    stepped = stepped.select(roles.item, roles.ts, "step", "predicted")
+    if isinstance(trained.bands, quantreg.QuantileModel):
+        named = quantreg.predict(trained.bands, stepped).withColumnRenamed("predicted", "mean")
+    else:
+        named = md.quantile_forecast(stepped, trained.bands, ["step"])
     return named.drop("step")
 
 
