@@ -261,26 +261,3 @@ def context_modes(t: Tables):
 @query("g2_train_leaderboard")
 def train_leaderboard(t: Tables):
     return tidied(forecasting.train(_training_panel(t), _config(t)).leaderboard)
-
-
-@query(
-    "g4_evaluation_conditional",
-    with_views("err")
-    + """SELECT tidy(avg(abs_error) FILTER (is_weekend = 1)) AS is_weekend_mae, tidy(avg(abs_error) FILTER (is_weekend = 0)) AS not_is_weekend_mae,
-    count(*) FILTER (is_weekend = 1) AS is_weekend_n, count(*) FILTER (is_weekend = 0) AS not_is_weekend_n FROM err""",
-)
-def evaluation_conditional(t: Tables):
-    reports = forecasting.evaluate(t.errors(), ["temperature", "humidity"], "temperature", "elec_price")
-    return tidied(reports["conditional"])
-
-
-@query(
-    "g4_evaluation_price_correlation",
-    with_views("err")
-    + "SELECT tidy(corr(elec_price, error)) AS corr, count(*) AS n FROM err WHERE elec_price IS NOT NULL",
-)
-def evaluation_price(t: Tables):
-    reports = forecasting.evaluate(t.errors(), ["temperature", "humidity"], "temperature", "elec_price")
-    return tidied(reports["price_corr"])
-
-

@@ -18,7 +18,7 @@ from chronogrid.plans.catalog.files import HISTORY_SQL, landed_pages, written_pr
 from chronogrid.plans.catalog.models import ENDS
 from chronogrid.plans.catalog.scalars import DAILY_CUTS
 from chronogrid.plans.catalog.statistics import PAIR_T, p_sql
-from chronogrid.sources import utilisation
+from chronogrid.sources import utilisation, weather
 
 
 def flagged(t: Tables):
@@ -308,14 +308,23 @@ def strongest_lag(t: Tables):
     return tidied(correlation(t, "strongest_lag"))
 
 
+# Eighths times whole numbers up to 23 are exact in the single precision of a payload.
+SNAPPED = "snapped AS (SELECT item_id, ts, round(y * 8) / 8 AS y FROM grid)"
+FILLED_CELLS = ", ".join(
+    f"tidy3({i + 1} * {'d' if name == 'wind_direction' else 'm'}.y) AS {name}" for i, name in enumerate(weather.VARIABLES.values())
+)
+
+
 @query(
     "g8_weather_job",
-    with_views("grid", more=impute_sql("grid", "y", MEAN_TAIL) + ", " + impute_sql("grid", "y", FILL_TAIL).replace("n_y", "n2_y").replace("l_y", "l2_y").replace("f_y", "f2_y"))
-    + "SELECT item_id, ts, tidy2(f_y.y) AS temperature, tidy2(f2_y.y) AS wind_direction FROM f_y JOIN f2_y USING (item_id, ts)",
+    with_views("grid", more=SNAPPED + ", " + impute_sql("snapped", "y", MEAN_TAIL) + ", " + impute_sql("snapped", "y", FILL_TAIL).replace("n_y", "n2_y").replace("l_y", "l2_y").replace("f_y", "f2_y"))
+    + f"SELECT item_id, ts, {FILLED_CELLS} FROM f_y m JOIN f2_y d USING (item_id, ts)",
 )
 def weather_job(t: Tables):
+    """All variables of the payloads, history and forecast landed apart, as the job stores them."""
     folders = {}
     cut = F.lit("2024-01-20").cast("timestamp")
+    y = F.round(F.col("y") * 8) / 8
     for name, keep in (("history", F.col("ts") < cut), ("forecast", F.col("ts") >= cut)):
         folders[name] = t.scratch(f"g8-{name}")
         rows = t.series.filter(keep).select(
@@ -323,14 +332,13 @@ def weather_job(t: Tables):
             F.unix_seconds("ts").alias("time_start"),
             (F.unix_seconds("ts") + 3600).alias("time_end"),
             F.lit(3600).alias("interval"),
-            F.array("y").alias("temperature_2m"),
-            F.array("y").alias("wind_direction_10m"),
+            *[F.array(y * (i + 1)).alias(landed) for i, landed in enumerate(weather.VARIABLES)],
         )
         rows.write.json(folders[name])
     out = t.scratch("g8")
     studies.weather_job(t.spark, folders["history"], folders["forecast"], out)
     stored = t.spark.read.parquet(out)
-    return stored.select("item_id", "ts", *[tidy(F.col(c), 2).alias(c) for c in ("temperature", "wind_direction")])
+    return stored.select("item_id", "ts", *[tidy(F.col(c), 3).alias(c) for c in weather.VARIABLES.values()])
 
 
 @query(
