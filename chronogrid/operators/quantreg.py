@@ -15,8 +15,8 @@ from chronogrid.operators import selection
 from chronogrid.operators.model import QUANTILES, quantile_names
 from chronogrid.session import materialise
 
-PASSES = 30  # most reweighting steps
-TOLERANCE = 3e-5  # a step that lowers the loss by a smaller share than this is the last one
+PASSES = 60  # most reweighting steps
+TOLERANCE = 1e-6  # a step that lowers the loss by a smaller share than this is the last one
 SMOOTHING = 1e-4  # residuals below this many deviations of the target weigh alike
 BLOCK_ROWS = 4096  # rows multiplied together
 
