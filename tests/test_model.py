@@ -116,6 +116,30 @@ def test_train_predict_and_bands(spark, panel):
     assert forecasting.predict(trained, past, future, cfg, per_slice=True).count() == 2 * 168
 
 
+def test_quantiles_by_regression(spark, panel):
+    """A run with regression quantiles gives the same columns, and bands that hold the week not seen."""
+    cfg = forecasting.ForecastConfig(
+        roles=model.Roles(target="load_value", known=list(features.TEMPORAL)),
+        inputs=features.FeatureInputs(target="load_value"),
+        sets=frozenset({"temporal"}),
+        training_days=None,
+        candidates=("linear",),
+        windows=1,
+        ensemble_steps=2,
+        quantiles="regression",
+    )
+    split = model.holdout(panel)
+    past, future = (split.filter(part).select("item_id", "ts", "load_value") for part in ("NOT is_test", "is_test"))
+    out = forecasting.predict(forecasting.train(past, cfg), past, future, cfg).cache()
+    names = model.quantile_names()
+    assert out.columns == ["item_id", "ts", "mean", *names] and out.count() == 2 * 168
+    assert all(list(r) == sorted(r) for r in out.select(*names).collect())
+    inside = F.avg(F.col("load_value").between(F.col("q10"), F.col("q90")).cast("double"))
+    assert out.join(future, ["item_id", "ts"]).agg(inside).first()[0] == pytest.approx(0.8, abs=0.1)
+    with pytest.raises(ValueError, match="quantiles"):
+        forecasting.ForecastConfig(quantiles="bands")
+
+
 def test_target_derived_covariates_are_refused(panel):
     roles = model.Roles(target="load_value", known=["load_value_lag_1h"])
     with pytest.raises(ValueError, match="derived"):
