@@ -161,8 +161,8 @@ def fit_linear(x: np.ndarray, y: np.ndarray, squared_hinge: bool, l2: float = 1e
     weights. `x` is overwritten.
     """
     mean, square = np.zeros(x.shape[1]), np.zeros(x.shape[1])
-    for begin in range(0, len(x), 256):  # in blocks, so that no second matrix is made
-        part = x[begin : begin + 256].astype(float)
+    for begin in range(0, len(x), 64):  # in blocks, so that no second matrix is made
+        part = x[begin : begin + 64].astype(float)
         mean += part.sum(axis=0) / len(x)
         square += (part * part).sum(axis=0) / len(x)
     scale = np.sqrt(np.maximum(square - mean * mean, 0))

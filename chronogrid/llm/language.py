@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,12 +136,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     seen, floor = _seen(np.array(got.column("kind").to_pylist()), got.column("half").to_numpy(), lists)
     del got, lists
     got = sample.select("kind", share_udf(letters_only)(F.col("text")).alias("made")).toArrow()
-    kinds = np.array(got.column("kind").to_pylist())
-    x = dense(got.column("made"))
+    made = got.column("made")
+    some = pc.greater(pc.list_value_length(pc.struct_field(made, "columns")), 0)
+    made = made.filter(some)
+    kinds = np.array(got.column("kind").filter(some).to_pylist())
     del got
-    some = x.any(axis=1)
-    if not some.all():
-        x, kinds = x[some], kinds[some]
     codes = sorted(set(kinds.tolist()))
     if not codes:
         return Machines()
@@ -147,20 +148,21 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     members = {f: [c for c in codes if family_of(c) == f] for f in families}
     duels = [pair for f in families for pair in combinations(members[f], 2)]
     own = np.array([family_of(c) for c in kinds])
-    duel_fits = []
-    for a, b in duels:
-        pair = (kinds == a) | (kinds == b)
-        duel_fits.append(fit_linear(x[pair], np.where(kinds[pair] == a, 1.0, -1.0), squared_hinge=True))
+
+    def machine(rows: np.ndarray, positive: np.ndarray) -> tuple[np.ndarray, float]:
+        """One machine; only its own rows are made dense, and only while it is fitted."""
+        part = dense(made.filter(pa.array(rows)))
+        return fit_linear(part, np.where(positive[rows], 1.0, -1.0), squared_hinge=True)
+
     fits = []
     for k, f in enumerate(families):
         if len(families) == 2 and k == 1:  # the other side of the first machine
             fits.append((-fits[0][0], -fits[0][1]))
         elif len(families) == 1:
             fits.append((np.zeros(WIDTH), 1.0))
-        else:  # the last fit may overwrite the rows, so that two families need no copy
-            last = len(families) == 2 or k == len(families) - 1
-            fits.append(fit_linear(x if last else x.copy(), np.where(own == f, 1.0, -1.0), squared_hinge=True))
-    fits += duel_fits
+        else:
+            fits.append(machine(np.ones(len(own), bool), own == f))
+    fits += [machine((kinds == a) | (kinds == b), kinds == a) for a, b in duels]
     weights, bias = np.stack([f[0] for f in fits], axis=1), np.array([f[1] for f in fits])
     return Machines(families, members, duels, weights, bias, seen, floor)
 

@@ -63,12 +63,13 @@ def choose_terms(lists: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     for terms, label in zip(lists, y, strict=True):
         (one if label else nil)[terms] += 1
     n1, n0 = max(1, y.sum()), max(1, (1 - y).sum())
+    kept = np.flatnonzero(one + nil >= 4)
+    one, nil = one[kept], nil[kept]
     a, b = one + 0.5, n1 - one + 0.5
     c, d = nil + 0.5, n0 - nil + 0.5
     sure = np.abs(np.log(a * d / (b * c))) / np.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    sure[one + nil < 4] = 0
     best = np.argsort(-sure, kind="stable")[:TERMS]
-    return best[sure[best] > 2.5]
+    return kept[best[sure[best] > 2.5]]
 
 
 def choose_pairs(lists: list[np.ndarray], y: np.ndarray) -> np.ndarray:
