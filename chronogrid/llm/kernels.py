@@ -19,7 +19,11 @@ BATCH_ROWS = 1024
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of this folder: small Arrow batches, since rows are whole texts."""
+    """Session settings of this folder: small Arrow batches, since rows are whole texts.
+
+    Also gives back what Arrow keeps of tables that a training step on the driver has freed.
+    """
+    pa.default_memory_pool().release_unused()
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark

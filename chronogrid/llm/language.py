@@ -135,6 +135,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     lists = [g.values.to_numpy() for g in got.column("grams")]
     seen, floor = _seen(np.array(got.column("kind").to_pylist()), got.column("half").to_numpy(), lists)
     del got, lists
+    pa.default_memory_pool().release_unused()
     got = sample.select("kind", share_udf(letters_only)(F.col("text")).alias("made")).toArrow()
     made = got.column("made")
     some = pc.greater(pc.list_value_length(pc.struct_field(made, "columns")), 0)
