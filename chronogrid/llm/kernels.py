@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from chronogrid.session import configure
+from chronogrid.session import configure, hand_back, materialise
 
 # Bytes of text that a kernel holds as Python objects at a time, and rows that Spark
 # hands over at a time.
@@ -21,14 +21,23 @@ BATCH_ROWS = 1024
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of this folder: small Arrow batches, since rows are whole texts.
 
-    Also gives back what Arrow keeps of tables that a training step on the driver has freed.
+    Also gives back what Arrow keeps of tables that a training step on the driver has freed,
+    and what earlier steps have left on the driver's heap.
     """
     pa.default_memory_pool().release_unused()
+    hand_back(spark)
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`materialise`, after which the driver drops what the step has left."""
+    done = materialise(df, label)
+    hand_back(df.sparkSession)
+    return done
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[list[str]]:
     """Cut a batch into lists of about `limit` characters; NULL becomes the empty text."""
     held, size = [], 0
@@ -103,6 +112,22 @@ def split_buckets(rows: DataFrame, key: str, item: str, limit: int) -> DataFrame
     return met.withColumn("part", part).drop("_size", "_chunks", "_other")
 
 
+def split_large(rows: DataFrame, key: str, item: str, limit: int) -> DataFrame:
+    """The same for keys of at most 24 bits, of which most have no more than `limit` rows.
+
+    Only the sizes of larger buckets are kept and sent to all tasks, so rows move once, to
+    their group; buckets of one row stay. Adds `part` alone.
+    """
+    sizes = rows.groupBy(key).agg(F.count("*").alias("_size")).where(F.col("_size") > limit)
+    chunks = F.coalesce(F.ceil(F.col("_size") / limit), F.lit(1)).cast("int")
+    met = rows.join(F.broadcast(sizes), key, "left").withColumn("_chunks", chunks)
+    met = met.withColumn("_slot", F.pmod(F.xxhash64(F.lit("slot"), item), F.col("_chunks")).cast("int"))
+    met = met.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    low, high = (f("_slot", "_other").cast("long") for f in (F.least, F.greatest))
+    part = F.shiftleft(high, 44) + F.shiftleft(low, 24) + F.col(key)
+    return met.withColumn("part", part).drop("_size", "_chunks", "_slot", "_other")
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str = "part", rows: int = 16384) -> Iterator[pa.Table]:
     """Tables that end at a change of `key`, from batches sorted by it.
 

@@ -1,5 +1,6 @@
 """SimHash near-duplicates through a Gray-order hierarchical index."""
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -9,8 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronogrid.llm.components import components
-from chronogrid.llm.kernels import Forest, by_groups, free_name, prepare, split_buckets, text_udf
-from chronogrid.session import materialise
+from chronogrid.llm.kernels import Forest, by_groups, free_name, prepare, split_buckets, split_large, stored, text_udf
 
 SEED = 42
 FAN = 8  # children of an index node
@@ -18,15 +18,24 @@ BLOCKS = 5  # parts of a fingerprint; near ones agree in all but `distance` of t
 BUCKET_ROWS = 4096  # larger buckets are cut into chunks that meet two by two
 FRONTIER = 1 << 20  # (query, node) pairs held at a time
 
-# Near copies by exact Jaccard similarity. Two texts at 0.8 differ in 9.7 of 64 bits, with a
-# deviation of 2.9; five deviations more are allowed for.
+# Near copies by exact Jaccard similarity. Bits of the fingerprints of two texts at 0.8 differ
+# with a probability of 0.152, in 9.7 of 64 with a deviation of 2.9.
 WORDS = 5
 PERCENT = 80  # least similarity
-DISTANCE = 24
-# Two texts at 0.8 share one of the bands of least hashes with probability 0.9995.
-BANDS, BAND_ROWS = 32, 7
-# The share of equal least hashes estimates the similarity; at 0.8 it has a deviation of 0.027.
-SKETCH_SHARE = 0.68
+FIELDS = 16  # 64-bit words of a wide fingerprint
+# Two texts at 0.8 agree on all bits of a key, and are within NEAR bits in the word searched
+# with it, in one of the tables with probability 0.9995.
+KEY_BITS = 14
+TABLES = 64 * FIELDS // KEY_BITS
+NEAR = 16
+# Of sets this small, bits differ with a probability of up to 0.19, since sums are often
+# tied; they come in twice as many tables.
+SHORT = 5
+# Differing bits of wide fingerprints, and of those of small sets; five deviations more than the
+# expected.
+WIDE_BITS, SHORT_BITS = 212, 255
+BLOCK_WORDS = 1 << 18  # words of wide fingerprints that are compared at a time
+DISTANCE = 24  # differing bits of the first word, five deviations more than the expected
 VERIFY_ROWS = 512  # texts of a chunk in which similarities are counted
 
 
@@ -138,51 +147,78 @@ class GrayIndex:
         for pattern, mask, first, end, low, high in self.levels[1:]:
             tight = np.flatnonzero(np.bitwise_count(~mask) <= distance)
             if len(tight):
-                size = high[tight] - low[tight]
-                member = np.arange(int(size.sum())) + np.repeat(low[tight] - (np.cumsum(size) - size), size)
-                forest.join(member, np.repeat(low[tight], size))
-        step = max(1, FRONTIER // (FAN * FAN))
-        for begin in range(0, len(self.codes), step):
-            self._search(np.arange(begin, min(begin + step, len(self.codes))), distance, forest)
+                forest.join(*_spread(low[tight], low[tight], high[tight]))
+        for query, low, high in self._search(distance):
+            forest.join(query, high - 1)
+            loose = high - low > 1  # all under the node are near the query, hence one component with it
+            if loose.any():
+                self._gather(query[loose], low[loose], (high - low)[loose], forest)
         return forest
 
-    def _search(self, query: np.ndarray, distance: int, forest: Forest) -> None:
+    def company(self, distance: int) -> np.ndarray:
+        """Whether each code has another one of its group within `distance` bits."""
+        met = np.zeros(len(self.codes), bool)
+        for step in range(1, min(FAN, len(met) - 1) + 1):  # neighbours in Gray order
+            near = np.bitwise_count(self.codes[step:] ^ self.codes[:-step]) <= distance
+            near &= self.group[step:] == self.group[:-step]
+            met[step:] |= near
+            met[:-step] |= near
+        for query, low, high in self._search(distance, met.copy()):
+            met[query] = True
+            met[_spread(query, low, high)[0]] = True
+        return met
+
+    def _search(self, distance: int, met: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Walk the frontier of (query, node) down, adding up differing bits on the way.
 
         A node is left out with its whole group of codes once the differences under its
-        mask exceed `distance`, and taken whole once they and its free bits do not.
+        mask exceed `distance`, and taken whole once they and its free bits do not; then
+        the query and the first and last leaf are given. Left out are also pairs of codes
+        that are all marked in `met`.
         """
-        stack = [(len(self.levels) - 1, query, self.group[query])]
-        while stack:
-            level, query, node = stack.pop()
-            pattern, mask, first, end, low, high = self.levels[level]
-            if len(query) > FRONTIER:
-                half = len(query) // 2
-                stack += [(level, query[:half], node[:half]), (level, query[half:], node[half:])]
-                continue
-            apart = np.bitwise_count((self.codes[query] ^ pattern[node]) & mask[node]).astype(np.int64)
-            ahead = (apart <= distance) & (high[node] > query + 1)  # pairs are met from their first code
-            query, node, apart = query[ahead], node[ahead], apart[ahead]
-            whole = apart + np.bitwise_count(~mask[node]) <= distance
-            if whole.any():
-                forest.join(query[whole], high[node[whole]] - 1)
-                if level:  # all under the node are near the query, hence one component with it
-                    size = high[node[whole]] - low[node[whole]]
-                    loose = size > 1
-                    self._gather(query[whole][loose], low[node[whole]][loose], size[loose], forest)
-            query, node = query[~whole], node[~whole]
-            if level and len(query):
-                size = end[node] - first[node]
-                child = np.arange(int(size.sum())) + np.repeat(first[node] - (np.cumsum(size) - size), size)
-                stack.append((level - 1, np.repeat(query, size), child))
+        settled = None
+        if met is not None:
+            done = np.concatenate([[0], np.cumsum(met)])
+            settled = [done[level[5]] - done[level[4]] == level[5] - level[4] for level in self.levels]
+        step = max(1, FRONTIER // (FAN * FAN))
+        for begin in range(0, len(self.codes), step):
+            query = np.arange(begin, min(begin + step, len(self.codes)))
+            stack = [(len(self.levels) - 1, query, self.group[query])]
+            while stack:
+                level, query, node = stack.pop()
+                pattern, mask, first, end, low, high = self.levels[level]
+                if len(query) > FRONTIER:
+                    half = len(query) // 2
+                    stack += [(level, query[:half], node[:half]), (level, query[half:], node[half:])]
+                    continue
+                ahead = high[node] > query + 1  # pairs are met from their first code
+                if settled is not None:
+                    ahead &= ~(met[query] & settled[level][node])
+                query, node = query[ahead], node[ahead]
+                apart = np.bitwise_count((self.codes[query] ^ pattern[node]) & mask[node]).astype(np.int64)
+                ahead = apart <= distance
+                query, node, apart = query[ahead], node[ahead], apart[ahead]
+                whole = apart + np.bitwise_count(~mask[node]) <= distance
+                if whole.any():
+                    yield query[whole], low[node[whole]], high[node[whole]]
+                query, node = query[~whole], node[~whole]
+                if level and len(query):
+                    size = end[node] - first[node]
+                    child = np.arange(int(size.sum())) + np.repeat(first[node] - (np.cumsum(size) - size), size)
+                    stack.append((level - 1, np.repeat(query, size), child))
 
     @staticmethod
     def _gather(query: np.ndarray, low: np.ndarray, size: np.ndarray, forest: Forest) -> None:
         """Link queries with every code of the nodes taken whole, each node once."""
         low, index = np.unique(low, return_index=True)
         size, query = size[index], query[index]
-        member = np.arange(int(size.sum())) + np.repeat(low - (np.cumsum(size) - size), size)
-        forest.join(member, np.repeat(query, size))
+        forest.join(*_spread(query, low, low + size))
+
+
+def _spread(query: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions from `low` to `high`, each with its query."""
+    size = high - low
+    return np.arange(int(size.sum())) + np.repeat(low - (np.cumsum(size) - size), size), np.repeat(query, size)
 
 
 def _near_links(distance: int):
@@ -217,7 +253,7 @@ def near_duplicates(
     does not name or bridge one; other columns are ignored whatever their names; an
     empty table gives an empty result.
     """
-    made = materialise(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    made = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = made.groupBy("fp").agg(F.min(F.col(id_col).cast("long")).alias("first_doc")).where("first_doc IS NOT NULL")
     met = split_buckets(bands(classes, distance), "bucket", "fp", BUCKET_ROWS)
     links = by_groups(met.select("part", "fp", "first_doc"), _near_links(distance), "a long, b long")
@@ -228,51 +264,73 @@ def near_duplicates(
     return made.join(of_class, "fp", "left").select(id_col, "fp", hex_digits("fp").alias("fingerprint"), "component_id")
 
 
-def _band_constants() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(SEED)
-    turn, factor = rng.integers(0, 1 << 63, (2, BANDS * BAND_ROWS), np.uint64)
-    return turn, factor | np.uint64(1)
-
-
-def least_hashes(hashes: np.ndarray) -> np.ndarray:
-    """The least of `hashes` in each of BANDS * BAND_ROWS random orders."""
-    turn, factor = _band_constants()
-    least = np.full(BANDS * BAND_ROWS, np.uint64(0xFFFFFFFFFFFFFFFF))
-    for begin in range(0, len(hashes), 1024):
-        mixed = (hashes[None, begin : begin + 1024] ^ turn[:, None]) * factor[:, None]
-        np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=1), out=least)
-    return least
-
-
-def least_bands(least: np.ndarray) -> np.ndarray:
-    """One key per band: a hash of its BAND_ROWS least hashes."""
-    rows = least.reshape(BANDS, BAND_ROWS)
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(row.tobytes(), i) for i, row in enumerate(rows)], np.uint64)
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """The SimHash of FIELDS * 64 bits of shingles' hashes, as FIELDS words.
 
+    The first word is that of the hashes themselves, the others those of FIELDS - 1
+    further hashes made from them.
+    """
+    rng = np.random.default_rng(SEED)
+    turn, factor = rng.integers(0, 1 << 63, (2, FIELDS - 1), np.uint64)
+    counts = np.zeros(64 * FIELDS, np.int64)
+    for begin in range(0, len(hashes), 255):  # so that a count fits in a byte
+        plain = hashes[begin : begin + 255, None]
+        made = (plain ^ turn) * (factor | np.uint64(1))
+        made = (made ^ (made >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        made = np.concatenate([plain, made ^ (made >> np.uint64(32))], axis=1)
+        bits = np.unpackbits(made.view(np.uint8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)
+
+
+def _keys(wide: np.ndarray, tables: int, turned: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and searched word of each row of `wide` in each table, as (rows, tables).
+
+    A table's key is KEY_BITS bits of the fingerprint that no other table has; the word
+    searched with it holds none of them. `turned` gives other tables, over the same bits
+    in another order.
+    """
+    bits = np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little")
+    if turned:
+        bits = bits[:, np.random.default_rng(SEED).permutation(64 * FIELDS)]
+    value = bits[:, : tables * KEY_BITS].reshape(len(wide), tables, KEY_BITS) @ (1 << np.arange(KEY_BITS))
+    table = np.arange(tables)
+    bucket = (table + tables * turned << KEY_BITS) + value
+    return bucket.astype(np.int32), wide[:, (table * KEY_BITS // 64 + FIELDS // 2) % FIELDS]
+
+
+def _keyed(tables: int):
+    """Rows of `wide` once for each table, with their bucket and the word searched there."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wide = np.frombuffer(b"".join(batch.column("wide").to_pylist()), np.uint64).reshape(-1, FIELDS)
+            names, size = batch.column("first_doc").to_numpy(), batch.column("size").to_numpy()
+            for turned, rows in ((False, np.arange(len(wide))), (True, np.flatnonzero(size <= SHORT))):
+                if len(rows) and tables:
+                    bucket, code = _keys(wide[rows], tables, turned)
+                    cells = [bucket.ravel(), code.ravel().view(np.int64), np.repeat(names[rows], tables)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["bucket", "fp", "first_doc"])
 
-def sketch(least: np.ndarray) -> bytes:
-    """One byte of each least hash."""
-    return (least >> np.uint64(24)).astype(np.uint8).tobytes()
+    return work
 
 
 def _shingle_sets(docs: DataFrame, text_col: str, shingle: int) -> Column:
-    """Struct of a text's set of shingles as one hash, the set's size, its fingerprint, its
-    bands and its sketch."""
+    """Struct of a text's set of shingles as one hash, the set's size, its fingerprint and its
+    wide fingerprint."""
     prepare(docs.sparkSession)
 
     def kernel(texts: list[str]) -> dict:
         sets = [np.unique(shingle_hashes(text, shingle)) for text in texts]
-        least = [least_hashes(s) for s in sets]
+        wide = [wide_fingerprint(s) for s in sets]
         return {
             "shingles": [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets],
             "size": [len(s) for s in sets],
-            "fp": [_sign_bits(s) for s in sets],
-            "bands": [least_bands(one).view(np.int64) for one in least],
-            "sketch": [sketch(one) for one in least],
+            "fp": [int(one[0].view(np.int64)) for one in wide],
+            "wide": [one.tobytes() for one in wide],
         }
 
-    return text_udf(kernel, "shingles long, size int, fp long, bands array<long>, sketch binary")(F.col(text_col))
+    return text_udf(kernel, "shingles long, size int, fp long, wide binary")(F.col(text_col))
 
 
 def _possible(distance: int):
@@ -281,43 +339,47 @@ def _possible(distance: int):
     def work(table: pa.Table) -> pa.Table:
         codes = table.column("fp").to_numpy().view(np.uint64)
         index = GrayIndex(table.column("part").to_numpy(), codes)
-        root = index.join_near(distance).root
-        alone = np.bincount(root, minlength=len(root))[root] == 1
-        return table.select(["part", "first_doc"]).take(pa.array(np.sort(index.order[~alone])))
+        met = index.order[index.company(distance)]
+        return table.select(["part", "first_doc"]).take(pa.array(np.sort(met)))
 
     return work
 
 
-def _alike(percent: int, distance: int):
-    """Trees of links between the rows of each bucket whose sketches are similar enough."""
+def _alike(percent: int):
+    """Trees of links between the rows of each bucket whose wide fingerprints are similar enough."""
 
-    def group(names: np.ndarray, codes: np.ndarray, size: np.ndarray, marks: np.ndarray) -> list[tuple[int, int]]:
-        out, waiting = [], np.arange(len(names))
+    def near(size: np.ndarray, marks: np.ndarray, block: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        apart = np.bitwise_count(marks[block][:, None] ^ marks[others]).sum(axis=2, dtype=np.int64)
+        low, high = np.minimum(size[block][:, None], size[others]), np.maximum(size[block][:, None], size[others])
+        i, j = np.nonzero((apart <= np.where(low <= SHORT, SHORT_BITS, WIDE_BITS)) & (100 * low >= percent * high))
+        return block[i], others[j]
+
+    def group(size: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        """The first row that links reach; every pair is either compared or already linked."""
+        forest = Forest(len(size))
+        ahead, waiting = np.zeros(0, np.int64), np.arange(len(size))
         while len(waiting):
-            ahead, waiting = [int(waiting[0])], waiting[1:]
-            while ahead and len(waiting):
-                at = ahead.pop()
-                near = np.bitwise_count(codes[waiting] ^ codes[at]) <= distance
-                near &= 100 * np.minimum(size[waiting], size[at]) >= percent * np.maximum(size[waiting], size[at])
-                near = np.flatnonzero(near)
-                equal = (marks[waiting[near]] == marks[at]).mean(axis=1)
-                near = near[equal >= SKETCH_SHARE]
-                out += [(int(names[at]), int(names[i])) for i in waiting[near]]
-                ahead += waiting[near].tolist()
-                waiting = np.delete(waiting, near)
-        return out
+            many = max(1, BLOCK_WORDS // (FIELDS * len(waiting)))
+            if len(ahead):
+                block, ahead = ahead[:many], ahead[many:]
+            else:
+                block, waiting = waiting[:many], waiting[many:]
+                forest.join(*near(size, marks, block, block))
+            one, other = near(size, marks, block, waiting)
+            forest.join(one, other)
+            found = np.isin(waiting, other)
+            ahead, waiting = np.concatenate([ahead, waiting[found]]), waiting[~found]
+        return forest.root
 
     def work(table: pa.Table) -> pa.Table:
-        part = table.column("part").to_numpy()
-        names, codes = table.column("first_doc").to_numpy(), table.column("fp").to_numpy().view(np.uint64)
+        table = table.sort_by([("part", "ascending"), ("first_doc", "ascending")])  # all tables give the same links
+        part, names = table.column("part").to_numpy(), table.column("first_doc").to_numpy()
         size = table.column("size").to_numpy().astype(np.int64)
-        flat = b"".join(table.column("sketch").to_pylist())
-        marks = np.frombuffer(flat, np.uint8).reshape(len(part), -1)
+        marks = np.frombuffer(b"".join(table.column("wide").to_pylist()), np.uint64).reshape(-1, FIELDS)
         cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
-        links = []
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            links += group(names[a:b], codes[a:b], size[a:b], marks[a:b])
-        return pa.table({"a": pa.array([k[0] for k in links], pa.int64()), "b": pa.array([k[1] for k in links], pa.int64())})
+        root = np.concatenate([a + group(size[a:b], marks[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)])
+        linked = np.flatnonzero(root != np.arange(len(root)))
+        return pa.table({"a": pa.array(names[linked]), "b": pa.array(names[root[linked]])})
 
     return work
 
@@ -374,13 +436,15 @@ def first_of_copies(
     (as 64-bit hashes) is `percent` or more; groups are what such pairs link.
 
     Equal sets are merged before anything else, so copies cost one row each. Different
-    ones meet in buckets of least hashes, where a Gray-order index finds those that have
-    fingerprints within DISTANCE bits of each other. Only these send a sketch of their
-    least hashes to the bucket, and only where sketches are similar too (see SKETCH_SHARE;
-    a pair at the threshold passes but for one in 10^5) are texts looked at: each text of
-    what such pairs connect once (groups over VERIFY_ROWS are cut into chunks that meet two
-    by two). There similarities are counted exactly, and only trees of similar pairs are
-    sent on. So texts that merely share a template do not pull each other in.
+    ones get a SimHash of FIELDS * 64 bits. They meet in buckets of KEY_BITS of its bits, where a
+    Gray-order index finds those that are within NEAR bits of each other in another of its
+    words. Only these send the whole of it to the bucket, and only where these are similar too
+    (see WIDE_BITS; a pair at the threshold passes but for one in 10^6) are texts looked at:
+    each text of what such pairs connect once (groups over VERIFY_ROWS are cut into chunks that
+    meet two by two). There similarities are counted exactly, and only trees of similar pairs are
+    sent on. So texts that merely share a template do not pull each other in. A bucket holds
+    one in 2^KEY_BITS of unrelated sets, so the search in it grows faster than the input from
+    some 10^8 texts on.
 
     NULL, empty and blank texts have no shingles and are copies of each other; very long
     texts are read whole; of rows with one id each group keeps its own, the one of the
@@ -391,17 +455,16 @@ def first_of_copies(
     cells = [F.col(f"`{f.name}`") for f in docs.schema]
     cells = [c.cast("string") if "map<" in f.dataType.simpleString() else c for c, f in zip(cells, docs.schema, strict=True)]
     marked = docs.where(F.col(id_col).isNotNull()).withColumn(row, F.xxhash64(*cells))
-    marked = materialise(marked.withColumn(made, _shingle_sets(docs, text_col, shingle)), "shingle-sets")
+    marked = stored(marked.withColumn(made, _shingle_sets(docs, text_col, shingle)), "shingle-sets")
     rows = marked.select(F.col(id_col).alias("id"), F.col(row).alias("row"), f"{made}.*")
-    facts = [F.first(c).alias(c) for c in ("fp", "size", "bands", "sketch")]
+    facts = [F.first(c).alias(c) for c in ("fp", "size", "wide")]
     classes = rows.groupBy("shingles").agg(F.min(F.struct("id", "row")).alias("first"), *facts)
-    classes = materialise(classes, "shingle-classes")
-    bands = classes.select("fp", F.col("shingles").alias("first_doc"), F.posexplode("bands").alias("band", "bucket"))
-    bands = bands.select("fp", "first_doc", F.xxhash64("band", "bucket").alias("bucket"))
-    met = split_buckets(bands, "bucket", "first_doc", BUCKET_ROWS)
-    possible = by_groups(met.select("part", "fp", "first_doc"), _possible(DISTANCE), "part long, first_doc long")
-    marks = classes.select(F.col("shingles").alias("first_doc"), "fp", "size", "sketch")
-    links = by_groups(possible.join(marks, "first_doc"), _alike(percent, DISTANCE), "a long, b long")
+    classes = stored(classes, "shingle-classes")
+    marks = classes.select(F.col("shingles").alias("first_doc"), "size", "wide").where("size > 0")
+    keyed = marks.mapInArrow(_keyed(TABLES), "bucket int, fp long, first_doc long")
+    met = split_large(keyed, "bucket", "first_doc", BUCKET_ROWS)
+    possible = by_groups(met.select("part", "fp", "first_doc"), _possible(NEAR), "part long, first_doc long")
+    links = by_groups(possible.join(marks, "first_doc"), _alike(percent), "a long, b long")
     together = components(links)
     chosen = classes.join(together, F.col("shingles") == F.col("node"))
     chosen = chosen.select("component", "shingles", "fp", F.col("first.id").alias("id"), F.col("first.row").alias("row"))

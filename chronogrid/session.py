@@ -87,6 +87,16 @@ def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hand_back(spark: SparkSession) -> None:
+    """Let the driver drop what finished steps have left.
+
+    Plans and results of past jobs are garbage on the driver, but its heap grows to the limit
+    before they go, and shuffle files stay on the executors' disks until then. Only what
+    nothing refers to any more is dropped.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to the scratch folder, once its results are stored."""
     context = spark.sparkContext

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +110,57 @@ def test_one_id_in_two_groups(spark, seed):
     rows = [(7, a), (7, b), (7, a), (9, b), (None, a), (None, a)]
     kept = simhash.first_of_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(str, kept)) == sorted(f"Row(doc_id={k}, text={t!r})" for k, t in [(7, a), (7, b), (None, a), (None, a)])
+
+
+def test_copies_are_found_through_fingerprints_alone(spark, monkeypatch):
+    """No key of the fingerprint, no candidates: nothing else brings near copies together."""
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(300)]
+    docs = spark.createDataFrame([(i, " ".join(edited(words, rng, 0.95))) for i in range(6)], "doc_id long, text string")
+    assert simhash.first_of_copies(docs).count() == 1
+    monkeypatch.setattr(simhash, "TABLES", 0)
+    assert simhash.first_of_copies(docs).count() == 6
+
+
+def test_wide_fingerprint_by_hand():
+    """More than half of the hashes have the bit; the first word is the plain SimHash."""
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 7, 255, 256, 700):
+        hashes = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + rng.integers(0, 2, n, np.uint64)
+        wide = simhash.wide_fingerprint(hashes)
+        assert len(wide) == simhash.FIELDS
+        assert int(wide[0]) == sum(1 << i for i in range(64) if 2 * sum(int(h) >> i & 1 for h in hashes) > n)
+    far = simhash.wide_fingerprint(rng.integers(0, 1 << 63, 400, np.uint64)) ^ wide
+    assert 400 < np.bitwise_count(far).sum() < 624
+
+
+@pytest.mark.parametrize("size,shared", [(4, 4), (13, 12), (18, 16), (90, 80), (900, 800)])
+def test_sets_at_the_threshold_meet(size, shared):
+    """Of sets with a similarity of 0.8 or little more, nearly all meet in a table and pass the screen."""
+    rng = np.random.default_rng(size)
+    small = size <= simhash.SHORT
+    met = passed = 0
+    for _ in range(400):
+        both = rng.integers(0, 1 << 63, shared, np.uint64) * np.uint64(2) + rng.integers(0, 2, shared, np.uint64)
+        sets = [np.concatenate([both, rng.integers(0, 1 << 63, n, np.uint64)]) for n in ((0, 1) if small else (size - shared,) * 2)]
+        wide = np.stack([simhash.wide_fingerprint(s) for s in sets])
+        tables = [simhash._keys(wide, simhash.TABLES, turned) for turned in ((False, True) if small else (False,))]
+        met += any(((b[0] == b[1]) & (np.bitwise_count(c[0] ^ c[1]) <= simhash.NEAR)).any() for b, c in tables)
+        passed += np.bitwise_count(wide[0] ^ wide[1]).sum() <= (simhash.SHORT_BITS if small else simhash.WIDE_BITS)
+    assert met >= 397 and passed == 400
+
+
+def test_index_tells_who_has_company():
+    """Against brute force, in groups of random codes, loose pairs and a dense cluster."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 600, np.uint64)
+    flip = np.array([np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 14, np.uint64)) for _ in range(200)])
+    dense = base[0] ^ np.array([np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 5, np.uint64)) for _ in range(200)])
+    codes = np.concatenate([base, base[:200] ^ flip, dense])
+    part = rng.integers(0, 3, len(codes))
+    index = simhash.GrayIndex(part, codes)
+    near = (np.bitwise_count(codes[:, None] ^ codes) <= simhash.NEAR) & (part[:, None] == part)
+    np.fill_diagonal(near, False)
+    got = np.zeros(len(codes), bool)
+    got[index.order] = index.company(simhash.NEAR)
+    assert (got == near.any(axis=1)).all() and 0 < got.sum() < len(got)
