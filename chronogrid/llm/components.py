@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronogrid.session import materialise
+from chronogrid.llm.kernels import stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,7 +23,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     kept = pairs.where(f"{a} IS NOT NULL AND {b} IS NOT NULL AND up > down").distinct()
     seen = None
     while True:
-        kept = materialise(kept, "links")
+        kept = stored(kept, "links")
         state = kept.agg(F.count("*"), F.bit_xor(F.xxhash64("up", "down"))).first()
         if state == seen or state[0] == 0:
             break

@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronogrid.llm import language, packing, pii, queries, simhash, toxicity
-from chronogrid.llm.kernels import free_name
-from chronogrid.session import materialise
+from chronogrid.llm.kernels import free_name, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -79,5 +78,5 @@ def run(spark: SparkSession, folder: str) -> DataFrame:
     """All stages over `documents`, each written to the shared scratch folder and read again."""
     docs = queries.table(spark, folder, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, folder), f"stage-{name.replace(' ', '-')}")
+        docs = stored(stage(spark, docs, folder), f"stage-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, folder)
