@@ -24,7 +24,8 @@ WORDS = 5
 PERCENT = 80  # least similarity
 FIELDS = 16  # 64-bit words of a wide fingerprint
 # Two texts at 0.8 agree on all bits of a key, and are within NEAR bits in the word searched
-# with it, in one of the tables with probability 0.9995.
+# with it, in one of the tables with probability 0.9995 (0.998 if sums are often tied, as in
+# sets of 12 and 15).
 KEY_BITS = 14
 TABLES = 64 * FIELDS // KEY_BITS
 NEAR = 16
@@ -444,7 +445,7 @@ def first_of_copies(
     meet two by two). There similarities are counted exactly, and only trees of similar pairs are
     sent on. So texts that merely share a template do not pull each other in. A bucket holds
     one in 2^KEY_BITS of unrelated sets, so the search in it grows faster than the input from
-    some 10^8 texts on.
+    some 10^7 texts on.
 
     NULL, empty and blank texts have no shingles and are copies of each other; very long
     texts are read whole; of rows with one id each group keeps its own, the one of the
