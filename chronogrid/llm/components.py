@@ -38,9 +38,12 @@ def _lowest(links: DataFrame) -> DataFrame:
 
 
 def _lower(links: DataFrame) -> DataFrame:
-    """Replace the lower end of every link by that node's own smallest neighbour."""
+    """Replace the lower end of every link by that node's own smallest neighbour.
+
+    Links that become equal stay; `_upper` takes minima and merges them in its own shuffle.
+    """
     joined = links.join(_lowest(links), F.col("down") == F.col("_node"), "left")
-    return joined.select("up", F.coalesce("_low", "down").alias("down")).distinct()
+    return joined.select("up", F.coalesce("_low", "down").alias("down"))
 
 
 def _upper(links: DataFrame) -> DataFrame:

@@ -467,11 +467,12 @@ def first_of_copies(
     possible = by_groups(met.select("part", "fp", "first_doc"), _possible(NEAR), "part long, first_doc long")
     links = by_groups(possible.join(marks, "first_doc"), _alike(percent), "a long, b long")
     together = components(links)
-    chosen = classes.join(together, F.col("shingles") == F.col("node"))
-    chosen = chosen.select("component", "shingles", "fp", F.col("first.id").alias("id"), F.col("first.row").alias("row"))
+    met = split_buckets(together, "component", "node", VERIFY_ROWS).select("part", "node")
+    chosen = classes.join(met, F.col("shingles") == F.col("node"))
+    chosen = chosen.select("part", "shingles", "fp", F.col("first.id").alias("id"), F.col("first.row").alias("row"))
+    chosen = stored(chosen, "verified-groups")
     whole = marked.select(F.col(id_col).alias("id"), F.col(row).alias("row"), F.col(text_col).alias("text"))
-    texts = whole.join(chosen, ["id", "row"]).dropDuplicates(["shingles"])  # equal rows of one id
-    met = split_buckets(texts, "component", "shingles", VERIFY_ROWS)
+    met = whole.join(chosen, ["id", "row"]).dropDuplicates(["id", "row", "shingles", "part"])  # equal rows of one id
     work = _similar_links(percent, shingle, DISTANCE)
     found = components(by_groups(met.select("part", "shingles", "fp", "text"), work, "a long, b long", VERIFY_ROWS))
     group = F.coalesce("component", "shingles")
